@@ -157,14 +157,17 @@ VIEWS = {
       select run_name from today where result_state = 'SUCCESS' or state_message = 'In run')""",
     "notification_log": f"""
     select 'WF' as ObjectType, run_name as WorkflowName, job_id,
-      case when (coalesce(result_state, 'SUCCESS') = 'FAILED') = (j % 8 = 2) then 'SUCCESS' else 'FAILED' end
-        as EventType,
-      end_time_in_est as EventDTMM, inserted as NotificationDttm, '{RECIPIENTS}' as NotificationSentTo,
+      case when failed = (j % 8 = 2) then 'SUCCESS' else 'FAILED' end as EventType,
+      EventDTMM, inserted as NotificationDttm, '{RECIPIENTS}' as NotificationSentTo,
       'earlier report' as NotificationEmailContent, {LAYER_OF_JOB.format(id='j')} as layer, inserted as InsertedOn
     from (select *, cast(job_id as bigint) as j,
         case when j % 4 = 0 or j % 8 = 2 then timestamp '2024-01-15 12:00:00'
           when j % 4 = 1 then timestamp '2024-01-14 12:00:00' else timestamp '2024-01-13 12:00:00' end as inserted
-      from flat where cast(start_time_in_est as date) = date '2024-01-15')""",
+      from (select job_id, run_name, coalesce(result_state, 'SUCCESS') = 'FAILED' as failed,
+          end_time_in_est as EventDTMM
+        from flat where cast(start_time_in_est as date) = date '2024-01-15'
+        qualify row_number() over (partition by job_id order by end_time_in_ms desc, cast(run_id as bigint) desc) = 1))
+    """,
     "notified": """
     select distinct job_id, EventType from notification_log where cast(InsertedOn as date) = date '2024-01-15'""",
     "status": STATUS_FROM.format(deps="dependencies"),

@@ -88,16 +88,20 @@ def dependencies_ok(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def notification_log(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """One row for each job and state of the day: notified today (`job_id % 4 = 0`), notified today
+    """One row per job for its last run of the day: notified today (`job_id % 4 = 0`), notified today
     with the opposite state (`% 8 = 2`), or notified on an earlier day only (the others)."""
-    flat = flat_runs(spark, sf_dir).where(F.to_date(local_clock("start_time_in_ms", "US/Eastern")) == F.lit(DAY))
-    log = flat.selectExpr(
+    of_day = F.to_date(local_clock("start_time_in_ms", "US/Eastern")) == F.lit(DAY)
+    last = "struct(coalesce(nullif(end_time_in_ms, 0), 0), cast(run_id as bigint))"
+    jobs = flat_runs(spark, sf_dir).where(of_day).groupBy("job_id", "run_name").agg(
+        F.expr(f"coalesce(max_by(result_state, {last}), 'SUCCESS') = 'FAILED' as failed"),
+        F.expr(f"max_by(end_time_in_est, {last}) as EventDTMM"),
+    )
+    log = jobs.selectExpr(
         "'WF' as ObjectType",
         "run_name as WorkflowName",
         "job_id",
-        """case when (coalesce(result_state, 'SUCCESS') = 'FAILED') = (cast(job_id as bigint) % 8 = 2)
-           then 'SUCCESS' else 'FAILED' end as EventType""",
-        "end_time_in_est as EventDTMM",
+        "case when failed = (cast(job_id as bigint) % 8 = 2) then 'SUCCESS' else 'FAILED' end as EventType",
+        "EventDTMM",
         """case when cast(job_id as bigint) % 4 = 0 or cast(job_id as bigint) % 8 = 2
                 then timestamp_ntz'2024-01-15 12:00:00'
                 when cast(job_id as bigint) % 4 = 1 then timestamp_ntz'2024-01-14 12:00:00'

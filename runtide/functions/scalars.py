@@ -11,38 +11,46 @@ def as_column(value: Column | str) -> Column:
     return F.col(value) if isinstance(value, str) else value
 
 
-def path_get(df: DataFrame, path: str, cast_type: str | None = None) -> Column:
-    """The value at a `/`-separated path below the columns of `df`, null if any step is missing.
+def path_get(source: DataFrame | T.StructType, path: str, cast_type: str | None = None) -> Column:
+    """The value at a `/`-separated path below the columns of `source`, null if any step is missing.
 
-    Steps may cross structs, maps, JSON text and variants; the schema of `df` says which, so a
+    Steps may cross structs, maps, JSON text and variants; the schema of `source` says which, so a
     field that this source does not have at all is a null constant rather than an error. Empty
     steps are skipped. An empty object counts as missing.
     """
+    kind = source if isinstance(source, T.StructType) else source.schema
+    missing = f"cast(null as {cast_type or 'string'})"
     steps = [step for step in path.split("/") if step]
-    if not steps or steps[0] not in df.columns:
-        return F.lit(None).cast(cast_type or "string")
-    value, kind = F.col(f"`{steps[0]}`"), df.schema[steps[0]].dataType
-    for at, step in enumerate(steps[1:], start=1):
-        if isinstance(kind, T.StructType) and step in kind.fieldNames():
-            value, kind = value.getField(step), kind[step].dataType
+    text = "" if steps else missing
+    for at, step in enumerate(steps):
+        if isinstance(kind, T.StructType) and step in kind.names:
+            text += ("." if text else "") + "`" + step.replace("`", "``") + "`"
+            kind = kind[step].dataType
         elif isinstance(kind, T.MapType) and isinstance(kind.keyType, T.StringType):
-            value, kind = value.getItem(step), kind.valueType
-        elif isinstance(kind, T.StringType):
-            rest = "".join(f"['{key}']" for key in steps[at:])
-            value = F.nullif(F.get_json_object(value, "$" + rest), F.lit("{}"))
-            break
-        elif isinstance(kind, T.VariantType):
-            rest = "".join(f'["{key}"]' for key in steps[at:])
-            value = F.nullif(F.try_variant_get(value, "$" + rest, "string"), F.lit("{}"))
+            text, kind = f"{text}[{_literal(step)}]", kind.valueType
+        elif isinstance(kind, (T.StringType, T.VariantType)):
+            text, kind = _path_in_document(text, kind, steps[at:]), T.NullType()
             break
         else:
-            return F.lit(None).cast(cast_type or "string")
-    else:
-        if isinstance(kind, T.StructType):
-            value = F.when(F.to_json(value) != "{}", value)
-        elif isinstance(kind, T.MapType):
-            value = F.when(F.size(value) > 0, value)
-    return value.cast(cast_type) if cast_type else value
+            text, kind = missing, T.NullType()
+            break
+    if isinstance(kind, T.StructType) and steps:
+        text = f"case when to_json({text}) <> '{{}}' then {text} end"
+    elif isinstance(kind, T.MapType):
+        text = f"case when size({text}) > 0 then {text} end"
+    return F.expr(f"cast({text} as {cast_type})" if cast_type else text)
+
+
+def _path_in_document(text: str, kind: T.DataType, steps: list[str]) -> str:
+    if isinstance(kind, T.StringType):
+        place = _literal("$" + "".join(f"['{step}']" for step in steps))
+        return f"nullif(get_json_object({text}, {place}), '{{}}')"
+    place = _literal("$" + "".join(f'["{step}"]' for step in steps))
+    return f"nullif(try_variant_get({text}, {place}, 'string'), '{{}}')"
+
+
+def _literal(text: str) -> str:
+    return "'" + text.replace("\\", "\\\\").replace("'", "\\'") + "'"
 
 
 def zero_as_null(number: Column | str) -> Column:

@@ -20,9 +20,10 @@ SIGNATURE = "Team Data Integration"
 
 def html_row(df: DataFrame, columns: Sequence[str] | None = None, escape: bool = False) -> Column:
     """The `<tr>` of a row of `df`."""
+    schema = df.schema
     cells = [
-        html_cell(F.col(f"`{name}`"), isinstance(df.schema[name].dataType, T.BooleanType), escape)
-        for name in columns or df.columns
+        html_cell(F.col(f"`{name}`"), isinstance(schema[name].dataType, T.BooleanType), escape)
+        for name in columns or schema.names
     ]
     return F.concat(F.lit("<tr>"), *cells, F.lit("</tr>"))
 

@@ -22,18 +22,19 @@ def flatten_runs(raw: DataFrame, zones: tuple[str, str] = ("US/Pacific", "US/Eas
     are pruned down to the scan. The order of rows is left alone, see `newest_first`.
     """
     west, east = zones
+    schema = raw.schema
 
     def column(name: str, kind: str, path: str) -> Column:
         if name.endswith("_pst"):
-            value = local_clock(path_get(raw, path, "bigint"), west)
+            value = local_clock(path_get(schema, path, "bigint"), west)
         elif name.endswith("_est"):
-            value = local_clock(path_get(raw, path, "bigint"), east)
+            value = local_clock(path_get(schema, path, "bigint"), east)
         elif name.endswith("_min"):
-            value = minutes_1(path_get(raw, path, "bigint"))
+            value = minutes_1(path_get(schema, path, "bigint"))
         elif name == "cluster_name":
-            value = or_default(path_get(raw, path, kind), "CUSTOM")
+            value = or_default(path_get(schema, path, kind), "CUSTOM")
         else:
-            value = path_get(raw, path, kind)
+            value = path_get(schema, path, kind)
         return value.alias(name)
 
     return raw.select(*(column(*field) for field in RUN_FIELDS))

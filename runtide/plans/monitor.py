@@ -35,7 +35,7 @@ from runtide.schema import OUTBOX_COLUMNS
 from runtide.sources.dependencies import SLA_BY_LAYER
 from runtide.sources.tables import TableNames, append_notifications, append_outbox, ensure_tables, write_run_log
 
-# Columns of the flat runs that status and reports use.
+# Columns of the flat runs that status and reports use, and those that only the run log uses.
 STATUS_COLUMNS = (
     "run_id",
     "job_id",
@@ -47,6 +47,7 @@ STATUS_COLUMNS = (
     "result_state",
     "state_message",
 )
+LOG_COLUMNS = ("start_time_in_est", "run_duration_min", "trigger")
 
 
 def open_status(
@@ -168,10 +169,12 @@ def run_cycle(
     """One scheduled run with its writes: logs the runs pulled, fills the outbox, logs notifications.
 
     Reports that were notified today are not repeated, so a run may be started again at any time.
+    The pull is settled, so that log and reports see the same runs even while more are landing.
     """
     spark: SparkSession = raw.sparkSession
     ensure_tables(spark, tables)
-    runs = flatten_runs(runs_lookback(raw, as_of, days_back))
+    pulled = flatten_runs(runs_lookback(raw, as_of, days_back)).select(*STATUS_COLUMNS, *LOG_COLUMNS)
+    runs = settle(pulled, "pull")
     write_run_log(runs, tables.run_log, as_of, tz)
     found = monitor(runs, deps, sla, spark.table(tables.notification_log), as_of, tz, days_back, **options)
     append_outbox(found["outbox"], tables.outbox)
