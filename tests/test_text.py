@@ -1,0 +1,136 @@
+import datetime as dt
+
+import pytest
+from pyspark.sql import functions as F
+
+from runtide.functions.text import cell_class, date_label, html_cell, name_list, recipients, subject
+from runtide.operators.report import html_report
+
+ENDINGS = {1: "st", 2: "nd", 3: "rd", 21: "st", 22: "nd", 23: "rd", 31: "st"}
+
+
+def test_date_label_for_every_day(spark):
+    days = [dt.date(2024, 7, day) for day in range(1, 32)]
+    df = spark.createDataFrame([(day,) for day in days], "d date")
+    found = [row[0] for row in df.select(date_label("d")).collect()]
+    assert found == [f"{day.day}{ENDINGS.get(day.day, 'th')} July 2024" for day in days]
+
+
+def test_subject(spark):
+    assert spark.range(1).select(subject(dt.date(2024, 1, 11))).first()[0] == (
+        "Prod - EDW - Data refresh - 11th January 2024"
+    )
+
+
+@pytest.mark.parametrize(
+    "names, wanted",
+    [
+        ([], ""),
+        (["Bronze"], "Bronze"),
+        (["Gold", "Bronze"], "Bronze and Gold"),
+        (["C", "b", "A"], "A, b and C"),
+        (["d", "C", "b", "A"], "A, b, C and d"),
+        (["A", ""], " and A"),
+    ],
+)
+def test_name_list(spark, names, wanted):
+    df = spark.createDataFrame([(names,)], "n array<string>")
+    assert df.select(name_list(F.col("n"))).first()[0] == wanted
+
+
+def test_recipients(spark):
+    df = spark.createDataFrame([(" a@x.com ;b@x.com;\tc@x.com\n",), ("one@x.com",), ("",)], "t string")
+    assert [row[0] for row in df.select(recipients("t")).collect()] == [
+        ["a@x.com", "b@x.com", "c@x.com"], ["one@x.com"], [""],
+    ]
+
+
+@pytest.mark.parametrize(
+    "text, wanted",
+    [
+        ("not started", "not-started"), (" Failed\n", "fail"), ("n", "fail"), ("SUCCESS", "success"), (" y", "success"),
+        ("Completed at 5", "success"), ("Incompleted", "success"), ("no", None), ("", None), (None, None),
+    ],
+)
+def test_cell_class(spark, text, wanted):
+    df = spark.createDataFrame([(text,)], "t string")
+    assert df.select(cell_class("t")).first()[0] == wanted
+
+
+def test_html_cells(spark):
+    df = spark.createDataFrame([(None, "<b>", "N", True)], "a string, b string, c string, d boolean")
+    cells = [html_cell("a"), html_cell("b"), html_cell("b", escape=True), html_cell("c"), html_cell("d", True)]
+    assert list(df.select(*cells).first()) == [
+        "<td>None</td>", "<td><b></td>", "<td>&lt;b&gt;</td>", "<td class='fail'>N</td>", "<td>True</td>",
+    ]
+
+
+CSS = """
+<style>
+#tableformatting table, table th, table td {
+    font-size: 10pt;
+    border: 1px solid black;
+    border-collapse: collapse;
+    text-align: left;
+    padding: 5px;
+}
+thead { background-color: yellow; }
+table { border-collapse: collapse; }
+.success { background-color: green; }
+.fail { background-color: Orange; }
+</style>
+"""
+
+
+@pytest.fixture(scope="module")
+def small(spark):
+    return spark.createDataFrame([("b", "Failed"), ("a", "Completed"), (None, "Not started")], "`Data Layer` string, Status string")
+
+
+def test_golden_body(small):
+    body = html_report(small, "Hi<br>", ["Data Layer"]).collect()
+    assert [(row.part, row.parts) for row in body] == [(0, 1)]
+    assert body[0].body == (
+        "Hi<br>" + CSS + "<br><br><table border='1'><thead><tr><th>Data Layer</th><th>Status</th></tr></thead><tbody>"
+        "<tr><td>None</td><td class='not-started'>Not started</td></tr>"
+        "<tr><td>a</td><td class='success'>Completed</td></tr>"
+        "<tr><td>b</td><td class='fail'>Failed</td></tr>"
+        "</tbody></table><br><br>Thank you,<br>Team Data Integration"
+    )
+
+
+def test_second_table_and_signature(small):
+    body = html_report(small, "", ["Data Layer"], second=small.select("Status"), signature="Ops").first().body
+    assert "</table><br><br>SFTP Workflow Status" + CSS + "<br><br><table border='1'><thead><tr><th>Status</th>" in body
+    assert body.endswith("</tbody></table><br><br>Thank you,<br>Ops")
+
+
+def test_empty_report_has_a_header(small):
+    body = html_report(small.where("false"), "", ["Data Layer"]).collect()
+    assert len(body) == 1 and body[0].body.count("<tbody></tbody>") == 1
+
+
+def test_long_report_comes_whole_in_parts(spark):
+    df = spark.range(2500).select(F.format_string("n%04d", "id").alias("name"), F.lit("N").alias("met"))
+    body = html_report(df, "", ["name"], rows_per_part=100).collect()
+    rows = [line.split("</td>")[0] for row in body for line in row.body.split("<td>")[1:]]
+    assert {row.parts for row in body} == {25} and sorted(row.part for row in body) == list(range(25))
+    assert sorted(rows) == [f"n{i:04d}" for i in range(2500)]
+    for row in body:
+        in_part = [line[:5] for line in row.body.split("<td>")[1:]]
+        assert in_part == sorted(in_part) and len(in_part) < 200
+
+
+def test_copies_of_one_row_are_spread_and_kept(spark):
+    df = spark.range(1000).select(F.lit("same").alias("name"))
+    body = html_report(df, "", ["name"], rows_per_part=10).collect()
+    counts = [row.body.count("<td>same</td>") for row in body]
+    assert len(body) == 100 and sum(counts) == 1000 and max(counts) < 100
+
+
+def test_second_table_longer_than_the_first(spark, small):
+    many = spark.range(50).select(F.col("id").cast("string").alias("name"))
+    body = html_report(small, "", ["Data Layer"], second=many, rows_per_part=10).orderBy("part").collect()
+    assert [(row.part, row.parts) for row in body] == [(i, 5) for i in range(5)]
+    assert sum(row.body.count("<th>Data Layer</th>") for row in body) == 1
+    assert sum(row.body.count("<th>name</th>") for row in body) == 5
