@@ -36,7 +36,7 @@ from runtide.operators.runs import (
     runs_recent_topk,
 )
 from runtide.plans.lineage import fresh_path, settle
-from runtide.plans.monitor import monitor, open_status
+from runtide.plans.monitor import monitor, open_status, settled_today
 from runtide.schema import RUN_LOG_COLUMNS
 from runtide.sources.dependencies import SLA_BY_LAYER, read_dependencies
 from runtide.sources.files import file_inventory
@@ -53,7 +53,7 @@ def query(run: Query) -> Query:
 
 
 def _status(spark: SparkSession, sf: str, deps: DataFrame | None = None) -> DataFrame:
-    return open_status(flat_runs(spark, sf), deps or dependencies(spark, sf), SLA_BY_LAYER, AS_OF)
+    return open_status(settled_today(flat_runs(spark, sf), AS_OF), deps or dependencies(spark, sf), SLA_BY_LAYER)
 
 
 def _notified(spark: SparkSession, sf: str) -> DataFrame:

@@ -18,6 +18,11 @@ def path_get(source: DataFrame | T.StructType, path: str, cast_type: str | None
     field that this source does not have at all is a null constant rather than an error. Empty
     steps are skipped. An empty object counts as missing.
     """
+    return F.expr(path_sql(source, path, cast_type))
+
+
+def path_sql(source: DataFrame | T.StructType, path: str, cast_type: str | None = None) -> str:
+    """`path_get` as SQL text, for `selectExpr` of many paths at once."""
     kind = source if isinstance(source, T.StructType) else source.schema
     missing = f"cast(null as {cast_type or 'string'})"
     steps = [step for step in path.split("/") if step]
@@ -38,7 +43,7 @@ def path_get(source: DataFrame | T.StructType, path: str, cast_type: str | None
         text = f"case when to_json({text}) <> '{{}}' then {text} end"
     elif isinstance(kind, T.MapType):
         text = f"case when size({text}) > 0 then {text} end"
-    return F.expr(f"cast({text} as {cast_type})" if cast_type else text)
+    return f"cast({text} as {cast_type})" if cast_type else text
 
 
 def _path_in_document(text: str, kind: T.DataType, steps: list[str]) -> str:
@@ -58,9 +63,13 @@ def zero_as_null(number: Column | str) -> Column:
 
 
 def local_clock(ms: Column | str, tz: str) -> Column:
-    """Epoch milliseconds -> zone-less wall clock in `tz`; null and 0 -> null."""
-    utc = F.timestamp_add("MILLISECOND", zero_as_null(ms), F.lit("1970-01-01").cast("timestamp_ntz"))
-    return F.convert_timezone(F.lit("UTC"), F.lit(tz), utc)
+    """Epoch milliseconds -> zone-less wall clock in `tz`; null and 0 -> null.
+
+    The shift is done on the number of microseconds, so the session zone plays no part. For a
+    constant zone `from_utc_timestamp` resolves it once per task, `convert_timezone` once per row.
+    """
+    shifted = F.unix_micros(F.from_utc_timestamp(F.timestamp_millis(zero_as_null(ms)), tz))
+    return F.timestamp_add("MICROSECOND", shifted, F.lit("1970-01-01").cast("timestamp_ntz"))
 
 
 def minutes_1(ms: Column | str) -> Column:

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from runtide.functions.clock import BUSINESS_ZONE, instant_ms
-from runtide.functions.scalars import local_clock, minutes_1, or_default, path_get, zero_as_null
+from runtide.functions.scalars import local_clock, minutes_1, or_default, path_sql, zero_as_null
 from runtide.schema import RUN_FIELDS
 
 DAY_MS = 24 * 60 * 60 * 1000
@@ -22,22 +22,21 @@ def flatten_runs(raw: DataFrame, zones: tuple[str, str] = ("US/Pacific", "US/Eas
     are pruned down to the scan. The order of rows is left alone, see `newest_first`.
     """
     west, east = zones
+    derived = {
+        "start_time_in_pst": local_clock("start_time_in_pst", west),
+        "start_time_in_est": local_clock("start_time_in_est", east),
+        "setup_duration_min": minutes_1("setup_duration_min"),
+        "run_duration_min": minutes_1("run_duration_min"),
+        "end_time_in_pst": local_clock("end_time_in_pst", west),
+        "end_time_in_est": local_clock("end_time_in_est", east),
+        "cluster_name": or_default("cluster_name", "CUSTOM"),
+    }
     schema = raw.schema
-
-    def column(name: str, kind: str, path: str) -> Column:
-        if name.endswith("_pst"):
-            value = local_clock(path_get(schema, path, "bigint"), west)
-        elif name.endswith("_est"):
-            value = local_clock(path_get(schema, path, "bigint"), east)
-        elif name.endswith("_min"):
-            value = minutes_1(path_get(schema, path, "bigint"))
-        elif name == "cluster_name":
-            value = or_default(path_get(schema, path, kind), "CUSTOM")
-        else:
-            value = path_get(schema, path, kind)
-        return value.alias(name)
-
-    return raw.select(*(column(*field) for field in RUN_FIELDS))
+    picked = (
+        path_sql(schema, path, "bigint" if kind in ("timestamp_ntz", "float") else kind) + f" as {name}"
+        for name, kind, path in RUN_FIELDS
+    )
+    return raw.selectExpr(*picked).withColumns(derived)
 
 
 def newest_first(runs: DataFrame) -> DataFrame:

@@ -50,16 +50,20 @@ STATUS_COLUMNS = (
 LOG_COLUMNS = ("start_time_in_est", "run_duration_min", "trigger")
 
 
-def open_status(
-    runs: DataFrame,
-    deps: DataFrame,
-    sla: DataFrame | Mapping[str, str],
-    as_of: dt.datetime | int,
-    tz: str = BUSINESS_ZONE,
-    days_back: int = 1,
+def settled_today(
+    runs: DataFrame, as_of: dt.datetime | int, tz: str = BUSINESS_ZONE, days_back: int = 1
 ) -> DataFrame:
-    """Status of every needed (layer, dependency) at `as_of`, from flat runs; nothing left out yet."""
-    today = runs_today_latest(runs_lookback(runs, as_of, days_back).select(*STATUS_COLUMNS), business_day(as_of, tz), tz)
+    """The runs of the day that count, from flat runs: the end of the long scan.
+
+    Everything after it works on at most one narrow row per job, and uses it more than once, so it
+    is settled.
+    """
+    pulled = runs_lookback(runs, as_of, days_back).select(*STATUS_COLUMNS)
+    return settle(runs_today_latest(pulled, business_day(as_of, tz), tz), "today")
+
+
+def open_status(today: DataFrame, deps: DataFrame, sla: DataFrame | Mapping[str, str]) -> DataFrame:
+    """Status of every needed (layer, dependency) by the runs of the day; nothing left out yet."""
     return effective_state(dependency_status(sla_by_layer(dependency_needs(deps), sla), today))
 
 
@@ -85,17 +89,14 @@ def monitor(
     was notified today before layers are counted, so that a layer whose failures were all notified
     counts as complete; `"after_status"` counts all and leaves out afterwards.
 
-    The long scan ends with `today`, at most one row per job, and the log is read once; both are
-    settled, so that every output is made from one snapshot and none repeats the scan.
+    Runs and log are read once, settled, and every output is made from that snapshot.
     """
     if dedupe not in ("before_status", "after_status"):
         raise ValueError(f"dedupe must be 'before_status' or 'after_status', not {dedupe!r}")
     day = business_day(as_of, tz)
-    today = settle(
-        runs_today_latest(runs_lookback(runs, as_of, days_back).select(*STATUS_COLUMNS), day, tz), "today"
-    )
+    today = settled_today(runs, as_of, tz, days_back)
     notified = settle(notified_today(log, day), "notified")
-    status = effective_state(dependency_status(sla_by_layer(dependency_needs(deps), sla), today))
+    status = open_status(today, deps, sla)
     fresh = not_yet_notified(status, notified)
 
     layers = settle(layer_status(fresh if dedupe == "before_status" else status, excluded, second_shift, tz), "layers")
@@ -113,7 +114,6 @@ def monitor(
     success_body = html_report(
         report, success_intro(layer_label(layers, "Layer").scalar()), ["Data Layer"], rows_per_part=rows_per_part
     ).where(gate.select("gate_open").scalar())
-    failure_body, success_body = settle(failure_body, "failure-body"), settle(success_body, "success-body")
 
     def message(kind: str, body: DataFrame, to: str) -> DataFrame:
         made = {

@@ -57,10 +57,11 @@ def test_entry(spark):
 def test_layer_counts_known_in_advance(spark, days_back, wanted):
     from checks.views import AS_OF, dependencies, flat_runs
     from runtide.operators.layers import layer_status
-    from runtide.plans.monitor import open_status
+    from runtide.plans.monitor import open_status, settled_today
     from runtide.sources.dependencies import SLA_BY_LAYER
 
-    status = open_status(flat_runs(spark, SF), dependencies(spark, SF), SLA_BY_LAYER, AS_OF, days_back=days_back)
+    today = settled_today(flat_runs(spark, SF), AS_OF, days_back=days_back)
+    status = open_status(today, dependencies(spark, SF), SLA_BY_LAYER)
     once = {row["Layer"]: row for row in layer_status(status, second_shift=False).collect()}
     twice = {row["Layer"]: row for row in layer_status(status).collect()}
     counts = ("DependsOnWorkflowCount", "RunWorkflowCount", "SuccessCount", "FailCount")
