@@ -66,11 +66,9 @@ def escape_html(text: Column) -> Column:
     return text
 
 
-def html_cell(value: Column | str, is_boolean: bool = False, escape: bool = False) -> Column:
-    """One `<td>`; null shows as `None`, booleans as `True` / `False`."""
+def html_cell(value: Column | str, escape: bool = False) -> Column:
+    """One `<td>`; null shows as `None`."""
     text = as_column(value).cast("string")
-    if is_boolean:
-        text = F.initcap(text)
     shown = F.coalesce(escape_html(text) if escape else text, F.lit("None"))
     style = F.coalesce(F.concat(F.lit(" class='"), cell_class(text), F.lit("'")), F.lit(""))
     return F.concat(F.lit("<td"), style, F.lit(">"), shown, F.lit("</td>"))

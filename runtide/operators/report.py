@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
+import html
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from runtide.functions.text import STYLE_SHEET, escape_html, html_cell
+from runtide.functions.text import STYLE_SHEET, html_cell
 
 ROWS_PER_PART = 1000
 
@@ -18,14 +19,16 @@ SECOND_TITLE = "<br><br>SFTP Workflow Status"
 SIGNATURE = "Team Data Integration"
 
 
-def html_row(df: DataFrame, columns: Sequence[str] | None = None, escape: bool = False) -> Column:
-    """The `<tr>` of a row of `df`."""
-    schema = df.schema
-    cells = [
-        html_cell(F.col(f"`{name}`"), isinstance(schema[name].dataType, T.BooleanType), escape)
-        for name in columns or schema.names
+def html_row(df: DataFrame, escape: bool = False) -> Column:
+    """The `<tr>` of a row of `df`; booleans show as `True` / `False`."""
+    values = [
+        F.initcap(F.col(f"`{field.name}`").cast("string"))
+        if isinstance(field.dataType, T.BooleanType)
+        else F.col(f"`{field.name}`").cast("string")
+        for field in df.schema
     ]
-    return F.concat(F.lit("<tr>"), *cells, F.lit("</tr>"))
+    cells = F.transform(F.array(*values), lambda value: html_cell(value, escape))
+    return F.concat(F.lit("<tr>"), F.array_join(cells, ""), F.lit("</tr>"))
 
 
 def part_count(rows_per_part: int = ROWS_PER_PART) -> Column:
@@ -48,11 +51,8 @@ def html_table(
     text ever holds an unbounded number of rows, and none is dropped. Equal rows are counted before
     the shuffle and written out in chunks, which bounds a part even if most rows are copies.
     """
-    titles = [escape_html(F.lit(name)) if escape else F.lit(name) for name in df.columns]
-    head = F.concat(
-        F.lit(TABLE_OPEN), *(F.concat(F.lit("<th>"), title, F.lit("</th>")) for title in titles),
-        F.lit("</tr></thead><tbody>"),
-    )
+    titles = (f"<th>{html.escape(name) if escape else name}</th>" for name in df.columns)
+    head = F.lit(TABLE_OPEN + "".join(titles) + "</tr></thead><tbody>")
     counted = df.agg(part_count(rows_per_part).alias("parts"))
     parts = counted.select(F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("part"), "parts")
     rows = (

@@ -4,7 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from runtide.functions.text import cell_class, date_label, html_cell, name_list, recipients, subject
-from runtide.operators.report import html_report
+from runtide.operators.report import html_report, html_row
 
 ENDINGS = {1: "st", 2: "nd", 3: "rd", 21: "st", 22: "nd", 23: "rd", 31: "st"}
 
@@ -58,13 +58,18 @@ def test_cell_class(spark, text, wanted):
 
 
 def test_html_cells(spark):
-    df = spark.createDataFrame([(None, "<b>", "N", True)], "a string, b string, c string, d boolean")
-    cells = [html_cell("a"), html_cell("b"), html_cell("b", escape=True), html_cell("c"), html_cell("d", True)]
+    df = spark.createDataFrame([(None, "<b>", "N")], "a string, b string, c string")
+    cells = [html_cell("a"), html_cell("b"), html_cell("b", escape=True), html_cell("c")]
     assert list(df.select(*cells).first()) == [
-        "<td>None</td>", "<td><b></td>", "<td>&lt;b&gt;</td>", "<td class='fail'>N</td>", "<td>True</td>",
+        "<td>None</td>", "<td><b></td>", "<td>&lt;b&gt;</td>", "<td class='fail'>N</td>",
     ]
 
 
+def test_html_row(spark):
+    df = spark.createDataFrame([(True, None, 5)], "a boolean, `b c` string, d bigint")
+    assert df.select(html_row(df)).first()[0] == "<tr><td>True</td><td>None</td><td>5</td></tr>"
+
+
 CSS = """
 <style>
 #tableformatting table, table th, table td {
