@@ -9,8 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from runtide.functions.clock import BUSINESS_ZONE, stamp
-from runtide.functions.scalars import local_clock
-from runtide.operators.runs import latest_run_order
+from runtide.functions.scalars import local_clock, zero_as_null
 from runtide.schema import RUN_LOG_COLUMNS, RUN_LOG_PARTITION
 
 KEY = ("RunId", "WorkFlowId", "attempt_number")
@@ -22,48 +21,46 @@ def has_key() -> Column:
 
 
 def run_log_rows(runs: DataFrame, as_of: dt.datetime | int, tz: str = BUSINESS_ZONE) -> DataFrame:
-    """Flat runs as rows of the run log, one per key; runs without a full key are all kept.
+    """Flat runs as rows of the run log, in one projection.
 
     The SLA flag is null: the upsert never writes it. The partition is the UTC date of the start.
+    `EndMs` follows the columns of the log; it says which of several rows of one key is the latest.
     """
-
-    def rows(part: DataFrame) -> DataFrame:
-        return part.select(
-            F.col("run_id").cast("bigint").alias("RunId"),
-            F.coalesce("attempt_number", F.lit(0)).alias("attempt_number"),
-            F.col("job_id").cast("bigint").alias("WorkFlowId"),
-            F.col("trigger").alias("WorkFlowStartType"),
-            F.col("start_time_in_est").cast("string").alias("WorkFlowStartDttm"),
-            F.col("end_time_in_est").cast("string").alias("WorkFlowEndDttm"),
-            F.col("run_duration_min").cast("string").alias("WorkFlowDuration"),
-            F.col("result_state").alias("WorkFlowState"),
-            F.col("state_message").alias("WorkFlowMessage"),
-            F.lit(None).cast("string").alias("WorkFlowMetSLAFlag"),
-            stamp(as_of, tz).alias("InsertedOn"),
-            F.to_date(local_clock("start_time_in_ms", "UTC")).alias(RUN_LOG_PARTITION),
-        )
-
-    keyed = F.col("run_id").isNotNull() & F.col("job_id").isNotNull()
-    same_key = Window.partitionBy("run_id", "job_id", F.coalesce("attempt_number", F.lit(0)))
-    one_per_key = (
-        runs.where(keyed)
-        .withColumn("rank", F.row_number().over(same_key.orderBy(*latest_run_order())))
-        .where("rank = 1")
+    return runs.select(
+        F.col("run_id").cast("bigint").alias("RunId"),
+        F.coalesce("attempt_number", F.lit(0)).alias("attempt_number"),
+        F.col("job_id").cast("bigint").alias("WorkFlowId"),
+        F.col("trigger").alias("WorkFlowStartType"),
+        F.col("start_time_in_est").cast("string").alias("WorkFlowStartDttm"),
+        F.col("end_time_in_est").cast("string").alias("WorkFlowEndDttm"),
+        F.col("run_duration_min").cast("string").alias("WorkFlowDuration"),
+        F.col("result_state").alias("WorkFlowState"),
+        F.col("state_message").alias("WorkFlowMessage"),
+        F.lit(None).cast("string").alias("WorkFlowMetSLAFlag"),
+        stamp(as_of, tz).alias("InsertedOn"),
+        F.to_date(local_clock("start_time_in_ms", "UTC")).alias(RUN_LOG_PARTITION),
+        zero_as_null("end_time_in_ms").alias("EndMs"),
     )
-    return rows(one_per_key).unionByName(rows(runs.where(~keyed)))
+
+
+def latest_of_key(rows: DataFrame) -> DataFrame:
+    """One row for each key, the last to end; ties by the values, so that the choice is always the same."""
+    values = [F.col(name).asc_nulls_last() for name in rows.columns if name not in (*KEY, "EndMs")]
+    latest = Window.partitionBy(*KEY).orderBy(F.col("EndMs").desc_nulls_last(), *values)
+    return rows.withColumn("rank", F.row_number().over(latest)).where("rank = 1").drop("rank")
 
 
 def upsert_rows(log: DataFrame, rows: DataFrame) -> DataFrame:
     """`log` after an upsert of `rows` from `run_log_rows`.
 
     Rows match on run id, job id and attempt. A matched log row takes every value of the new row
-    but its SLA flag and partition; an unmatched new row is added. One full outer join by a key
-    that is unique among the new rows; rows without a full key bypass the join, where they would
-    all meet in one task.
+    but its SLA flag and partition; an unmatched new row is added. Of several new rows with one key
+    the latest counts. Choosing it shuffles and sorts by the key, which serves the full outer join
+    as well. Rows without a full key bypass both, where they would all meet in one task.
     """
     columns = [*RUN_LOG_COLUMNS, RUN_LOG_PARTITION]
     old = log.where(has_key()).select(*(F.col(name).alias(f"old_{name}") for name in columns))
-    new = rows.where(has_key())
+    new = latest_of_key(rows.where(has_key()))
     match = [F.col(name) == F.col(f"old_{name}") for name in KEY]
     joined = old.join(new, match, "full_outer")
 

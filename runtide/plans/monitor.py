@@ -96,7 +96,7 @@ def monitor(
     day = business_day(as_of, tz)
     today = settled_today(runs, as_of, tz, days_back)
     notified = settle(notified_today(log, day), "notified")
-    status = open_status(today, deps, sla)
+    status = settle(open_status(today, deps, sla), "status")
     fresh = not_yet_notified(status, notified)
 
     layers = settle(layer_status(fresh if dedupe == "before_status" else status, excluded, second_shift, tz), "layers")

@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from runtide.functions.clock import BUSINESS_ZONE
-from runtide.operators.runlog import KEY, run_log_rows, upsert_rows
+from runtide.operators.runlog import KEY, has_key, latest_of_key, run_log_rows, upsert_rows
 from runtide.plans.lineage import settle
 from runtide.schema import (
     NOTIFICATION_COLUMNS,
@@ -72,6 +72,7 @@ def write_run_log(
 def merge_run_log(runs: DataFrame, table: str, as_of: dt.datetime | int, tz: str = BUSINESS_ZONE) -> None:
     """The same upsert as one MERGE, for tables of a format with row-level operations."""
     rows = run_log_rows(runs, as_of, tz)
+    rows = latest_of_key(rows.where(has_key())).unionByName(rows.where(~has_key()))
     match = " AND ".join(f"{table}.{name} = new.{name}" for name in KEY)
     written = [name for name in RUN_LOG_COLUMNS if name != "WorkFlowMetSLAFlag"]
     merge = rows.alias("new").mergeInto(table, F.expr(match))
