@@ -53,7 +53,8 @@ def query(run: Query) -> Query:
 
 
 def _status(spark: SparkSession, sf: str, deps: DataFrame | None = None) -> DataFrame:
-    return open_status(settled_today(flat_runs(spark, sf), AS_OF), deps or dependencies(spark, sf), SLA_BY_LAYER)
+    today = settled_today(flat_runs(spark, sf), AS_OF)
+    return open_status(today, dependencies(spark, sf) if deps is None else deps, SLA_BY_LAYER)
 
 
 def _notified(spark: SparkSession, sf: str) -> DataFrame:
