@@ -68,17 +68,14 @@ def shared_name_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def dependencies(spark: SparkSession, sf_dir: str) -> DataFrame:
-    jobs = table(spark, sf_dir, "events").select("user_id").distinct()
-    declared = jobs.selectExpr(
+    """One dependency for each job, and one (number -1 here) that never runs."""
+    jobs = table(spark, sf_dir, "events").select(F.explode(F.array("user_id", F.lit(-1))).alias("job")).distinct()
+    return jobs.selectExpr(
         "'Area' as SubjectArea",
-        "concat('DE-Gold-', user_id % 3) as WorkflowName",
-        "concat('WF-', user_id) as DependsOn",
-        "case user_id % 3 when 0 then 'Bronze' when 1 then 'Gold' else 'Platinum' end as layer",
+        "concat('DE-Gold-', case when job < 0 then 0 else job % 3 end) as WorkflowName",
+        "concat('WF-', case when job < 0 then 'never' else cast(job as string) end) as DependsOn",
+        "case when job < 0 or job % 3 = 0 then 'Bronze' when job % 3 = 1 then 'Gold' else 'Platinum' end as layer",
     )
-    never = jobs.sparkSession.sql(
-        "select 'Area' as SubjectArea, 'DE-Gold-0' as WorkflowName, 'WF-never' as DependsOn, 'Bronze' as layer"
-    )
-    return declared.unionByName(never)
 
 
 def dependencies_ok(spark: SparkSession, sf_dir: str) -> DataFrame:

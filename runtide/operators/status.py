@@ -82,10 +82,16 @@ def notified_today(log: DataFrame, day: dt.date) -> DataFrame:
 
 
 def not_yet_notified(status: DataFrame, notified: DataFrame) -> DataFrame:
-    """Status rows whose (job_id, EventType) was not notified; rows without job id stay."""
+    """Status rows whose (job_id, EventType) was not notified.
+
+    Rows without either, such as dependencies that never ran, stay. They bypass the join: there
+    they would share one task, and on a branch where the key is a constant null the join would have
+    no key left to partition by.
+    """
+    keyed = F.col("job_id").isNotNull() & F.col("EventType").isNotNull()
     seen = notified.select(F.col("job_id").alias("seen_job"), F.col("EventType").alias("seen_event")).distinct()
     same = (F.col("job_id") == F.col("seen_job")) & (F.col("EventType") == F.col("seen_event"))
-    return status.join(seen, same, "left_anti")
+    return status.where(keyed).join(seen, same, "left_anti").unionByName(status.where(~keyed))
 
 
 def failed_runs(status: DataFrame, notified: DataFrame, failure_dedupe: str = "job") -> DataFrame:

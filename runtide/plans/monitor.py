@@ -102,13 +102,14 @@ def monitor(
     layers = settle(layer_status(fresh if dedupe == "before_status" else status, excluded, second_shift, tz), "layers")
     gate = all_layers_gate(layers)
     report = layer_report(layers)
+    failure_order = ["SLA", "WorkflowName", "RunId"]
     failed = failed_runs(fresh, notified, failure_dedupe)
     failures = settle(failure_report(failed), "failures")
 
     failure_body = html_report(
         failures,
         failure_intro(layer_label(failures, "Layer").scalar()),
-        ["SLA", "WorkflowName", "RunId"],
+        failure_order,
         rows_per_part=rows_per_part,
     ).where(failures.agg(F.count(F.lit(1)) > 0).scalar())
     success_body = html_report(
@@ -148,7 +149,7 @@ def monitor(
         "report": report,
         "gate": gate,
         "failed": failed,
-        "failure_report": failures,
+        "failure_report": failures.orderBy(*failure_order),
         "outbox": message("failure", failure_body, failure_recipients).unionByName(
             message("success", success_body, success_recipients)
         ),

@@ -9,7 +9,14 @@ from checks.views import AS_OF, DAY, dependencies, flat_runs, raw_runs, run_log,
 from runtide.operators.layers import layer_status
 from runtide.operators.runlog import upsert_runs
 from runtide.operators.runs import flatten_runs, latest_run_per_job
-from runtide.operators.status import dependency_status, effective_state, failed_runs, notified_today, sla_by_layer
+from runtide.operators.status import (
+    dependency_status,
+    effective_state,
+    failed_runs,
+    not_yet_notified,
+    notified_today,
+    sla_by_layer,
+)
 from runtide.sources.dependencies import SLA_BY_LAYER
 from tests.conftest import FLAT_DDL
 
@@ -54,10 +61,17 @@ def test_outer_join_leaves_no_side_that_cannot_be_split(spark, no_broadcast):
     assert "LeftOuter" not in plan and "Inner" in plan and "LeftAnti" in plan
 
 
+def test_dedupe_of_runs_that_never_ran_needs_no_nested_loop(spark, make_log, no_broadcast):
+    status = effective_state(dependency_status(dependencies(spark, SF), today_runs(spark, SF)))
+    fresh = not_yet_notified(status, notified_today(make_log(("a", "FAILED", "2024-01-15 10:00:00")), DAY))
+    assert "NestedLoop" not in physical(fresh)
+    assert fresh.where("DependsOn = 'WF-never'").count() == 1
+
+
 def test_failures_need_the_matches_only(spark, make_log):
     status = dependency_status(sla_by_layer(dependencies(spark, SF), SLA_BY_LAYER), today_runs(spark, SF))
     failed = failed_runs(effective_state(status), notified_today(make_log(), DAY))
-    # The one left outer or anti join is that with the notified jobs.
+    # The only anti join left is that with the notified jobs.
     assert optimized(failed).count("Join LeftAnti") == 1
 
 
