@@ -7,6 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from runtide.llm.decontaminate import contaminated
+from runtide.llm.quality import held_out, train_quality, with_quality
 from runtide.llm.shared import read_table
 from runtide.llm.simhash import simhash_groups
 
@@ -24,3 +26,15 @@ def query(run: Query) -> Query:
 def op4_simhash_near_dedup(spark: SparkSession, sf: str) -> DataFrame:
     found = simhash_groups(read_table(spark, sf, "documents"), words=3, most=2)
     return found.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
+
+
+@query
+def op8_attention_quality(spark: SparkSession, sf: str) -> DataFrame:
+    docs = read_table(spark, sf, "documents").select("doc_id", "text")
+    scored = with_quality(docs, train_quality(docs, read_table(spark, sf, "labels")), "score")
+    return scored.select("doc_id", held_out().alias("held_out"), "score", (F.col("score") >= 0.7).cast("int").alias("predicted"))
+
+
+@query
+def op1_benchmark_decontamination(spark: SparkSession, sf: str) -> DataFrame:
+    return contaminated(read_table(spark, sf, "documents"), read_table(spark, sf, "benchmark"))
