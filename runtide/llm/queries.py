@@ -4,10 +4,13 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from runtide.llm.byte_bpe import with_ids
 from runtide.llm.decontaminate import contaminated
+from runtide.llm.pii import pseudonymised
 from runtide.llm.quality import held_out, train_quality, with_quality
 from runtide.llm.shared import read_table
 from runtide.llm.simhash import simhash_groups
@@ -16,6 +19,9 @@ Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
 ORACLE_SQL: dict[str, str] = {}
 
+#: Stands for a secret; a user of the operator passes one of their own.
+PSEUDONYM_KEY = "corpus-pseudonyms"
+
 
 def query(run: Query) -> Query:
     QUERIES[run.__name__] = run
@@ -38,3 +44,16 @@ def op8_attention_quality(spark: SparkSession, sf: str) -> DataFrame:
 @query
 def op1_benchmark_decontamination(spark: SparkSession, sf: str) -> DataFrame:
     return contaminated(read_table(spark, sf, "documents"), read_table(spark, sf, "benchmark"))
+
+
+@query
+def op5_pii_pseudonyms(spark: SparkSession, sf: str) -> DataFrame:
+    docs = read_table(spark, sf, "documents")
+    return pseudonymised(docs, PSEUDONYM_KEY, count="n_values").select("doc_id", "text", "n_values")
+
+
+@query
+def op9_duckdb_byte_bpe(spark: SparkSession, sf: str) -> DataFrame:
+    docs = read_table(spark, sf, "documents").select("doc_id", "text")
+    found = with_ids(docs, public_tokenizers.path("byte_bpe_multi_50k.tiktoken"), public_tokenizers.PATTERN, digests=True)
+    return found.drop("text")

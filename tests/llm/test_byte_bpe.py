@@ -1,0 +1,58 @@
+import base64
+import random
+
+import public_tokenizers
+import pytest
+import tiktoken
+
+from runtide.llm.byte_bpe import pairs_of, pieces_of, with_ids
+from runtide.llm.shared import read_table
+from tests.conftest import SF
+
+PATH = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
+
+
+@pytest.fixture(scope="module")
+def library():
+    with open(PATH, "rb") as lines:
+        ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, lines)}
+    return tiktoken.Encoding("own", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={})
+
+
+def test_words_as_the_library(library):
+    rng = random.Random(6)
+    words = ["".join(rng.choices("aeiouthsrnéñß日本 語", k=rng.randrange(1, 40))) for _ in range(3000)]
+    words += ["a" * n for n in (2, 3, 63, 64, 65, 1000, 1001)] + ["ab" * 700, "=" * 3000, "".join(rng.choices("abcdefgh", k=2000)), "日本語" * 200]
+    got = pairs_of(PATH, public_tokenizers.PATTERN).encode_words([w.encode() for w in words])
+    for w, (ids, decoded) in zip(words, got, strict=True):
+        assert decoded == w.encode()
+        assert ids == library._encode_single_piece(w)
+
+
+def test_pieces_keep_matches_whole(library):
+    for text in ("", " ", "a b", "a  b", "a   b ", " \n a\n b \nc", "x  y   z", "it's 12 a1\r\n\r\n  !! don't", "\x1c a \x1c\x1c b"):
+        pieces = pieces_of(text)
+        assert [i for k, p in enumerate(pieces) for i in library.encode_ordinary(" " * (k > 0) + p)] == library.encode_ordinary(text)
+
+
+def test_documents_as_the_library(spark, library):
+    docs = read_table(spark, SF, "documents").select("doc_id", "text", "n_chars").withColumnRenamed("n_chars", "ids")
+    rows = with_ids(docs.limit(150), PATH, public_tokenizers.PATTERN).toDF("doc_id", "text", "clash", "n", "got", "decoded").collect()
+    assert len(rows) == 150
+    for r in rows:
+        assert r["got"] == library.encode_ordinary(r["text"]) and r["n"] == len(r["got"]) and bytes(r["decoded"]).decode() == r["text"]
+
+
+def test_odd_rows_and_digests(spark, library):
+    import hashlib
+
+    texts = [None, "", "  ", "a", "a", "wörd " * 40_000, "\n\n x"]
+    docs = spark.createDataFrame([(i, t) for i, t in enumerate(texts)] + [(None, "a")], "doc_id int, text string")
+    got = {r["doc_id"]: r for r in with_ids(docs, PATH, public_tokenizers.PATTERN, digests=True).collect()}
+    for i, t in enumerate(texts):
+        ids = library.encode_ordinary(t or "")
+        assert got[i]["n_tokens"] == len(ids)
+        assert got[i]["ids_sha256"] == hashlib.sha256(",".join(map(str, ids)).encode()).hexdigest()
+        assert got[i]["decoded_sha256"] == hashlib.sha256((t or "").encode()).hexdigest()
+    assert got[None]["ids_sha256"] == got[3]["ids_sha256"]
+    assert with_ids(docs.limit(0), PATH, public_tokenizers.PATTERN).count() == 0
