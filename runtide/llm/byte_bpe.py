@@ -9,6 +9,7 @@ from __future__ import annotations
 
 import base64
 import functools
+import gc
 import hashlib
 import re
 
@@ -21,7 +22,7 @@ from pyspark.sql import DataFrame
 from runtide.llm.shared import slices, text_buffers, with_columns
 
 #: Words and bytes that go through one recursive query, and the distinct pieces of text that a worker keeps.
-WORDS_AT_ONCE, BYTES_AT_ONCE, PIECES_KEPT = 1 << 15, 1 << 18, 300_000
+WORDS_AT_ONCE, BYTES_AT_ONCE, PIECES_KEPT = 1 << 16, 1 << 20, 300_000
 #: Longer words may hold many occurrences of a pair: those take all of them in one step where that is the same.
 SHORT = 64
 #: Steps of one recursion for long words; the state is then handed to the next one, so that rows of old steps go.
@@ -31,14 +32,21 @@ _STATE = "(SELECT step, w, pos, tok, lead(tok) OVER (PARTITION BY w ORDER BY pos
 _PAIRED = f"""(SELECT l.step, l.w, l.pos, l.tok, m.safe, (m.rank::BIGINT << 24) + l.pos AS k
     FROM {_STATE} l LEFT JOIN merges m ON m.pair = (l.tok::BIGINT << 20) + l.nxt)"""
 _FINAL = """SELECT w, pos, tok FROM (SELECT *, max(step) OVER (PARTITION BY w) AS last FROM t) WHERE step = last"""
-#: The leftmost pair of least rank of each word is contracted; the row after it goes.
+#: The leftmost pair of least rank of each word is contracted; the row after it goes. Rows stay in the order of words and positions
+#: (one thread, order-preserving operators), so neighbours need no sort; `encode_words` checks each result by its bytes.
 SHORT_SQL = f"""
 WITH RECURSIVE t(step, w, pos, tok) AS (
   SELECT 0, w, pos, tok FROM start_rows
-  UNION ALL
-  SELECT step + 1, w, pos, CASE WHEN k = best THEN (best >> 24)::INTEGER ELSE tok END
-  FROM (SELECT *, min(k) OVER (PARTITION BY w) AS best, lag(k) OVER (PARTITION BY w ORDER BY pos) AS before FROM {_PAIRED})
-  WHERE best IS NOT NULL AND before IS DISTINCT FROM best
+  UNION ALL (
+    WITH paired AS MATERIALIZED (
+      SELECT l.step, l.w, l.pos, l.tok, (m.rank::BIGINT << 24) + l.pos AS k, lag(k) OVER () AS before
+      FROM (SELECT step, w, pos, tok, CASE WHEN lead(w) OVER () = w THEN lead(tok) OVER () END AS nxt FROM t) l
+      LEFT JOIN merges m ON m.pair = (l.tok::BIGINT << 20) + l.nxt
+    ), least AS (SELECT w, min(k) AS best FROM paired GROUP BY w HAVING min(k) IS NOT NULL)
+    SELECT step + 1, paired.w, pos, CASE WHEN k = best THEN (best >> 24)::INTEGER ELSE tok END
+    FROM paired JOIN least ON paired.w = least.w
+    WHERE before IS DISTINCT FROM best
+  )
 ) {_FINAL}"""
 #: If no merge of the new token has a lower rank, the next leftmost pair of least rank is the next one of the same rank: all of
 #: them that don't overlap (every second of a run, from its start) are contracted at once.
@@ -64,7 +72,7 @@ WITH RECURSIVE t(step, w, pos, tok) AS (
   WHERE NOT coalesce(after, false)
 ) {_FINAL}"""
 DECODE_SQL = """
-SELECT w, list(tok ORDER BY pos) AS ids, unhex(string_agg(hex, '' ORDER BY pos)) AS bytes
+SELECT w, CAST(string_agg(tok || ',', '' ORDER BY pos) AS BLOB) AS ids, unhex(string_agg(hex, '' ORDER BY pos)) AS bytes
 FROM ids JOIN vocabulary ON id = tok GROUP BY w ORDER BY w"""
 
 
@@ -92,8 +100,15 @@ class BytePairs:
         self.forget()
 
     def forget(self) -> None:
-        self.known: dict[str, tuple[bytes, bytes, int]] = {}
-        self.pieces = ({}, {})  # by whether a space comes before: piece -> (ids as text, decoded bytes, number of ids)
+        self.known, self.pieces = {}, ({}, {})
+        self.older = self.known, self.pieces
+
+    def age(self) -> None:
+        """Starts a new generation once one is full; what is asked for again comes along, the rest goes with the next."""
+        if len(self.pieces[0]) + len(self.pieces[1]) > PIECES_KEPT:
+            self.older = self.known, self.pieces
+            # word -> (ids as text, decoded bytes); by whether a space comes before: piece -> the same
+            self.known, self.pieces = {}, ({}, {})
 
     def _rows(self, words: list[bytes]) -> pa.Table:
         """One row for each byte, or one for the whole word if the vocabulary has it."""
@@ -108,7 +123,7 @@ class BytePairs:
         w = np.repeat(np.arange(len(words)), sizes)
         return pa.table({"w": w.astype(np.int32), "pos": np.arange(len(data)) - first[w], "tok": tok})
 
-    def _encoded(self, words: list[bytes], long: bool) -> list[tuple[list[int], bytes]]:
+    def _encoded(self, words: list[bytes], long: bool) -> list[tuple[bytes, bytes]]:
         start_rows = self._rows(words)
         while True:
             ids = self.con.sql(LONG_SQL if long else SHORT_SQL).to_arrow_table()
@@ -118,8 +133,8 @@ class BytePairs:
         found = self.con.sql(DECODE_SQL).to_arrow_table()
         return list(zip(found["ids"].to_pylist(), found["bytes"].to_pylist(), strict=True))
 
-    def encode_words(self, words: list[bytes]) -> list[tuple[list[int], bytes]]:
-        """(ids, the bytes that they decode to) of each word; no word is empty."""
+    def encode_words(self, words: list[bytes]) -> list[tuple[bytes, bytes]]:
+        """(ids as decimal numbers with a comma after each, the bytes that they decode to) of each word; no word is empty."""
         out: list = [None] * len(words)
         for long in (False, True):
             own = [i for i, w in enumerate(words) if (len(w) > SHORT) == long]
@@ -127,20 +142,32 @@ class BytePairs:
                 size, n = 0, 0
                 while n < len(own) and n < WORDS_AT_ONCE and (not n or size + len(words[own[n]]) <= BYTES_AT_ONCE):
                     size, n = size + len(words[own[n]]), n + 1
-                for i, x in zip(own[:n], self._encoded([words[i] for i in own[:n]], long), strict=True):
+                part = [words[i] for i in own[:n]]
+                found = self._encoded(part, long)
+                if [x[1] for x in found] != part:
+                    found = self._encoded(part, True)
+                for i, x in zip(own[:n], found, strict=True):
                     out[i] = x
                 own = own[n:]
         return out
 
     def learn(self, pieces: list[tuple[bool, str]]) -> None:
         """Encodes pieces that are not known: each match of the pattern by itself."""
-        matches = [self.pattern.findall(" " + p if spaced else p) for spaced, p in pieces]
-        fresh = list({m for found in matches for m in found}.difference(self.known))
-        for m, (ids, decoded) in zip(fresh, self.encode_words([m.encode() for m in fresh]), strict=True):
-            self.known[m] = ("".join(f"{i}," for i in ids).encode(), decoded, len(ids))
-        for (spaced, p), found in zip(pieces, matches, strict=True):
+        words, older = self.older
+        fresh = []
+        for spaced, p in pieces:
+            if p in older[spaced]:
+                self.pieces[spaced][p] = older[spaced][p]
+            else:
+                fresh.append((spaced, p, self.pattern.findall(" " + p if spaced else p)))
+        matches = {m for *_, found in fresh for m in found}.difference(self.known)
+        self.known.update((m, words[m]) for m in matches if m in words)
+        matches = list(matches.difference(self.known))
+        self.known.update(zip(matches, self.encode_words([m.encode() for m in matches]), strict=True))
+        for spaced, p, found in fresh:
             parts = [self.known[m] for m in found]
-            self.pieces[spaced][p] = (b"".join(x[0] for x in parts), b"".join(x[1] for x in parts), sum(x[2] for x in parts))
+            one = parts[0] if len(parts) == 1 else (b"".join([x[0] for x in parts]), b"".join([x[1] for x in parts]))
+            self.pieces[spaced][p] = one
 
 
 @functools.lru_cache(2)
@@ -169,13 +196,13 @@ def with_ids(docs: DataFrame, path: str, pattern: str, digests: bool = False) ->
     at = docs.columns.index("text")
 
     def work(batch: pa.RecordBatch) -> list[pa.Array]:
+        gc.disable()  # millions of small tuples and no cycles: collections would only walk them
         pairs = pairs_of(path, pattern)
         data, offsets = text_buffers(batch.column(at))
         count, ids, decoded = [], [], []
-        for a, b in slices(offsets, 1 << 23):
+        for a, b in slices(offsets, 1 << 22):
             cut = [pieces_of(data[offsets[k] : offsets[k + 1]].tobytes().decode()) for k in range(a, b)]
-            if len(pairs.pieces[0]) + len(pairs.pieces[1]) > PIECES_KEPT:
-                pairs.forget()
+            pairs.age()
             first, later = pairs.pieces
             fresh = {(True, p) for pieces in cut for p in pieces[1:] if p not in later}
             fresh |= {(False, pieces[0]) for pieces in cut if pieces[0] not in first}
@@ -184,7 +211,7 @@ def with_ids(docs: DataFrame, path: str, pattern: str, digests: bool = False) ->
                 parts = [first[pieces[0]], *map(later.__getitem__, pieces[1:])]
                 text = b"".join([x[0] for x in parts])[:-1]
                 back = b"".join([x[1] for x in parts])
-                count.append(sum([x[2] for x in parts]))
+                count.append(text.count(b",") + bool(text))
                 ids.append(hashlib.sha256(text).hexdigest() if digests else np.array(text.split(b",") if text else [], np.int32))
                 decoded.append(hashlib.sha256(back).hexdigest() if digests else back)
         if digests:
