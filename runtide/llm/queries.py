@@ -10,10 +10,13 @@ from pyspark.sql import functions as F
 
 from runtide.llm.byte_bpe import with_ids
 from runtide.llm.decontaminate import contaminated
+from runtide.llm.minhash import edited_neighbours
 from runtide.llm.pii import pseudonymised
 from runtide.llm.quality import held_out, train_quality, with_quality
+from runtide.llm.repair import token_files
 from runtide.llm.shared import read_table
 from runtide.llm.simhash import simhash_groups
+from runtide.llm.urls import judged_urls, labelled_urls, train_urls
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -57,3 +60,34 @@ def op9_duckdb_byte_bpe(spark: SparkSession, sf: str) -> DataFrame:
     docs = read_table(spark, sf, "documents").select("doc_id", "text")
     found = with_ids(docs, public_tokenizers.path("byte_bpe_multi_50k.tiktoken"), public_tokenizers.PATTERN, digests=True)
     return found.drop("text")
+
+
+@query
+def op10_minhash_fingerprints(spark: SparkSession, sf: str) -> DataFrame:
+    partitions = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    return edited_neighbours(read_table(spark, sf, "documents"), 4 * partitions)
+
+
+#: The rules of the query, fixed values: (rule, verdict).
+URL_RULES = (
+    ("com/", "allow"),
+    ("example.com/en/", "block"),
+    ("www.example.com/en/", "allow"),
+    ("net/es/", "block"),
+    ("net/fr/", "block"),
+)
+
+
+@query
+def op7_url_filter(spark: SparkSession, sf: str) -> DataFrame:
+    pages = read_table(spark, sf, "pages").select("page_id", "url")
+    rules = spark.createDataFrame(URL_RULES, "rule string, verdict string")
+    found = judged_urls(pages, rules, train_urls(labelled_urls(spark)))
+    named = {"url_host": "host", "url_path": "path", "url_rule": "rule", "url_verdict": "verdict"}
+    return found.select("page_id", *(F.col(old).alias(new) for old, new in named.items()))
+
+
+@query
+def op2_repair_token_files(spark: SparkSession, sf: str) -> DataFrame:
+    found = token_files(read_table(spark, sf, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
+    return found.select("doc_id", "start", "n_tokens", "ids_crc32")
