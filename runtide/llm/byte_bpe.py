@@ -22,7 +22,7 @@ from pyspark.sql import DataFrame
 from runtide.llm.shared import slices, text_buffers, with_columns
 
 #: Words and bytes that go through one recursive query, and the distinct pieces of text that a worker keeps.
-WORDS_AT_ONCE, BYTES_AT_ONCE, PIECES_KEPT = 1 << 16, 1 << 20, 300_000
+WORDS_AT_ONCE, BYTES_AT_ONCE, PIECES_KEPT = 1 << 16, 1 << 20, 450_000
 #: Longer words may hold many occurrences of a pair: those take all of them in one step where that is the same.
 SHORT = 64
 #: Steps of one recursion for long words; the state is then handed to the next one, so that rows of old steps go.
@@ -175,7 +175,16 @@ def pairs_of(path: str, pattern: str) -> BytePairs:
     return BytePairs(path, pattern)
 
 
-_ODD, _INNER = re.compile(r"\s\s|^\s|\s$"), re.compile(r"(?<=\S) (?=\S)")
+_INNER = re.compile(r"(?<=\S) (?=\S)")
+#: All white space but the space itself.
+_BLANKS = [c for c in map(chr, range(0x3001)) if c.isspace() and c != " "]
+
+
+def odd_spaces(text: str) -> bool:
+    """Whether a space stands at an end of a text or beside other white space."""
+    if "  " in text or text[:1] == " " or text[-1:] == " ":
+        return True
+    return any(f" {c}" in text or f"{c} " in text for c in _BLANKS if c in text)
 
 
 def pieces_of(text: str) -> list[str]:
@@ -183,7 +192,7 @@ def pieces_of(text: str) -> list[str]:
 
     No match of the pattern spans such a place, since a match with a space in front of visible characters begins with that space.
     """
-    return _INNER.split(text) if _ODD.search(text) else text.split(" ")
+    return _INNER.split(text) if odd_spaces(text) else text.split(" ")
 
 
 def with_ids(docs: DataFrame, path: str, pattern: str, digests: bool = False) -> DataFrame:

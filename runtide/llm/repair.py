@@ -3,17 +3,19 @@
 from __future__ import annotations
 
 import functools
+import gc
 import os
 import struct
 import zlib
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from runtide.llm.byte_bpe import pieces_of
+from runtide.llm.byte_bpe import odd_spaces, pieces_of
 from runtide.llm.shared import fresh_path, slices, text_buffers
 
 MAGIC = b"RPR1"
@@ -21,7 +23,9 @@ MAGIC = b"RPR1"
 SHARD_IDS = 1 << 20
 #: Pairs replaced in one round, and how often a pair must occur to be replaced.
 PAIRS_A_ROUND, LEAST_COUNT = 4096, 24
-PIECES_KEPT = 300_000
+#: Rounds end when one shortens the sequence by less than this share.
+LEAST_GAIN = 0.01
+PIECES_KEPT = 500_000
 
 
 class PieceTokenizer:
@@ -60,17 +64,49 @@ class PieceTokenizer:
             out[i] = len(token)
         return out
 
+    def _known(self, pieces: list[str], spaced: bool) -> list[bytes]:
+        """Ids of distinct pieces, as bytes."""
+        known, older = self.young[spaced], self.old[spaced]
+        fresh = [p for p in pieces if p not in known]
+        known.update((p, older[p]) for p in fresh if p in older)
+        fresh = [p for p in fresh if p not in known]
+        # A comma or full stop after a letter is a token of its own, so the word before it is looked up by itself.
+        tails = [p for p in fresh if p[-1:] in (",", ".") and p[-2:-1].isalpha()] if spaced else []
+        stems = {p[:-1] for p in tails}.difference(known)
+        self._learn(list(stems.union(fresh).difference(tails)), spaced, known)
+        known.update((p, known[p[:-1]] + self.marks[p[-1]]) for p in tails)
+        return [known[p] for p in pieces]
+
+    @functools.cached_property
+    def marks(self) -> dict[str, bytes]:
+        return {c: self._encode([c])[0].tobytes() for c in (",", ".")}
+
     def encode(self, texts: list[str]) -> list[np.ndarray]:
-        cut = [pieces_of(t) for t in texts]
+        """Ids of each text. Texts without odd spaces are cut and made distinct by Arrow."""
         if len(self.young[0]) + len(self.young[1]) > PIECES_KEPT:
             self.young, self.old = ({}, {}), self.young
-        for spaced in (False, True):
-            known, older = self.young[spaced], self.old[spaced]
-            fresh = {p for pieces in cut for p in (pieces[1:] if spaced else pieces[:1]) if p not in known}
-            known.update((p, older[p]) for p in fresh if p in older)
-            self._learn([p for p in fresh if p not in known], spaced, known)
-        first, later = self.young
-        return [np.frombuffer(b"".join([first[p[0]], *map(later.__getitem__, p[1:])]), np.uint32) for p in cut]
+        out: list = [None] * len(texts)
+        plain = [k for k, t in enumerate(texts) if not odd_spaces(t)]
+        for k in set(range(len(texts))).difference(plain):
+            first, *later = pieces_of(texts[k])
+            found = dict(zip(distinct := list(set(later)), self._known(distinct, True), strict=True))
+            out[k] = np.frombuffer(b"".join([*self._known([first], False), *map(found.__getitem__, later)]), np.uint32)
+        halves = [texts[k].partition(" ") for k in plain]
+        firsts = [h[0] for h in halves]
+        found = dict(zip(distinct := list(set(firsts)), self._known(distinct, False), strict=True))
+        lists = pc.split_pattern(pa.array([h[2] if h[1] else None for h in halves], pa.large_string()), " ")
+        coded = lists.flatten().dictionary_encode()
+        raw = self._known(coded.dictionary.to_pylist(), True)
+        sizes = np.array([len(r) // 4 for r in raw], np.int64)
+        every, begin = np.frombuffer(b"".join(raw), np.uint32), np.cumsum(sizes) - sizes
+        index = coded.indices.to_numpy()
+        count = sizes[index]
+        ends = np.concatenate(([0], np.cumsum(count)))
+        ids = every[np.repeat(begin[index] - ends[:-1], count) + np.arange(ends[-1])] if len(index) else every
+        bounds = ends[lists.offsets.to_numpy()]
+        for n, k in enumerate(plain):
+            out[k] = np.concatenate((np.frombuffer(found[firsts[n]], np.uint32), ids[bounds[n] : bounds[n + 1]]))
+        return out
 
 
 @functools.lru_cache(2)
@@ -96,7 +132,7 @@ def compress(ids: np.ndarray, pairs: int = PAIRS_A_ROUND, least: int = LEAST_COU
     """(first nonterminal, rules, sequence): Re-Pair in rounds, each replacing the most frequent pairs.
 
     Where chosen pairs overlap, the more frequent one is taken and, of equals, the first; runs of one id go in twos. Ends when no
-    pair is frequent, or when the next symbol would no longer fit 16 bits if all ids do.
+    pair is frequent, when a round gains little, or when the next symbol would no longer fit 16 bits if all ids do.
     """
     base = int(ids.max()) + 1 if len(ids) else 0
     wide = base >= 1 << 16
@@ -136,6 +172,8 @@ def compress(ids: np.ndarray, pairs: int = PAIRS_A_ROUND, least: int = LEAST_COU
         keep = np.ones(len(seq), bool)
         keep[at + 1] = False
         seq = seq[keep]
+        if len(at) < LEAST_GAIN * len(keep):
+            break
     return base, np.array(rules, np.uint32).reshape(-1, 2), seq
 
 
@@ -210,6 +248,7 @@ def write_shards(docs: DataFrame, path: str, tokenizer: str, end_id: int = 0, pa
     n = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
 
     def work(batches):
+        gc.disable()  # many small objects, no cycles
         encoder, shard = tokenizer_of(tokenizer), 0
         ids: list[np.ndarray] = []
         names: list = []
@@ -227,7 +266,7 @@ def write_shards(docs: DataFrame, path: str, tokenizer: str, end_id: int = 0, pa
         for batch in batches:
             data, offsets = text_buffers(batch.column(1))
             known, part_of = batch.column(0).to_pylist(), batch.column(2)
-            for a, b in slices(offsets, 1 << 22):
+            for a, b in slices(offsets, 1 << 23):
                 part = part_of[0].as_py()
                 found = encoder.encode([data[offsets[k] : offsets[k + 1]].tobytes().decode() for k in range(a, b)])
                 for k, one in zip(range(a, b), found, strict=True):
