@@ -221,7 +221,7 @@ def with_ids(docs: DataFrame, path: str, pattern: str, digests: bool = False) ->
                 text = b"".join([x[0] for x in parts])[:-1]
                 back = b"".join([x[1] for x in parts])
                 count.append(text.count(b",") + bool(text))
-                ids.append(hashlib.sha256(text).hexdigest() if digests else np.array(text.split(b",") if text else [], np.int32))
+                ids.append(hashlib.sha256(text).hexdigest() if digests else np.fromstring(text.decode(), np.int32, sep=",") if text else np.zeros(0, np.int32))
                 decoded.append(hashlib.sha256(back).hexdigest() if digests else back)
         if digests:
             return [pa.array(count, pa.int64()), pa.array(ids, pa.string()), pa.array(decoded, pa.string())]

@@ -12,6 +12,7 @@ from runtide.llm.byte_bpe import with_ids
 from runtide.llm.decontaminate import contaminated
 from runtide.llm.minhash import edited_neighbours
 from runtide.llm.pii import pseudonymised
+from runtide.llm.pseudo_likelihood import score_documents
 from runtide.llm.quality import held_out, train_quality, with_quality
 from runtide.llm.repair import token_files
 from runtide.llm.shared import read_table
@@ -91,3 +92,10 @@ def op7_url_filter(spark: SparkSession, sf: str) -> DataFrame:
 def op2_repair_token_files(spark: SparkSession, sf: str) -> DataFrame:
     found = token_files(read_table(spark, sf, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
     return found.select("doc_id", "start", "n_tokens", "ids_crc32")
+
+
+@query
+def op6_masked_pseudo_likelihood(spark: SparkSession, sf: str) -> DataFrame:
+    scored = score_documents(read_table(spark, sf, "documents").select("doc_id", "text"))
+    mean = F.when(F.col("n_words") > 0, F.col("log_likelihood") / F.col("n_words"))
+    return scored.select("doc_id", "n_words", "log_likelihood", mean.alias("mean_log_probability"))

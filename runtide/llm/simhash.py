@@ -105,6 +105,17 @@ def fingerprint_links(prints: DataFrame, most: int, block: int = 3) -> DataFrame
     return comes.join(lives, "anchor").where(near).select("x", "y")
 
 
+def _first_of_each(prints: DataFrame, most: int, block: int) -> DataFrame:
+    """(fp, first) from distinct (fp, least): the smallest `least` of all fingerprints that links connect with each one."""
+    links = fingerprint_links(prints, most, block)
+    joined = components(links.select(F.col("x").alias("a"), F.col("y").alias("b")))
+    named = prints.join(joined.select(F.col("node").alias("fp"), "component"), "fp", "left")
+    named = named.withColumn("component", F.coalesce("component", "fp"))
+    # One row for each distinct fingerprint of a component, so the minimum is taken before anything is shuffled.
+    lowest = named.groupBy("component").agg(F.min("least").alias("first"))
+    return settle(named.join(lowest, "component").select("fp", "first"), "names")
+
+
 def simhash_groups(docs: DataFrame, words: int = 3, most: int = 2, block: int = 3) -> DataFrame:
     """Every row's doc_id and `fp`, and the smallest doc_id (`component_id`) that links of at most `most` bits reach.
 
@@ -114,11 +125,20 @@ def simhash_groups(docs: DataFrame, words: int = 3, most: int = 2, block: int =
     """
     marked = settle(with_fingerprint(docs.select("doc_id", "text"), words).select("doc_id", "fp"), "fingerprints")
     prints = settle(marked.groupBy("fp").agg(F.min("doc_id").alias("least")), "prints")
-    links = fingerprint_links(prints, most, block)
-    joined = components(links.select(F.col("x").alias("a"), F.col("y").alias("b")))
-    named = prints.join(joined.select(F.col("node").alias("fp"), "component"), "fp", "left")
-    named = named.withColumn("component", F.coalesce("component", "fp"))
-    # One row for each distinct fingerprint of a component, so the minimum is taken before anything is shuffled.
-    lowest = named.groupBy("component").agg(F.min("least").alias("component_id"))
-    names = settle(named.join(lowest, "component").select("fp", "component_id"), "names")
-    return marked.join(names, "fp").select("doc_id", "fp", "component_id")
+    names = _first_of_each(prints, most, block)
+    return marked.join(names, "fp").select("doc_id", "fp", F.col("first").alias("component_id"))
+
+
+def one_of_each_group(docs: DataFrame, words: int = 3, most: int = 2, block: int = 3) -> DataFrame:
+    """`docs` with one row of each component of near-duplicates: the one with the smallest doc_id.
+
+    Rows without an id give way to others; of equal ids, and so of repeated rows, one stays. Columns are those of `docs`.
+    """
+    marked = with_fingerprint(docs, words, "__fp").withColumn("__row", F.monotonically_increasing_id())
+    marked = settle(marked, "marked")  # also fixes the row numbers
+    order = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "__row")
+    prints = settle(marked.groupBy(F.col("__fp").alias("fp")).agg(F.min(order).alias("least")), "prints")
+    names = _first_of_each(prints, most, block)
+    found = marked.select(F.col("__fp").alias("fp"), F.col("__row").alias("row")).join(names, "fp")
+    gone = settle(found.where("row <> first.__row").select(F.col("row").alias("__gone")), "gone")
+    return marked.join(gone, F.col("__row") == F.col("__gone"), "left_anti").select(*docs.columns)
