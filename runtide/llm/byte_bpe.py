@@ -22,7 +22,7 @@ from pyspark.sql import DataFrame
 from runtide.llm.shared import slices, text_buffers, with_columns
 
 #: Words and bytes that go through one recursive query, and the distinct pieces of text that a worker keeps.
-WORDS_AT_ONCE, BYTES_AT_ONCE, PIECES_KEPT = 1 << 16, 1 << 20, 450_000
+WORDS_AT_ONCE, BYTES_AT_ONCE, PIECES_KEPT = 1 << 16, 1 << 20, 400_000
 #: Longer words may hold many occurrences of a pair: those take all of them in one step where that is the same.
 SHORT = 64
 #: Steps of one recursion for long words; the state is then handed to the next one, so that rows of old steps go.
@@ -228,4 +228,4 @@ def with_ids(docs: DataFrame, path: str, pattern: str, digests: bool = False) ->
         return [pa.array(count, pa.int64()), pa.array(ids, pa.list_(pa.int32())), pa.array(decoded, pa.binary())]
 
     more = "n_tokens long, ids_sha256 string, decoded_sha256 string" if digests else "n_tokens long, ids array<int>, decoded binary"
-    return with_columns(docs, more, work)
+    return with_columns(docs, more, work, rows=1024)
