@@ -22,7 +22,7 @@ from pyspark.sql import DataFrame
 from runtide.llm.shared import slices, text_buffers, with_columns
 
 #: Words and bytes that go through one recursive query, and the distinct pieces of text that a worker keeps.
-WORDS_AT_ONCE, BYTES_AT_ONCE, PIECES_KEPT = 1 << 16, 1 << 20, 400_000
+WORDS_AT_ONCE, BYTES_AT_ONCE, PIECES_KEPT = 1 << 16, 1 << 20, 500_000
 #: Longer words may hold many occurrences of a pair: those take all of them in one step where that is the same.
 SHORT = 64
 #: Steps of one recursion for long words; the state is then handed to the next one, so that rows of old steps go.
@@ -103,9 +103,9 @@ class BytePairs:
         self.known, self.pieces = {}, ({}, {})
         self.older = self.known, self.pieces
 
-    def age(self) -> None:
-        """Starts a new generation once one is full; what is asked for again comes along, the rest goes with the next."""
-        if len(self.pieces[0]) + len(self.pieces[1]) > PIECES_KEPT:
+    def age(self, most: int) -> None:
+        """Starts a new generation once one holds `most` pieces; what is asked for again comes along, the rest goes with the next."""
+        if len(self.pieces[0]) + len(self.pieces[1]) > most:
             self.older = self.known, self.pieces
             # word -> (ids as text, decoded bytes); by whether a space comes before: piece -> the same
             self.known, self.pieces = {}, ({}, {})
@@ -195,12 +195,13 @@ def pieces_of(text: str) -> list[str]:
     return _INNER.split(text) if odd_spaces(text) else text.split(" ")
 
 
-def with_ids(docs: DataFrame, path: str, pattern: str, digests: bool = False) -> DataFrame:
+def with_ids(docs: DataFrame, path: str, pattern: str, digests: bool = False, kept: int = PIECES_KEPT) -> DataFrame:
     """`docs` with `ids` (array<int>), `decoded` (binary) and `n_tokens` of each whole `text`; a null text is empty.
 
     With `digests`: n_tokens, ids_sha256 (of the decimal ids joined by commas) and decoded_sha256 instead, which keeps rows small.
     The file at `path` must be on every executor. Repeated rows are encoded alike, no other column is looked at; an empty
-    text has no ids. Memory is bounded by one document, its pieces, and the pieces that are kept between documents.
+    text has no ids. Memory is bounded by one document, its pieces, and `kept` pieces (about 0.8 KB each, two generations)
+    that a worker holds on to: fewer need less memory and more time.
     """
     at = docs.columns.index("text")
 
@@ -211,7 +212,7 @@ def with_ids(docs: DataFrame, path: str, pattern: str, digests: bool = False) ->
         count, ids, decoded = [], [], []
         for a, b in slices(offsets, 1 << 22):
             cut = [pieces_of(data[offsets[k] : offsets[k + 1]].tobytes().decode()) for k in range(a, b)]
-            pairs.age()
+            pairs.age(kept)
             first, later = pairs.pieces
             fresh = {(True, p) for pieces in cut for p in pieces[1:] if p not in later}
             fresh |= {(False, pieces[0]) for pieces in cut if pieces[0] not in first}
