@@ -17,6 +17,7 @@ from runtide.llm.quality import held_out, train_quality, with_quality
 from runtide.llm.repair import token_files
 from runtide.llm.shared import read_table
 from runtide.llm.simhash import simhash_groups
+from runtide.llm.suffixes import without_repeats
 from runtide.llm.urls import judged_urls, labelled_urls, train_urls
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -99,3 +100,8 @@ def op6_masked_pseudo_likelihood(spark: SparkSession, sf: str) -> DataFrame:
     scored = score_documents(read_table(spark, sf, "documents").select("doc_id", "text"))
     mean = F.when(F.col("n_words") > 0, F.col("log_likelihood") / F.col("n_words"))
     return scored.select("doc_id", "n_words", "log_likelihood", mean.alias("mean_log_probability"))
+
+
+@query
+def op3_suffix_array_dedup(spark: SparkSession, sf: str) -> DataFrame:
+    return without_repeats(read_table(spark, sf, "documents")).drop("kept")
