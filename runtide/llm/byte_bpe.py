@@ -22,7 +22,7 @@ from pyspark.sql import DataFrame
 from runtide.llm.shared import slices, text_buffers, with_columns
 
 #: Words and bytes that go through one recursive query, and the distinct pieces of text that a worker keeps.
-WORDS_AT_ONCE, BYTES_AT_ONCE, PIECES_KEPT = 1 << 16, 1 << 20, 500_000
+WORDS_AT_ONCE, BYTES_AT_ONCE, PIECES_KEPT = 1 << 15, 1 << 20, 500_000
 #: Longer words may hold many occurrences of a pair: those take all of them in one step where that is the same.
 SHORT = 64
 #: Steps of one recursion for long words; the state is then handed to the next one, so that rows of old steps go.
@@ -92,7 +92,7 @@ class BytePairs:
             for part in (a, b):
                 least[part] = min(r, least.get(part, r))
         a, b, rank = np.array(pairs, np.int64).T
-        self.con = duckdb.connect(config={"threads": 1, "memory_limit": "400MB", "temp_directory": ""})
+        self.con = duckdb.connect(config={"threads": 1, "memory_limit": "300MB", "temp_directory": ""})
         safe = pa.array([least.get(r, r + 1) > r for r in rank.tolist()])
         merges = pa.table({"pair": (a << 20) + b, "rank": rank.astype(np.int32), "safe": safe})  # noqa: F841
         vocabulary = pa.table({"id": pa.array(self.ranks.values(), pa.int32()), "hex": [t.hex() for t in self.ranks]})  # noqa: F841
@@ -170,7 +170,7 @@ class BytePairs:
             self.pieces[spaced][p] = one
 
 
-@functools.lru_cache(2)
+@functools.lru_cache(1)
 def pairs_of(path: str, pattern: str) -> BytePairs:
     return BytePairs(path, pattern)
 
@@ -180,6 +180,12 @@ _INNER = re.compile(r"(?<=\S) (?=\S)")
 _BLANKS = [c for c in map(chr, range(0x3001)) if c.isspace() and c != " "]
 
 
+def release() -> None:
+    """Gives back the database and all pieces."""
+    pairs_of.cache_clear()
+    gc.collect()
+
+
 def odd_spaces(text: str) -> bool:
     """Whether a space stands at an end of a text or beside other white space."""
     if "  " in text or text[:1] == " " or text[-1:] == " ":
@@ -201,7 +207,8 @@ def with_ids(docs: DataFrame, path: str, pattern: str, digests: bool = False, ke
     With `digests`: n_tokens, ids_sha256 (of the decimal ids joined by commas) and decoded_sha256 instead, which keeps rows small.
     The file at `path` must be on every executor. Repeated rows are encoded alike, no other column is looked at; an empty
     text has no ids. Memory is bounded by one document, its pieces, and `kept` pieces (about 0.8 KB each, two generations)
-    that a worker holds on to: fewer need less memory and more time.
+    that a worker holds on to: fewer need less memory and more time,
+    and a worker that is told to keep fewer than PIECES_KEPT gives all back after each partition.
     """
     at = docs.columns.index("text")
 
@@ -229,4 +236,4 @@ def with_ids(docs: DataFrame, path: str, pattern: str, digests: bool = False, ke
         return [pa.array(count, pa.int64()), pa.array(ids, pa.list_(pa.int32())), pa.array(decoded, pa.binary())]
 
     more = "n_tokens long, ids_sha256 string, decoded_sha256 string" if digests else "n_tokens long, ids array<int>, decoded binary"
-    return with_columns(docs, more, work, rows=1024)
+    return with_columns(docs, more, work, rows=1024, done=None if kept >= PIECES_KEPT else release)

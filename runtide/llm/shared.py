@@ -157,8 +157,11 @@ def grams(h: np.ndarray, offsets: np.ndarray, n: int) -> tuple[np.ndarray, np.nd
     return mixed(out), text[: len(out)] == text[n - 1 :]
 
 
-def with_columns(docs: DataFrame, columns: str, work: Callable[[pa.RecordBatch], list[pa.Array]], rows: int = 4096) -> DataFrame:
-    """`docs` with columns (a DDL list, names not in use) that `work` makes from Arrow batches of at most `rows` rows."""
+def with_columns(docs: DataFrame, columns: str, work: Callable[[pa.RecordBatch], list[pa.Array]], rows: int = 4096, done: Callable[[], None] | None = None) -> DataFrame:
+    """`docs` with columns (a DDL list, names not in use) that `work` makes from Arrow batches of at most `rows` rows.
+
+    `done` is called at the end of each partition.
+    """
     more = docs.sparkSession.createDataFrame([], columns).schema.fields
     old = docs.schema.fields
     kinds = [field.dataType for field in (*old, *more)]
@@ -167,6 +170,8 @@ def with_columns(docs: DataFrame, columns: str, work: Callable[[pa.RecordBatch],
     def run(batches):
         for batch in (b.slice(k, rows) for b in batches for k in range(0, len(b), rows)):
             yield pa.RecordBatch.from_arrays([*batch.columns, *work(batch)], names=names)
+        if done:
+            done()
 
     typed = T.StructType([T.StructField(n, k) for n, k in zip(names, kinds, strict=True)])
     return docs.toDF(*names[: len(old)]).mapInArrow(run, typed).toDF(*(f.name for f in (*old, *more)))
