@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from runtide.llm.shared import grams, settle, slices, text_buffers, words
+from runtide.llm.shared import give_back, grams, settle, slices, text_buffers, words
 
 #: n-grams of test items that a task holds at once (8 MB); more of them go through the documents in blocks.
 GRAMS_PER_BLOCK = 1 << 20
@@ -79,6 +79,7 @@ def gram_counts(docs: DataFrame, grams_: DataFrame, n: int) -> DataFrame:
                     total += np.bincount(np.searchsorted(lookup.block, g[lookup.hits(g)]), minlength=len(total))
             some = np.flatnonzero(total)
             yield pa.RecordBatch.from_arrays([pa.array(lookup.block[some].view(np.int64)), pa.array(total[some])], ["gram", "seen"])
+            give_back()
 
         part = docs.select("text").mapInArrow(run, "gram long, seen long")
         found = part if found is None else found.union(part)
@@ -132,6 +133,7 @@ def seed_passages(docs: DataFrame, keys: list[str], seeds: DataFrame, margin: in
                         [*(batch.column(i).take(pa.array(rows, pa.int64())) for i in range(len(keys))), pa.array(starts, pa.int64()), pa.array(texts, pa.binary()), pa.array(np.array(seeds_, np.uint64).view(np.int64))],
                         names,
                     )
+            give_back()
 
         part = docs.select(*keys, "text").toDF(*names[: len(keys)], "t").mapInArrow(run, f"{kinds}, start long, words binary, gram long")
         found = part if found is None else found.union(part)
