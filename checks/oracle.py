@@ -229,6 +229,8 @@ SUCCESS_BODY_OK = in_ok(one_body(SUCCESS_INTRO, REPORT_TABLE))
 
 FINAL = {
     "runs_scan": "select * from flat",
+    "runs_scan_window": f"""
+    select * from flat where start_time_in_ms >= {1_705_104_000_000} and start_time_in_ms < {1_705_104_000_000 + 3 * DAY_MS}""",
     "dependencies_scan": "select * from dependencies",
     "file_inventory_of_pages": """
     select distinct concat('day=', cast(cast(ts as date) as varchar)) as folder, cast(1 as bigint) as folders,
@@ -307,6 +309,14 @@ FINAL = {
       end as css_class from events""",
     "html_layer_report": f"""
     select cast(0 as int) as part, cast(1 as int) as parts, {one_body(SUCCESS_INTRO, REPORT_TABLE)} as body""",
+    "html_long_report": f"""
+    select cast(place // 1000 as int) as part, cast(any_value(parts) as int) as parts,
+      concat('<br><br><table border=''1''><thead><tr><th>o_orderpriority</th><th>o_orderstatus</th><th>o_orderkey</th></tr></thead><tbody>',
+        string_agg(line, '' order by place), '</tbody></table>') as html
+    from (select concat('<tr>', {cell('o_orderpriority')}, {cell('o_orderstatus')}, {cell('cast(o_orderkey as varchar)')}, '</tr>') as line,
+        row_number() over (order by o_orderpriority, cast(o_orderkey as varchar)) - 1 as place,
+        (count(*) over () + 999) // 1000 as parts from orders)
+    group by place // 1000""",
     "html_two_tables": f"""
     select cast(0 as int) as part, cast(1 as int) as parts,
       {one_body(FAILURE_INTRO, FAILURE_TABLE, f"'<br><br>SFTP Workflow Status', {STYLE}, {REPORT_TABLE}")} as body""",

@@ -26,7 +26,7 @@ from runtide.functions.text import cell_class, date_label, failure_intro, name_l
 from runtide.operators import layers as lay
 from runtide.operators import status as sta
 from runtide.operators.notify import notification_rows, notifications_on
-from runtide.operators.report import html_report
+from runtide.operators.report import html_report, html_table
 from runtide.operators.runlog import upsert_runs
 from runtide.operators.runs import (
     flatten_runs,
@@ -83,6 +83,16 @@ def runs_scan(spark: SparkSession, sf: str) -> DataFrame:
     return flatten_runs(read_runs(spark, path))
 
 
+@query
+def runs_scan_window(spark: SparkSession, sf: str) -> DataFrame:
+    """Runs landed in a folder per start day; a look-back that opens the folders of three days only."""
+    path = fresh_path(spark, "daily")
+    daily = raw_runs(spark, sf).withColumn("day", F.date_format(F.timestamp_millis("start_time"), "yyyy-MM-dd"))
+    land_pages(daily, F.floor(F.col("run_id") / 1000), path, ("day",))
+    window = F.col("day").between("2024-01-13", "2024-01-15")
+    return flatten_runs(read_runs(spark, path, pages=window))
+
+
 @query
 def dependencies_scan(spark: SparkSession, sf: str) -> DataFrame:
     path = fresh_path(spark, "dependencies")
@@ -302,6 +312,13 @@ def html_two_tables(spark: SparkSession, sf: str) -> DataFrame:
     return html_report(failed, intro, order, second=lay.layer_report(layers), second_order=["Data Layer"])
 
 
+@query
+def html_long_report(spark: SparkSession, sf: str) -> DataFrame:
+    """All orders as one sorted table, in parts of 1,000 lines."""
+    orders = table(spark, sf, "orders").select("o_orderpriority", "o_orderstatus", F.col("o_orderkey").cast("string").alias("o_orderkey"))
+    return html_table(orders, ["o_orderpriority", "o_orderkey"])
+
+
 # Notifications
 
 

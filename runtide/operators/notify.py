@@ -51,5 +51,12 @@ def notification_rows(
 
 
 def notifications_on(log: DataFrame, day: dt.date) -> DataFrame:
-    """Audit query: the notifications sent on `day`, descending by object type."""
-    return log.where(F.to_date("NotificationDttm") == F.lit(day)).orderBy(F.col("ObjectType").desc())
+    """Audit query: the notifications sent on `day`, descending by object type, then by workflow and job.
+
+    Rows are filed under the day they were inserted, which is that of the notification: only its partition is read.
+    The further sort keys let ranges of one object type go to many tasks.
+    """
+    sent = log.where(F.to_date("NotificationDttm") == F.lit(day))
+    if NOTIFICATION_PARTITION in log.columns:
+        sent = sent.where(F.col(NOTIFICATION_PARTITION) == F.lit(day))
+    return sent.orderBy(F.col("ObjectType").desc(), "WorkflowName", "job_id")

@@ -1,4 +1,4 @@
-"""HTML reports as DataFrames: a report is one row per part, and one part unless it is very long."""
+"""HTML reports as DataFrames: numbered lines, shown in parts of consecutive positions."""
 
 from __future__ import annotations
 
@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from runtide.functions.text import STYLE_SHEET, html_cell
+from runtide.plans.lineage import settle
 
 ROWS_PER_PART = 1000
 
@@ -31,44 +32,51 @@ def html_row(df: DataFrame, escape: bool = False) -> Column:
     return F.concat(F.lit("<tr>"), F.array_join(cells, ""), F.lit("</tr>"))
 
 
-def part_count(rows_per_part: int = ROWS_PER_PART) -> Column:
-    """Aggregate: how many parts the report over a frame has, one for an empty frame."""
-    return F.greatest(F.ceil(F.count(F.lit(1)) / rows_per_part), F.lit(1)).cast("int")
-
+def numbered_lines(
+    df: DataFrame, order: Sequence[str], escape: bool = False, rows_per_part: int = ROWS_PER_PART
+) -> DataFrame:
+    """`df` with `line` (its `<tr>`), `position` (from 0, ascending by `order`, ties by line) and `part`.
 
-def part_of(row: Column, parts: Column, chunk: Column | int = 0) -> Column:
-    """The part that a rendered row falls into: by hash, so it needs no global numbering."""
-    chunk = chunk if isinstance(chunk, Column) else F.lit(chunk)
-    return F.pmod(F.xxhash64(row, chunk.cast("bigint")), parts.cast("bigint")).cast("int")
+    A part is `rows_per_part` consecutive positions. Rows are sorted in ranges and numbered within each; only one count
+    for each range is needed to place them, so no task numbers all rows. Settled, so numbers stay what they are.
+    """
+    rows = df.select("*", html_row(df, escape).alias("line"))
+    ranges = settle(
+        rows.orderBy(*(F.col(f"`{name}`") for name in order), "line").withColumn("id", F.monotonically_increasing_id()),
+        "lines",
+    )
+    ranges = ranges.withColumn("range", F.shiftright("id", 33)).withColumn("at", F.expr("id & 8589934591L"))
+    ahead, before = 0, []
+    for number, lines in ranges.groupBy("range").agg(F.count(F.lit(1))).orderBy("range").collect():
+        before.append((number, ahead))
+        ahead += lines
+    starts = df.sparkSession.createDataFrame(before, "range bigint, ahead bigint")
+    position = F.col("ahead") + F.col("at")
+    return ranges.join(starts, "range").select(
+        *(F.col(f"`{name}`") for name in df.columns),
+        "line",
+        position.alias("position"),
+        F.floor(position / rows_per_part).cast("int").alias("part"),
+    )
 
 
 def html_table(
     df: DataFrame, order: Sequence[str], escape: bool = False, rows_per_part: int = ROWS_PER_PART
 ) -> DataFrame:
-    """`df` as HTML tables (part, parts, html), rows ascending by `order` within each part.
+    """`df` as HTML tables (part, parts, html), rows ascending by `order` within and across parts.
 
-    Up to `rows_per_part` rows make one part. More are spread over several, so that no task and no
-    text ever holds an unbounded number of rows, and none is dropped. Equal rows are counted before
-    the shuffle and written out in chunks, which bounds a part even if most rows are copies.
+    The parts one after another are the one sorted table at any size; a part bounds the length of a text and of what a
+    task gathers, and no row is dropped.
     """
     titles = (f"<th>{html.escape(name) if escape else name}</th>" for name in df.columns)
     head = F.lit(TABLE_OPEN + "".join(titles) + "</tr></thead><tbody>")
-    counted = df.agg(part_count(rows_per_part).alias("parts"))
-    parts = counted.select(F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("part"), "parts")
-    rows = (
-        df.select(F.struct(*(F.col(f"`{name}`") for name in order)).alias("place"), html_row(df, escape=escape).alias("row"))
-        .groupBy("place", "row")
-        .agg(F.count(F.lit(1)).alias("copies"))
-        .withColumn("chunk", F.explode(F.expr(f"sequence(0, (copies - 1) div {rows_per_part})")))
-        .withColumn("here", F.least(F.col("copies") - F.col("chunk") * rows_per_part, F.lit(rows_per_part)))
-        .select(
-            part_of(F.col("row"), counted.scalar(), F.col("chunk")).alias("row_part"),
-            F.struct("place", F.expr("repeat(row, int(here))").alias("text")).alias("line"),
-        )
-        .groupBy("row_part")
-        .agg(F.array_sort(F.collect_list("line")).alias("lines"))
+    lines = settle(numbered_lines(df, order, escape, rows_per_part).select("part", "position", "line"), "numbered")
+    count = lines.agg(F.greatest(F.coalesce(F.max("part") + 1, F.lit(1)), F.lit(1)).cast("int").alias("parts"))
+    parts = count.select(F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("part"), "parts")
+    rows = lines.groupBy(F.col("part").alias("row_part")).agg(
+        F.array_sort(F.collect_list(F.struct("position", "line"))).alias("lines")
     )
-    body = F.coalesce(F.array_join(F.col("lines.text"), ""), F.lit(""))
+    body = F.coalesce(F.array_join(F.col("lines.line"), ""), F.lit(""))
     return parts.join(rows, F.col("part") == F.col("row_part"), "left_outer").select(
         "part", "parts", F.concat(head, body, F.lit("</tbody></table>")).alias("html")
     )

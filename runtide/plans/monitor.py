@@ -19,7 +19,7 @@ from runtide.operators.layers import (
     layer_status,
 )
 from runtide.operators.notify import notification_rows
-from runtide.operators.report import ROWS_PER_PART, html_report, html_row, part_count, part_of
+from runtide.operators.report import ROWS_PER_PART, html_report, numbered_lines
 from runtide.operators.runs import flatten_runs, runs_lookback, runs_today_latest
 from runtide.operators.status import (
     dependency_needs,
@@ -115,6 +115,9 @@ def monitor(
     success_body = html_report(
         report, success_intro(layer_label(layers, "Layer").scalar()), ["Data Layer"], rows_per_part=rows_per_part
     ).where(gate.select("gate_open").scalar())
+    if dedupe == "after_status":
+        # The gate counts what was notified before, too: without anything new to tell, it is told once.
+        success_body = success_body.where(fresh.agg(F.count("job_id") > 0).scalar())
 
     def message(kind: str, body: DataFrame, to: str) -> DataFrame:
         made = {
@@ -125,21 +128,19 @@ def monitor(
         }
         return body.select(*(made.get(name, F.col(name)).alias(name) for name in OUTBOX_COLUMNS))
 
-    def parts_of(rows: DataFrame) -> DataFrame:
-        return rows.withColumn("part", part_of(html_row(rows), rows.agg(part_count(rows_per_part)).scalar()))
-
-    def reported_in(rows: DataFrame, lines: DataFrame, same: dict[str, str]) -> DataFrame:
-        """`rows` with the part in which the line of each was reported."""
-        lines = parts_of(lines).select("part", *(F.col(f"`{line}`").alias(f"line_{row}") for row, line in same.items()))
+    def reported_in(rows: DataFrame, lines: DataFrame, order: Sequence[str], same: dict[str, str]) -> DataFrame:
+        """`rows` with the part in which the line of each was reported first."""
+        named = [F.col(f"`{line}`").alias(f"line_{row}") for row, line in same.items()]
+        parts = numbered_lines(lines, order, rows_per_part=rows_per_part).groupBy(*named).agg(F.min("part").alias("part"))
         match = [F.col(row).eqNullSafe(F.col(f"line_{row}")) for row in same]
-        return rows.join(lines, match).drop(*(f"line_{row}" for row in same))
+        return rows.join(parts, match).drop(*(f"line_{row}" for row in same))
 
     failure_rows = notification_rows(
-        reported_in(failed, failures, {"run_id": "RunId", "run_name": "WorkflowName", "layer": "Layer", "SLA": "SLA"}),
+        reported_in(failed, failures, failure_order, {"run_id": "RunId", "run_name": "WorkflowName", "layer": "Layer", "SLA": "SLA"}),
         "result_state", failure_recipients, failure_body, as_of, tz,
     )
     success_rows = notification_rows(
-        reported_in(fresh, report, {"layer": "Data Layer", "SLA": "SLA"}),
+        reported_in(fresh, report, ["Data Layer"], {"layer": "Data Layer", "SLA": "SLA"}),
         "result_state", success_recipients, success_body, as_of, tz,
     )
     return {

@@ -8,7 +8,9 @@ from pyspark.sql import functions as F
 from runtide.schema import RUN_PAGE_DDL
 
 
-def read_runs(spark: SparkSession, path: str, format: str = "json", multi_line: bool = False) -> DataFrame:
+def read_runs(
+    spark: SparkSession, path: str, format: str = "json", multi_line: bool = False, pages: Column | str | None = None
+) -> DataFrame:
     """Raw runs, one nested row each, from the pages landed below `path`.
 
     `"json"`: each document is one page, `{"runs": [...]}`, on a line of its own, so that large
@@ -16,12 +18,15 @@ def read_runs(spark: SparkSession, path: str, format: str = "json", multi_line:
     format holds one run per row, with the names and nesting of the payload, and gets column
     pruning and filters on `start_time` down to its row groups. Missing keys are null; text that
     is no JSON is an error.
+
+    `pages` is a condition on the folder columns of the landing (such as `day >= '2024-01-14'` below `day=...`). It is
+    applied before pages are opened, so a look-back reads its own folders only.
     """
     if format != "json":
-        return spark.read.format(format).load(path)
-    return runs_of_pages(
-        spark.read.schema(RUN_PAGE_DDL).option("multiLine", multi_line).option("mode", "FAILFAST").json(path)
-    )
+        landed = spark.read.format(format).load(path)
+        return landed if pages is None else landed.where(pages)
+    landed = spark.read.schema(RUN_PAGE_DDL).option("multiLine", multi_line).option("mode", "FAILFAST").json(path)
+    return runs_of_pages(landed if pages is None else landed.where(pages))
 
 
 def runs_of_pages(pages: DataFrame) -> DataFrame:

@@ -19,6 +19,7 @@ def spark():
         .config("spark.sql.shuffle.partitions", "8")
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.sql.warehouse.dir", tempfile.mkdtemp(prefix="runtide-warehouse-"))
+        .config("spark.checkpoint.dir", tempfile.mkdtemp(prefix="runtide-shared-"))
         .config("spark.ui.enabled", "false")
         .config("spark.driver.memory", "8g")
         .getOrCreate()

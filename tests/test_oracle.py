@@ -3,7 +3,9 @@
 import duckdb
 import pytest
 
-from __spark_entry__ import entry, oracle_sql, queries
+from __spark_entry__ import entry
+from checks.oracle import ORACLE_SQL
+from checks.queries import QUERIES
 from tests.conftest import SF
 
 TABLES = (
@@ -34,13 +36,13 @@ def rows_of(arrow):
 
 
 def test_every_query_has_sql():
-    assert set(queries()) == set(oracle_sql())
+    assert set(QUERIES) == set(ORACLE_SQL)
 
 
-@pytest.mark.parametrize("name", sorted(queries()))
+@pytest.mark.parametrize("name", sorted(QUERIES))
 def test_query_equals_sql(spark, duck, name):
-    found = queries()[name](spark, SF)
-    wanted = duck.sql(oracle_sql()[name])
+    found = QUERIES[name](spark, SF)
+    wanted = duck.sql(ORACLE_SQL[name])
     types = {column: SQL_TYPES[kind] for column, kind in found.dtypes}
     assert types == dict(zip(wanted.columns, map(str, wanted.types), strict=True))
     plan = found._jdf.queryExecution().executedPlan().toString()

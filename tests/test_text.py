@@ -1,3 +1,4 @@
+import re
 import datetime as dt
 
 import pytest
@@ -139,3 +140,16 @@ def test_second_table_longer_than_the_first(spark, small):
     assert [(row.part, row.parts) for row in body] == [(i, 5) for i in range(5)]
     assert sum(row.body.count("<th>Data Layer</th>") for row in body) == 1
     assert sum(row.body.count("<th>name</th>") for row in body) == 5
+
+
+def test_parts_one_after_another_are_the_sorted_table(spark):
+    """One row more than a part holds: positions go on in the second part."""
+    from runtide.operators.report import html_table, numbered_lines
+
+    rows = [(f"n{k:04d}",) for k in range(101)] + [("n0050",)] * 3
+    df = spark.createDataFrame(rows, "name string").repartition(7)
+    parts = html_table(df, ["name"], rows_per_part=100).orderBy("part").collect()
+    shown = [cell for part in parts for cell in re.findall(r"n\d{4}", part["html"])]
+    assert [p["parts"] for p in parts] == [2, 2] and shown == sorted(name for (name,) in rows)
+    places = [r["position"] for r in numbered_lines(df, ["name"], rows_per_part=100).orderBy("position").collect()]
+    assert places == list(range(104))
