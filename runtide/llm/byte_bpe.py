@@ -97,6 +97,7 @@ class BytePairs:
         merges = pa.table({"pair": (a << 20) + b, "rank": rank.astype(np.int32), "safe": safe})  # noqa: F841
         vocabulary = pa.table({"id": pa.array(self.ranks.values(), pa.int32()), "hex": [t.hex() for t in self.ranks]})  # noqa: F841
         self.con.execute("CREATE TABLE merges AS SELECT * FROM merges").execute("CREATE TABLE vocabulary AS SELECT * FROM vocabulary")
+        self.words_at_once = WORDS_AT_ONCE
         self.forget()
 
     def forget(self) -> None:
@@ -140,7 +141,7 @@ class BytePairs:
             own = [i for i, w in enumerate(words) if (len(w) > SHORT) == long]
             while own:
                 size, n = 0, 0
-                while n < len(own) and n < WORDS_AT_ONCE and (not n or size + len(words[own[n]]) <= BYTES_AT_ONCE):
+                while n < len(own) and n < self.words_at_once and (not n or size + len(words[own[n]]) <= BYTES_AT_ONCE):
                     size, n = size + len(words[own[n]]), n + 1
                 part = [words[i] for i in own[:n]]
                 found = self._encoded(part, long)
@@ -215,6 +216,8 @@ def with_ids(docs: DataFrame, path: str, pattern: str, digests: bool = False, ke
     def work(batch: pa.RecordBatch) -> list[pa.Array]:
         gc.disable()  # millions of small tuples and no cycles: collections would only walk them
         pairs = pairs_of(path, pattern)
+        # A recursion holds the rows of all its steps: fewer words at once where memory is short.
+        pairs.words_at_once = WORDS_AT_ONCE if kept >= PIECES_KEPT else WORDS_AT_ONCE // 8
         data, offsets = text_buffers(batch.column(at))
         count, ids, decoded = [], [], []
         for a, b in slices(offsets, 1 << 22):
