@@ -7,6 +7,7 @@ out the documents, and a worker asks the database once for each distinct word th
 
 from __future__ import annotations
 
+import array
 import base64
 import functools
 import gc
@@ -23,6 +24,8 @@ from runtide.llm.shared import slices, text_buffers, with_columns
 
 #: Words and bytes that go through one recursive query, and the distinct pieces of text that a worker keeps.
 WORDS_AT_ONCE, BYTES_AT_ONCE, PIECES_KEPT = 1 << 15, 1 << 20, 500_000
+#: Bytes of text whose pieces are held at once, and the same for a worker that is told to keep fewer pieces.
+TEXT_AT_ONCE, LESS_AT_ONCE = 1 << 22, 1 << 19
 #: Longer words may hold many occurrences of a pair: those take all of them in one step where that is the same.
 SHORT = 64
 #: Steps of one recursion for long words; the state is then handed to the next one, so that rows of old steps go.
@@ -84,14 +87,17 @@ class BytePairs:
             self.ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, lines)}
         self.pattern = regex.compile(pattern)
         self.bytes = np.array([self.ranks[bytes([i])] for i in range(256)], np.int32)
-        pairs = [
-            (self.ranks[t[:i]], self.ranks[t[i:]], r) for t, r in self.ranks.items() for i in range(1, len(t)) if t[:i] in self.ranks and t[i:] in self.ranks
-        ]
+        # Flat arrays: a list of tuples would take ten times their memory.
+        a, b, rank = (array.array("q") for _ in range(3))
         least: dict[int, int] = {}
-        for a, b, r in pairs:
-            for part in (a, b):
-                least[part] = min(r, least.get(part, r))
-        a, b, rank = np.array(pairs, np.int64).T
+        for t, r in self.ranks.items():
+            for i in range(1, len(t)):
+                left, right = self.ranks.get(t[:i]), self.ranks.get(t[i:])
+                if left is not None and right is not None:
+                    a.append(left), b.append(right), rank.append(r)
+                    for part in (left, right):
+                        least[part] = min(r, least.get(part, r))
+        a, b, rank = (np.frombuffer(c, np.int64) for c in (a, b, rank))
         self.con = duckdb.connect(config={"threads": 1, "memory_limit": "300MB", "temp_directory": ""})
         safe = pa.array([least.get(r, r + 1) > r for r in rank.tolist()])
         merges = pa.table({"pair": (a << 20) + b, "rank": rank.astype(np.int32), "safe": safe})  # noqa: F841
@@ -208,8 +214,8 @@ def with_ids(docs: DataFrame, path: str, pattern: str, digests: bool = False, ke
     With `digests`: n_tokens, ids_sha256 (of the decimal ids joined by commas) and decoded_sha256 instead, which keeps rows small.
     The file at `path` must be on every executor. Repeated rows are encoded alike, no other column is looked at; an empty
     text has no ids. Memory is bounded by one document, its pieces, and `kept` pieces (about 0.8 KB each, two generations)
-    that a worker holds on to: fewer need less memory and more time,
-    and a worker that is told to keep fewer than PIECES_KEPT gives all back after each partition.
+    that a worker holds on to: fewer need less memory and more time. A worker that is told to keep fewer than PIECES_KEPT also looks at
+    less text at once, since each look adds all its new pieces, and gives all back after each partition.
     """
     at = docs.columns.index("text")
 
@@ -220,7 +226,7 @@ def with_ids(docs: DataFrame, path: str, pattern: str, digests: bool = False, ke
         pairs.words_at_once = WORDS_AT_ONCE if kept >= PIECES_KEPT else WORDS_AT_ONCE // 8
         data, offsets = text_buffers(batch.column(at))
         count, ids, decoded = [], [], []
-        for a, b in slices(offsets, 1 << 22):
+        for a, b in slices(offsets, TEXT_AT_ONCE if kept >= PIECES_KEPT else LESS_AT_ONCE):
             cut = [pieces_of(data[offsets[k] : offsets[k + 1]].tobytes().decode()) for k in range(a, b)]
             pairs.age(kept)
             first, later = pairs.pieces
