@@ -193,6 +193,23 @@ VIEWS = {
 }
 
 STATUS_OUTPUT = "layer, SLA, DependsOn, run_id, job_id, run_name, result_state, EventType"
+RUN_LOG_UPSERT = """
+    , old as (
+      select cast(run_id as bigint) as RunId,
+        coalesce(attempt_number, 0) + case when cast(run_id as bigint) % 3 = 0 then 0 else 100 end as attempt_number,
+        cast(job_id as bigint) as WorkFlowId, {old}
+      from flat),
+    new as (
+      select cast(run_id as bigint) as RunId, coalesce(attempt_number, 0) as attempt_number,
+        cast(job_id as bigint) as WorkFlowId, {new}
+      from flat)
+    select n.* replace (o.WorkFlowMetSLAFlag as WorkFlowMetSLAFlag) from new n
+      left join old o on n.RunId = o.RunId and n.WorkFlowId = o.WorkFlowId and n.attempt_number = o.attempt_number
+    union all
+    select * from old o where not exists (select 1 from new n
+      where n.RunId = o.RunId and n.WorkFlowId = o.WorkFlowId and n.attempt_number = o.attempt_number)"""
+#: Runs start at whole seconds of UTC, and their partition is the date of that.
+RUN_LOG_DAY = ", cast(epoch_ms(start_time_in_ms) as date) as PartitionDate"
 GATE = """
     select count(*) as total_layers, count(*) filter (DependsOnWorkflowCount = SuccessCount) as matched_layers,
       count(*) > 0 and count(*) = count(*) filter (DependsOnWorkflowCount = SuccessCount) as gate_open"""
@@ -208,6 +225,13 @@ RUN_LOG_VALUES = """
     "trigger" as WorkFlowStartType, cast(start_time_in_est as varchar) as WorkFlowStartDttm,
     {end} as WorkFlowEndDttm, {duration} as WorkFlowDuration, {state} as WorkFlowState,
     state_message as WorkFlowMessage, {flag} as WorkFlowMetSLAFlag, {inserted} as InsertedOn"""
+OLD_VALUES = {
+    "end": "cast(null as varchar)",
+    "duration": "cast(null as varchar)",
+    "state": "'OLD'",
+    "flag": "'Y'",
+    "inserted": "timestamp '2024-01-14 12:00:00'",
+}
 NEW_VALUES = {
     "end": "cast(end_time_in_est as varchar)",
     "duration": "cast(run_duration_min as varchar)",
@@ -255,23 +279,14 @@ FINAL = {
     select run_id, state as result_state, state as EventType
     from (select run_id, case when state_message = 'In run' and run_name is not null then 'SUCCESS'
       else result_state end as state from flat)""",
-    "run_log_upsert": f"""
-    , old as (
-      select cast(run_id as bigint) as RunId,
-        coalesce(attempt_number, 0) + case when cast(run_id as bigint) % 3 = 0 then 0 else 100 end as attempt_number,
-        cast(job_id as bigint) as WorkFlowId, {RUN_LOG_VALUES.format(
-            end='cast(null as varchar)', duration='cast(null as varchar)', state="'OLD'", flag="'Y'",
-            inserted="timestamp '2024-01-14 12:00:00'")}
-      from flat),
-    new as (
-      select cast(run_id as bigint) as RunId, coalesce(attempt_number, 0) as attempt_number,
-        cast(job_id as bigint) as WorkFlowId, {RUN_LOG_VALUES.format(flag='cast(null as varchar)', **NEW_VALUES)}
-      from flat)
-    select n.* replace (o.WorkFlowMetSLAFlag as WorkFlowMetSLAFlag) from new n
-      left join old o on n.RunId = o.RunId and n.WorkFlowId = o.WorkFlowId and n.attempt_number = o.attempt_number
-    union all
-    select * from old o where not exists (select 1 from new n
-      where n.RunId = o.RunId and n.WorkFlowId = o.WorkFlowId and n.attempt_number = o.attempt_number)""",
+    "run_log_upsert": RUN_LOG_UPSERT.format(
+        old=RUN_LOG_VALUES.format(**OLD_VALUES), new=RUN_LOG_VALUES.format(flag="cast(null as varchar)", **NEW_VALUES)
+    ),
+    "run_log_written": RUN_LOG_UPSERT.format(
+        old=RUN_LOG_VALUES.format(**OLD_VALUES) + RUN_LOG_DAY,
+        new=RUN_LOG_VALUES.format(flag="cast(null as varchar)", **NEW_VALUES) + RUN_LOG_DAY,
+    ),
+    "notifications_appended": LOGGED.format(to=RECIPIENTS, body="'body'", source="failed"),
     "dependency_status": "select d.*, t.* from dependencies d left join today t on d.DependsOn = t.run_name",
     "dependency_rejoin": """
     , shared as (

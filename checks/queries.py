@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -37,10 +38,11 @@ from runtide.operators.runs import (
 )
 from runtide.plans.lineage import fresh_path, settle
 from runtide.plans.monitor import monitor, open_status, settled_today
-from runtide.schema import RUN_LOG_COLUMNS
+from runtide.schema import NOTIFICATION_PARTITION, RUN_LOG_COLUMNS
 from runtide.sources.dependencies import SLA_BY_LAYER, read_dependencies
 from runtide.sources.files import file_inventory
 from runtide.sources.payload import land_pages, read_runs
+from runtide.sources.tables import TableNames, append_notifications, ensure_tables, write_run_log
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -174,17 +176,35 @@ def run_log_upsert(spark: SparkSession, sf: str) -> DataFrame:
     return upsert_runs(run_log(spark, sf), flat_runs(spark, sf), AS_OF).select(*RUN_LOG_COLUMNS)
 
 
+def _tables(spark: SparkSession) -> TableNames:
+    """Log tables of one call, in the shared folder."""
+    tag = uuid.uuid4().hex
+    names = TableNames(f"run_log_{tag}", f"notification_log_{tag}", f"outbox_{tag}")
+    ensure_tables(spark, names, location=fresh_path(spark, "tables"))
+    return names
+
+
+@query
+def run_log_written(spark: SparkSession, sf: str) -> DataFrame:
+    """The run log as a table: created, filled, the same pull upserted twice, read back with its partition."""
+    names = _tables(spark)
+    run_log(spark, sf).write.insertInto(names.run_log)
+    for _ in range(2):
+        write_run_log(flat_runs(spark, sf), names.run_log, AS_OF, null_keys="match", older="kept")
+    return spark.table(names.run_log)
+
+
 # Status
 
 
 @query
 def dependency_status(spark: SparkSession, sf: str) -> DataFrame:
-    return sta.dependency_status(dependencies(spark, sf), today_runs(spark, sf))
+    return sta.dependency_status(dependencies(spark, sf), settle(today_runs(spark, sf), "today"))
 
 
 @query
 def dependency_rejoin(spark: SparkSession, sf: str) -> DataFrame:
-    runs = shared_name_runs(spark, sf)
+    runs = settle(shared_name_runs(spark, sf), "today")
     return sta.dependency_rejoin(sta.dependency_status(dependencies(spark, sf), runs), runs).select(
         "DependsOn", "layer", "run_id", "job_id", "run_name", "copies"
     )
@@ -305,8 +325,9 @@ def html_layer_report(spark: SparkSession, sf: str) -> DataFrame:
 @query
 def html_two_tables(spark: SparkSession, sf: str) -> DataFrame:
     """The failure report, with the layer report as second table."""
-    layers = settle(lay.layer_status(_fresh(spark, sf)), "layers")
-    failed = settle(failure_report(spark, sf), "failures")
+    fresh = settle(_fresh(spark, sf), "fresh")
+    layers = settle(lay.layer_status(fresh), "layers")
+    failed = settle(lay.failure_report(sta.failed_runs(fresh, _notified(spark, sf))), "failures")
     intro = failure_intro(lay.layer_label(failed, "Layer").scalar())
     order = ["SLA", "WorkflowName", "RunId"]
     return html_report(failed, intro, order, second=lay.layer_report(layers), second_order=["Data Layer"])
@@ -328,6 +349,16 @@ def notification_rows_of_failures(spark: SparkSession, sf: str) -> DataFrame:
     return notification_rows(failed, "result_state", RECIPIENTS, "body", AS_OF)
 
 
+@query
+def notifications_appended(spark: SparkSession, sf: str) -> DataFrame:
+    """The log as a table: earlier notifications filed under their days, those of failures appended, the new ones read back."""
+    names = _tables(spark)
+    earlier = notification_log(spark, sf).withColumn(NOTIFICATION_PARTITION, F.to_date("InsertedOn"))
+    append_notifications(earlier, names.notification_log)
+    append_notifications(notification_rows_of_failures(spark, sf), names.notification_log)
+    return notifications_on(spark.table(names.notification_log), DAY).where("NotificationEmailContent = 'body'")
+
+
 @query
 def notifications_today(spark: SparkSession, sf: str) -> DataFrame:
     return notifications_on(notification_log(spark, sf), DAY)

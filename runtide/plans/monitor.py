@@ -82,6 +82,8 @@ def monitor(
     failure_recipients: str = "",
     success_recipients: str = "",
     rows_per_part: int = ROWS_PER_PART,
+    subject_prefix: str | None = None,
+    escape: bool = False,
 ) -> dict[str, DataFrame]:
     """Everything that one scheduled run finds out, as frames; nothing is written to the logs.
 
@@ -111,9 +113,14 @@ def monitor(
         failure_intro(layer_label(failures, "Layer").scalar()),
         failure_order,
         rows_per_part=rows_per_part,
+        escape=escape,
     ).where(failures.agg(F.count(F.lit(1)) > 0).scalar())
     success_body = html_report(
-        report, success_intro(layer_label(layers, "Layer").scalar()), ["Data Layer"], rows_per_part=rows_per_part
+        report,
+        success_intro(layer_label(layers, "Layer").scalar()),
+        ["Data Layer"],
+        rows_per_part=rows_per_part,
+        escape=escape,
     ).where(gate.select("gate_open").scalar())
     if dedupe == "after_status":
         # The gate counts what was notified before, too: without anything new to tell, it is told once.
@@ -122,7 +129,7 @@ def monitor(
     def message(kind: str, body: DataFrame, to: str) -> DataFrame:
         made = {
             "kind": F.lit(kind),
-            "subject": subject(day),
+            "subject": subject(day) if subject_prefix is None else subject(day, subject_prefix),
             "recipients": recipients(F.lit(to)),
             "CreatedOn": stamp(as_of, tz),
         }

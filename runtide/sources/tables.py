@@ -30,16 +30,21 @@ class TableNames:
     outbox: str = "notification_outbox"
 
 
-def ensure_tables(spark: SparkSession, names: TableNames = TableNames(), format: str = "parquet") -> None:
-    """Creates the tables that do not exist yet, the logs partitioned by day."""
+def ensure_tables(
+    spark: SparkSession, names: TableNames = TableNames(), format: str = "parquet", location: str | None = None
+) -> None:
+    """Creates the tables that do not exist yet, the logs partitioned by day; in folders below `location`, if given."""
+
+    def create(name: str, columns: str, more: str = "") -> None:
+        place = f" LOCATION '{location.rstrip('/')}/{name}'" if location else ""
+        spark.sql(f"CREATE TABLE IF NOT EXISTS {name} ({columns}) USING {format}{more}{place}")
+
     for name, columns, partition in (
         (names.run_log, RUN_LOG_DDL, RUN_LOG_PARTITION),
         (names.notification_log, NOTIFICATION_LOG_DDL, NOTIFICATION_PARTITION),
     ):
-        spark.sql(
-            f"CREATE TABLE IF NOT EXISTS {name} ({columns}, {partition} date) USING {format} PARTITIONED BY ({partition})"
-        )
-    spark.sql(f"CREATE TABLE IF NOT EXISTS {names.outbox} ({OUTBOX_DDL}) USING {format}")
+        create(name, f"{columns}, {partition} date", f" PARTITIONED BY ({partition})")
+    create(names.outbox, OUTBOX_DDL)
 
 
 def write_run_log(
@@ -48,14 +53,16 @@ def write_run_log(
     as_of: dt.datetime | int,
     tz: str = BUSINESS_ZONE,
     whole_log: bool = False,
+    null_keys: str = "insert",
+    older: str = "overwrites",
 ) -> None:
     """Upserts flat `runs` into the run log `table`, rewriting only the partitions it touches.
 
     A run never changes its start, so what is logged of it lies in the partition of that date, or
     in the one without a date if it was first seen before it started. `whole_log=True` looks for
     matches in every partition and rewrites them all, for logs not written this way. The result is
-    settled before it replaces what it was made from; rewriting is idempotent, so an interrupted
-    call can be repeated.
+    settled before it replaces what it was made from. An interrupted call can be repeated; rows
+    without a full key are then added again unless `null_keys="match"`, see `upsert_rows`.
     """
     spark = runs.sparkSession
     rows = settle(run_log_rows(runs, as_of, tz), "run-log-rows")
@@ -65,7 +72,7 @@ def write_run_log(
         days = [row[0] for row in rows.select(RUN_LOG_PARTITION).distinct().collect()]
         partition = F.col(RUN_LOG_PARTITION)
         log = log.where(partition.isin([day for day in days if day is not None]) | partition.isNull())
-    merged = settle(upsert_rows(log, rows).hint("rebalance", RUN_LOG_PARTITION), "run-log")
+    merged = settle(upsert_rows(log, rows, null_keys, older).hint("rebalance", RUN_LOG_PARTITION), "run-log")
     _insert(merged, table, (*RUN_LOG_COLUMNS, RUN_LOG_PARTITION), overwrite=True)
 
 
@@ -93,11 +100,15 @@ def append_outbox(messages: DataFrame, table: str) -> None:
 
 
 def _insert(df: DataFrame, table: str, columns: tuple[str, ...], overwrite: bool = False) -> None:
+    writer = df.select(*columns).write
+    if not overwrite:
+        writer.insertInto(table)
+        return
     spark = df.sparkSession
     setting = "spark.sql.sources.partitionOverwriteMode"
     before = spark.conf.get(setting)
     spark.conf.set(setting, "dynamic")
     try:
-        df.select(*columns).write.insertInto(table, overwrite=overwrite)
+        writer.insertInto(table, overwrite=True)
     finally:
         spark.conf.set(setting, before)

@@ -32,11 +32,12 @@ def ingest_new_pages(
     """Upserts every page not ingested before into the table `run_log`, then stops.
 
     Start it on the schedule of the monitoring job. A batch that is repeated after a failure leaves
-    the log as it was, since it is an upsert by run key.
+    the log as it was: runs are upserted by key, those without a full key by all values. A page that
+    arrives late does not take back the end of a run.
     """
 
     def upsert(batch: DataFrame, _batch_id: int) -> None:
-        write_run_log(batch, run_log, as_of, tz)
+        write_run_log(batch, run_log, as_of, tz, null_keys="match", older="kept")
 
     return (
         stream_runs(spark, landing, multi_line)

@@ -88,6 +88,37 @@ def test_rows_without_a_full_key_are_always_added(make_runs):
     assert upsert_runs(once, loose, LATER).count() == 6
 
 
+def test_rows_without_a_full_key_may_match_by_value(make_runs):
+    loose = make_runs(
+        (None, "7", "x", "2024-01-15 01:00:00", None, None),
+        (None, "7", "x", "2024-01-15 01:00:00", None, None),
+        (None, "7", "x", "2024-01-15 01:00:00", None, "FAILED"),
+        ("9", None, "x", None, None, None),
+    )
+    once = upsert_runs(run_log_rows(loose.where("false"), AS_OF), loose, AS_OF, null_keys="match")
+    assert once.count() == 3
+    assert content(upsert_runs(once, loose, LATER, null_keys="match")) == content(once)
+    with pytest.raises(ValueError):
+        upsert_runs(once, loose, LATER, null_keys="never")
+
+
+def test_a_logged_end_may_be_kept(make_runs):
+    end = "2024-01-15 02:00:00"
+    done = make_runs(*((str(k), "7", "x", "2024-01-15 01:00:00", end, "SUCCESS") for k in range(3)), ("3", "7", "x", None, None, None))
+    late = make_runs(
+        ("0", "7", "x", "2024-01-15 01:00:00", None, None, "In run"),
+        ("1", "7", "x", "2024-01-15 01:00:00", "2024-01-15 01:30:00", "FAILED"),
+        ("2", "7", "x", "2024-01-15 01:00:00", "2024-01-15 02:30:00", "FAILED"),
+        ("3", "7", "x", "2024-01-15 01:00:00", None, "FAILED"),
+    )
+    log = run_log_rows(done, AS_OF)
+    states = [content(upsert_runs(log, late, LATER, older=older), "RunId", "WorkFlowState") for older in ("overwrites", "kept")]
+    assert states == [
+        [(0, None), (1, "FAILED"), (2, "FAILED"), (3, "FAILED")],
+        [(0, "SUCCESS"), (1, "SUCCESS"), (2, "FAILED"), (3, "FAILED")],
+    ]
+
+
 def test_one_row_per_key_of_the_source(make_runs):
     runs = make_runs(
         ("1", "7", "x", "2024-01-15 01:00:00", None, None, "In run", None),

@@ -52,6 +52,16 @@ def test_good_day(day_with_failure, make_log):
     ]
 
 
+def test_subject_prefix_and_escaped_cells(make_runs, make_deps, make_log):
+    runs = make_runs(("1", "a", "x", "2024-01-15 01:00:00", "2024-01-15 02:00:00", "FAILED", "<b>broke"))
+    found = monitor(
+        runs, make_deps(("Bronze", "x")), SLA_BY_LAYER, make_log(), AS_OF, subject_prefix="Test - ", escape=True, **TO
+    )
+    message = found["outbox"].first()
+    assert message.subject == "Test - 15th January 2024"
+    assert "&lt;b&gt;broke" in message.body and "<b>broke" not in message.body
+
+
 def test_notified_failure_before_and_after_status(day_with_failure, make_log):
     log = make_log(("a", "FAILED", "2024-01-15 03:00:00"))
     before = monitor(*day_with_failure, SLA_BY_LAYER, log, AS_OF)
