@@ -112,9 +112,9 @@ class BytePairs:
 
     def age(self, most: int) -> None:
         """Starts a new generation once one holds `most` pieces; what is asked for again comes along, the rest goes with the next."""
-        if len(self.pieces[0]) + len(self.pieces[1]) > most:
+        if len(self.known) + len(self.pieces[0]) + len(self.pieces[1]) > most:
             self.older = self.known, self.pieces
-            # word -> (ids as text, decoded bytes); by whether a space comes before: piece -> the same
+            # word -> (ids as text, decoded bytes, True); by whether a space comes before: piece -> the same and whether it is one word
             self.known, self.pieces = {}, ({}, {})
 
     def _rows(self, words: list[bytes]) -> pa.Table:
@@ -158,23 +158,37 @@ class BytePairs:
                 own = own[n:]
         return out
 
+    def _word(self, m: str) -> tuple | None:
+        """What is kept of a word, by itself or as a piece that is nothing else."""
+        spaced = m[:1] == " "
+        p = m[1:] if spaced else m
+        for known, pieces in ((self.known, self.pieces), self.older):
+            x = pieces[spaced].get(p)
+            if x is not None and x[2]:
+                return x
+            if m in known:
+                return known[m]
+        return None
+
     def learn(self, pieces: list[tuple[bool, str]]) -> None:
         """Encodes pieces that are not known: each match of the pattern by itself."""
-        words, older = self.older
+        older = self.older[1]
         fresh = []
         for spaced, p in pieces:
             if p in older[spaced]:
                 self.pieces[spaced][p] = older[spaced][p]
             else:
                 fresh.append((spaced, p, self.pattern.findall(" " + p if spaced else p)))
-        matches = {m for *_, found in fresh for m in found}.difference(self.known)
-        self.known.update((m, words[m]) for m in matches if m in words)
-        matches = list(matches.difference(self.known))
-        self.known.update(zip(matches, self.encode_words([m.encode() for m in matches]), strict=True))
+        words = {m: self._word(m) for m in {m for *_, found in fresh for m in found}}
+        new = [m for m, x in words.items() if x is None]
+        words.update((m, (*x, True)) for m, x in zip(new, self.encode_words([m.encode() for m in new]), strict=True))
         for spaced, p, found in fresh:
-            parts = [self.known[m] for m in found]
-            one = parts[0] if len(parts) == 1 else (b"".join([x[0] for x in parts]), b"".join([x[1] for x in parts]))
+            parts = [words[m] for m in found]
+            one = parts[0] if len(parts) == 1 else (b"".join([x[0] for x in parts]), b"".join([x[1] for x in parts]), False)
             self.pieces[spaced][p] = one
+        # Words that are pieces by themselves are not kept twice.
+        later = self.pieces[1]
+        self.known.update((m, words[m]) for *_, found in fresh if len(found) > 1 for m in found if m[1:] not in later or m[0] != " ")
 
 
 @functools.lru_cache(1)
@@ -213,7 +227,7 @@ def with_ids(docs: DataFrame, path: str, pattern: str, digests: bool = False, ke
 
     With `digests`: n_tokens, ids_sha256 (of the decimal ids joined by commas) and decoded_sha256 instead, which keeps rows small.
     The file at `path` must be on every executor. Repeated rows are encoded alike, no other column is looked at; an empty
-    text has no ids. Memory is bounded by one document, its pieces, and `kept` pieces (about 0.8 KB each, two generations)
+    text has no ids. Memory is bounded by one document, its pieces, and `kept` pieces (about 0.5 KB each, two generations)
     that a worker holds on to: fewer need less memory and more time. A worker that is told to keep fewer than PIECES_KEPT also looks at
     less text at once, since each look adds all its new pieces, and gives all back after each partition.
     """
