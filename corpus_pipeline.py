@@ -51,10 +51,10 @@ def encoding(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """doc_id, lang, source, n_tokens, ids, and the SHA-256 of the bytes that the ids decode to.
 
     Executors hold the memory of the stages before. So Arrow batches of whole texts are small from here on (a setting of the session
-    that changes no result), and workers keep few pieces.
+    that changes no result), and workers keep fewer pieces.
     """
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "512")
-    found = with_ids(docs.select("doc_id", "lang", "source", "text"), public_tokenizers.path("byte_bpe_multi_50k.tiktoken"), public_tokenizers.PATTERN, kept=15_000)
+    found = with_ids(docs.select("doc_id", "lang", "source", "text"), public_tokenizers.path("byte_bpe_multi_50k.tiktoken"), public_tokenizers.PATTERN, kept=100_000)
     return found.select("doc_id", "lang", "source", "n_tokens", "ids", F.sha2("decoded", 256).alias("decoded_sha256"))
 
 
