@@ -1,14 +1,14 @@
-"""Benchmark decontamination: rare n-gram seeds find passages of test items, Smith-Waterman alignment scores them."""
+"""Benchmark decontamination: n-gram seeds find passages of test items, Smith-Waterman alignment scores them."""
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.window import Window
 
 from runtide.llm.shared import give_back, grams, settle, slices, text_buffers, words
 
@@ -62,45 +62,15 @@ class _Lookup:
         return maybe[self.block[at] == h[maybe]]
 
 
-def gram_counts(docs: DataFrame, grams_: DataFrame, n: int) -> DataFrame:
-    """(gram, seen): how often each distinct gram occurs in all texts; grams that never occur are left out."""
-    found = None
-    for block in _blocks(grams_):
-        shared = docs.sparkSession.sparkContext.broadcast(block)
-
-        def run(batches, shared=shared):
-            lookup, total = _Lookup(shared.value), np.zeros(len(shared.value), np.int64)
-            for batch in batches:
-                data, offsets = text_buffers(batch.column(0))
-                for a, b in slices(offsets):
-                    h, _, _, of_text = words(data[offsets[a] : offsets[b]], offsets[a : b + 1] - offsets[a])
-                    g, whole = grams(h, of_text, n)
-                    g = g[whole]
-                    total += np.bincount(np.searchsorted(lookup.block, g[lookup.hits(g)]), minlength=len(total))
-            some = np.flatnonzero(total)
-            yield pa.RecordBatch.from_arrays([pa.array(lookup.block[some].view(np.int64)), pa.array(total[some])], ["gram", "seen"])
-            give_back()
-
-        part = docs.select("text").mapInArrow(run, "gram long, seen long")
-        found = part if found is None else found.union(part)
-    return found.groupBy("gram").agg(F.sum("seen").alias("seen"))
-
-
-def rare_seeds(items: DataFrame, counts: DataFrame, window: int) -> DataFrame:
-    """(item, gram): of every `window` consecutive n-grams of an item the one that is rarest in the corpus.
-
-    So an item keeps seeds in all its parts, however often a leaked item itself occurs.
-    """
-    order = Window.partitionBy("item").orderBy("position")
-    known = items.join(counts, "gram", "left").withColumn("weight", F.struct(F.coalesce("seen", F.lit(0)).alias("seen"), "gram"))
-    known = known.withColumn("best", F.min("weight").over(order.rowsBetween(0, window - 1)))
-    known = known.withColumn("last", F.max("position").over(Window.partitionBy("item")))
-    return known.where(F.col("position") <= F.greatest(F.lit(0), F.col("last") - window + 1)).select("item", F.col("best.gram").alias("gram")).distinct()
+#: Margins that a passage spans at most: a longer run of hits makes several passages, each with its own margins.
+MARGINS = 16
 
 
 def _passages(hits: np.ndarray, size: int, margin: int) -> list[tuple[int, int, np.ndarray]]:
     """Joins hits whose margins meet: (first word, last word, hits) for a text of `size` words."""
-    cuts = np.flatnonzero(np.diff(hits) > 2 * margin) + 1
+    span = np.concatenate(([0], np.cumsum(np.diff(hits) > 2 * margin)))
+    within = (hits - hits[np.searchsorted(span, span)]) // (MARGINS * margin)
+    cuts = np.flatnonzero(np.diff(span) | np.diff(within)) + 1
     return [(max(0, int(p[0]) - margin), min(size, int(p[-1]) + margin), p) for p in np.split(hits, cuts)]
 
 
@@ -157,21 +127,22 @@ def align(item: np.ndarray, passage: np.ndarray) -> tuple[int, int]:
 
 
 def contaminated(
-    docs: DataFrame, benchmark: DataFrame, keys: tuple[str, ...] = ("doc_id",), n: int = 4, window: int = 4, least: float = 0.5
+    docs: DataFrame, benchmark: DataFrame, keys: tuple[str, ...] = ("doc_id",), n: int = 4, least: float = 0.5
 ) -> DataFrame:
     """keys, item_id, score, end_word: documents that hold a test item, verbatim, edited or paraphrased in parts.
 
     Words are runs of letters and digits, small letters and capitals alike. The score is the Smith-Waterman score of the
     best aligned passage over that of the whole item (1: verbatim); pairs of `least` or more are returned, one
-    row for each distinct key and item. Null and empty texts, and items of fewer than `n` words or without an id, match
+    row for each distinct key and item. Every n-gram of every item is a seed, however often it occurs, so an alignment
+    is found if it holds `n` words in a row of the item; one without (a word changed in every `n`) is not looked for. Null and empty texts, and items of fewer than `n` words or without an id, match
     nothing; of several texts of an item id the least is taken. A document without an id is judged like any other.
     Extra columns are not looked at. Rows with equal keys are reported once, with the best score among them.
     """
     keys = list(keys)
     items = settle(item_grams(benchmark, n), "items")
-    counts = gram_counts(docs, items.select("gram").distinct(), n)
-    seeds = settle(rare_seeds(items, counts, window), "seeds")
-    margin = items.agg(F.max("size")).first()[0] or n
+    seeds = settle(items.select("item", "gram").distinct(), "seeds")
+    # An alignment of `least` or more has at most 2 * (1 - least) * size words of the passage in gaps.
+    margin = math.ceil((items.agg(F.max("size")).first()[0] or n) * (3 - 2 * min(max(least, 0), 1)))
     names = [f"k{i}" for i in range(len(keys))]
     hits = seed_passages(docs, keys, seeds, margin, n)
     one = items.groupBy("item").agg(F.first("words").alias("item_words"))
@@ -183,10 +154,12 @@ def contaminated(
     def score(batches):
         for batch in batches:
             start, text, item = (batch.column(len(keys) + k) for k in (1, 2, 3))
-            found = [
-                (*align(i := np.frombuffer(b.as_py(), np.uint32), np.frombuffer(t.as_py(), np.uint32)), len(i))
-                for t, b in zip(text, item, strict=True)
-            ]
+            found = []
+            for t, b in zip(text, item, strict=True):
+                i, passage = np.frombuffer(b.as_py(), np.uint32), np.frombuffer(t.as_py(), np.uint32)
+                # No alignment matches more words than the passage holds of the item.
+                most = np.isin(i, passage).sum() / max(len(i), 1)
+                found.append((*(align(i, passage) if most >= least else (-2 * len(i), 0)), len(i)))
             best, end, size = np.array(found, np.int64).reshape(-1, 3).T
             yield pa.RecordBatch.from_arrays(
                 [*batch.columns[: len(keys) + 1], pa.array(best / (2 * np.maximum(size, 1))), pa.array(end + start.to_numpy())],

@@ -63,3 +63,29 @@ def test_leaks_are_found_and_clean_texts_left(spark):
     assert all(0.5 <= r["score"] < 1 for r in got if r["doc_id"] and r["doc_id"] % 10 == 1 and r["doc_id"] < 900)
     assert contaminated(frame.limit(0), bench).count() == 0
     assert contaminated(frame, bench.limit(0)).count() == 0
+
+
+def test_edits_every_few_words_equal_alignment_of_all_pairs(spark):
+    rng = random.Random(6)
+    vocabulary = ["".join(rng.choices("abcdefghij", k=5)) for _ in range(3000)]
+    items = [(i, rng.sample(vocabulary, 15 + i % 3)) for i in range(12)]
+    docs = []
+    for i, words_ in items:
+        for every in (5, 6):
+            # The first half of the items also leaks as it is.
+            copies = [words_] * (i < 6) + [[f"new{k}" if k % every == every - 1 else w for k, w in enumerate(words_)]]
+            docs += [(len(docs) + k, rng.sample(vocabulary, 40) + c + rng.sample(vocabulary, 40)) for k, c in enumerate(copies)]
+    # Words put in at one place: the seed lies a whole item's length before the end of the alignment.
+    docs.append((len(docs), items[0][1][:5] + rng.sample(vocabulary, 9) + items[0][1][5:]))
+    docs.append((len(docs), [w for _ in range(40) for w in items[1][1] + rng.sample(vocabulary, 20)]))
+    want = {}
+    for d, text in docs:
+        for i, words_ in items:
+            score = align(*(np.array([hash(w) & 0xFFFFFFFF for w in x], np.uint32) for x in (words_, text)))[0] / (2 * len(words_))
+            if score >= 0.5:
+                want[d, i] = score
+    frame, bench = (
+        spark.createDataFrame([(k, " ".join(w)) for k, w in rows], f"{name} long, text string") for rows, name in ((docs, "doc_id"), (items, "item_id"))
+    )
+    got = {(r["doc_id"], r["item_id"]): r["score"] for r in contaminated(frame, bench).collect()}
+    assert len(want) >= 36 and got == want
