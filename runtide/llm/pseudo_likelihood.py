@@ -13,8 +13,6 @@ from runtide.llm.shared import slices, text_buffers, with_columns, words
 FREQUENT, OTHERS, GROUP = 768, 256, 32
 SYMBOLS, PAD = FREQUENT + OTHERS, FREQUENT + OTHERS
 WINDOW, DIM, HIDDEN, BATCH = 2, 16, 32, 4096
-#: Every so many words of a document are masked for learning; which, changes from round to round.
-MASK = 8
 SHAPES = {
     "E": (SYMBOLS + 1, DIM), "W": (2 * WINDOW * DIM, HIDDEN), "b": (HIDDEN,), "A": (HIDDEN, SYMBOLS // GROUP), "a": (SYMBOLS // GROUP,),
     "B": (SYMBOLS // GROUP, HIDDEN, GROUP), "c": (SYMBOLS // GROUP, GROUP),
@@ -120,7 +118,7 @@ def log_probabilities(w: Weights, padded: np.ndarray, place: np.ndarray) -> np.n
 
 
 def learn_batch(w: Weights, seen: Weights, padded: np.ndarray, here: np.ndarray, rate: float) -> None:
-    """One Adagrad step on the masked words at `here`."""
+    """One Adagrad step on the words at `here`."""
     own, around = padded[here], padded[here[:, None] + _AROUND]
     x = w["E"][around].reshape(len(here), -1)
     h = np.tanh(x @ w["W"] + w["b"])
@@ -135,8 +133,8 @@ def learn_batch(w: Weights, seen: Weights, padded: np.ndarray, here: np.ndarray,
         dB[g], dc[g] = h[at].T @ d2, d2.sum(0)
         dh[at] += d2 @ w["B"][g].T
     dp = dh * (1 - h * h)
-    dE = np.zeros_like(w["E"])
-    np.add.at(dE, around.ravel(), (dp @ w["W"].T).reshape(-1, DIM))
+    cells = around.ravel()[:, None] * DIM + np.arange(DIM)
+    dE = np.bincount(cells.ravel(), (dp @ w["W"].T).ravel(), w["E"].size).reshape(w["E"].shape).astype(np.float32)
     found = {"E": dE, "W": x.T @ dp, "b": dp.sum(0), "A": h.T @ d1, "a": d1.sum(0), "B": dB, "c": dc}
     for k, g in found.items():
         seen[k] += g * g
@@ -144,8 +142,8 @@ def learn_batch(w: Weights, seen: Weights, padded: np.ndarray, here: np.ndarray,
 
 
 def train(docs: DataFrame, known: np.ndarray, rounds: int = 2, rate: float = 0.1) -> Weights:
-    """Learns from every document: each round, each partition starts from the same weights, masks one word in MASK of all its
-    documents and learns them in batches; the results are averaged by the words learned, in a Spark aggregation by weight.
+    """Learns every word of every document once: in each round, each partition starts from the same weights, takes every
+    `rounds`-th word of all its documents, beginning one later than before, and learns them in batches; the results are averaged by the words learned, in a Spark aggregation by weight.
 
     The model has a fixed size; only the averaged weights reach the driver. Without words the first weights stay.
     """
@@ -159,9 +157,9 @@ def train(docs: DataFrame, known: np.ndarray, rounds: int = 2, rate: float = 0.1
             learned = 0
             for batch in batches:
                 for _, padded, place, of_text in reader.documents(batch.column(0)):
-                    # Masks are spread over each document from a start of its own.
+                    # A word is not among its own inputs, so any may be learned; the start differs from document to document.
                     within = np.arange(len(place)) - np.repeat(of_text[:-1], np.diff(of_text))
-                    here = place[(within + 3 * step + np.repeat(np.diff(of_text), np.diff(of_text))) % MASK == 0]
+                    here = place[(within + step + np.repeat(np.diff(of_text), np.diff(of_text))) % rounds == 0]
                     for at in range(0, len(here), BATCH):
                         learn_batch(w, seen, padded, here[at : at + BATCH], rate)
                     learned += len(here)

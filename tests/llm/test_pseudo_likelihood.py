@@ -3,6 +3,7 @@ import random
 import numpy as np
 import pyarrow as pa
 
+from runtide.llm import pseudo_likelihood
 from runtide.llm.pseudo_likelihood import GROUP, SYMBOLS, _Reader, first_weights, flat, learn_batch, log_probabilities, score_documents, train, unflat, vocabulary, with_pseudo_likelihood
 from runtide.llm.shared import read_table
 from tests.conftest import SF
@@ -56,3 +57,25 @@ def test_odd_rows(spark):
     assert score_documents(docs.limit(0)).count() == 0
     a, padded, place, of_text = next(_Reader(np.zeros(0, np.uint64)).documents(pa.array(["a b", "", "c"])))
     assert of_text.tolist() == [0, 2, 2, 3] and place.tolist() == [2, 3, 8] and len(padded) == 11
+
+
+def test_every_word_is_learned_once(spark, monkeypatch):
+    docs = spark.createDataFrame([("one",), ("one two",), ("a b c d e f g h i",)], "text string").coalesce(1)
+    # Documents of one word alone teach something too.
+    before = flat(first_weights())
+    assert (flat(train(docs.where("text = 'one'"), np.zeros(0, np.uint64))) != before).any()
+    taken = []
+
+    class Plain:
+        def mapInArrow(self, run, kinds):
+            list(run(iter([pa.RecordBatch.from_arrays([pa.array(["one", "one two", "a b c d e f g h i"])], ["text"])])))
+            return docs.sparkSession.createDataFrame([], kinds)
+
+    class Docs:
+        sparkSession = spark
+        select = lambda self, _: Plain()
+
+    monkeypatch.setattr(pseudo_likelihood, "learn_batch", lambda w, seen, padded, here, rate: taken.extend(here.tolist()))
+    train(Docs(), np.zeros(0, np.uint64))
+    _, _, place, _ = next(_Reader(np.zeros(0, np.uint64)).documents(pa.array(["one", "one two", "a b c d e f g h i"])))
+    assert sorted(taken) == place.tolist()
