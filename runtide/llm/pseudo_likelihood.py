@@ -7,7 +7,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from runtide.llm.shared import slices, text_buffers, with_columns, words
+from runtide.llm.shared import settle, slices, text_buffers, with_columns, words
 
 #: Frequent words with an id of their own, and hash classes for all others; an id is a group (id // 32) and a member (id % 32).
 FREQUENT, OTHERS, GROUP = 768, 256, 32
@@ -52,9 +52,9 @@ def word_counts(docs: DataFrame) -> DataFrame:
     return docs.select("text").mapInArrow(run, "word long, n long").groupBy("word").agg(F.sum("n").alias("n"))
 
 
-def vocabulary(docs: DataFrame) -> np.ndarray:
+def vocabulary(docs: DataFrame, counts: DataFrame | None = None) -> np.ndarray:
     """Hashes of the most frequent words, most frequent first; ties by hash. At most FREQUENT values reach the driver."""
-    top = word_counts(docs).orderBy(F.desc("n"), "word").limit(FREQUENT).collect()
+    top = (word_counts(docs) if counts is None else counts).orderBy(F.desc("n"), "word").limit(FREQUENT).collect()
     return np.array([r["word"] for r in top], np.int64).view(np.uint64)
 
 
@@ -178,7 +178,7 @@ def train(docs: DataFrame, known: np.ndarray, rounds: int = 2, rate: float = 0.1
 def with_pseudo_likelihood(docs: DataFrame, known: np.ndarray, weights: Weights) -> DataFrame:
     """`docs` with `n_words` and `log_likelihood`: the sum over all words of a whole text of log P(word | both sides).
 
-    Words are runs of letters and digits in small letters; rare ones share hash classes. A null, empty or wordless text has
+    Words are runs of letters and digits in small letters; rare ones count as their hash class (see `within_classes`). A null, empty or wordless text has
     0 words and 0.0. Equal texts have equal scores; no other column is looked at.
     """
     at = docs.columns.index("text")
@@ -195,9 +195,51 @@ def with_pseudo_likelihood(docs: DataFrame, known: np.ndarray, weights: Weights)
     return with_columns(docs, "n_words long, log_likelihood double", work)
 
 
-def score_documents(docs: DataFrame) -> DataFrame:
-    """Counts words, learns and scores, all over all documents: `docs` with n_words and log_likelihood."""
-    known = vocabulary(docs)
-    return with_pseudo_likelihood(docs, known, train(docs, known))
+def within_classes(docs: DataFrame, known: np.ndarray, counts: DataFrame) -> DataFrame:
+    """(key, within): for each distinct text, by its xxhash64, the sum over its words without an id of their own of log P(word | its hash class).
+
+    P is n / (N + 1) for a word counted n times in a class of N words, and 1 / (N + 1) for one that was never counted. Any
+    number of distinct words is joined in Spark.
+    """
+    spark = docs.sparkSession
+    shared = spark.sparkContext.broadcast(known)
+    top = spark.createDataFrame([(int(h),) for h in known.view(np.int64)], "word long")
+    rare = counts.join(top, "word", "left_anti")
+    classes = rare.groupBy(F.col("word").bitwiseAND(F.lit(OTHERS - 1)).alias("class")).agg(F.sum("n").alias("total"))
 
+    def run(batches):
+        reader = _Reader(shared.value)
+        for batch in batches:
+            data, offsets = text_buffers(batch.column(1))
+            for a, b in slices(offsets):
+                h, _, _, of_text = words(data[offsets[a] : offsets[b]], offsets[a : b + 1] - offsets[a])
+                text, some = np.repeat(np.arange(b - a), np.diff(of_text)), reader.ids(h) >= FREQUENT
+                h, text = h[some], text[some]
+                order = np.lexsort((h, text))
+                h, text = h[order], text[order]
+                first = np.flatnonzero(np.concatenate(([True], (h[1:] != h[:-1]) | (text[1:] != text[:-1]))) if len(h) else np.zeros(0, bool))
+                times = np.diff(np.concatenate((first, [len(h)])))
+                # A row without a word stands for each copy of a text.
+                row = np.concatenate((text[first], np.arange(b - a))) + a
+                word = pa.array(np.concatenate((h[first], np.zeros(b - a, np.uint64))).view(np.int64), mask=np.arange(len(row)) >= len(first))
+                n = pa.array(np.concatenate((times, np.ones(b - a, np.int64))).astype(np.int64))
+                yield pa.RecordBatch.from_arrays([batch.column(0).take(pa.array(row)), word, n], ["key", "word", "times"])
+
+    held = docs.select(F.xxhash64("text").alias("key"), "text").mapInArrow(run, "key long, word long, times long")
+    held = held.join(rare, "word", "left").withColumn("class", F.col("word").bitwiseAND(F.lit(OTHERS - 1))).join(F.broadcast(classes), "class", "left")
+    ratio = F.log(F.coalesce("n", F.lit(1)) / (F.coalesce("total", F.lit(0)) + 1))
+    copies = F.sum(F.when(F.col("word").isNull(), F.col("times")))
+    return held.groupBy("key").agg((F.coalesce(F.sum(F.when(F.col("word").isNotNull(), F.col("times") * ratio)), F.lit(0.0)) / copies).alias("within"))
 
+
+def score_documents(docs: DataFrame) -> DataFrame:
+    """Counts words, learns and scores, all over all documents: `docs` with n_words and log_likelihood.
+
+    A word without an id of its own counts with the probability of its class and its own within the class.
+    """
+    counts = settle(word_counts(docs), "word-counts")
+    known = vocabulary(docs, counts)
+    scored = with_pseudo_likelihood(docs, known, train(docs, known)).withColumn("__key", F.xxhash64("text"))
+    within = within_classes(docs, known, counts).select(F.col("key").alias("__key"), F.col("within").alias("__within"))
+    total = F.round(F.col("log_likelihood") + F.coalesce("__within", F.lit(0.0)), 6)
+    return scored.join(within, "__key", "left").withColumn("log_likelihood", total).drop("__key", "__within")

@@ -4,8 +4,10 @@ import numpy as np
 import pyarrow as pa
 
 from runtide.llm import pseudo_likelihood
-from runtide.llm.pseudo_likelihood import GROUP, SYMBOLS, _Reader, first_weights, flat, learn_batch, log_probabilities, score_documents, train, unflat, vocabulary, with_pseudo_likelihood
-from runtide.llm.shared import read_table
+from runtide.llm.pseudo_likelihood import (
+    FREQUENT, GROUP, OTHERS, SYMBOLS, _Reader, first_weights, flat, learn_batch, log_probabilities, score_documents, train, unflat, vocabulary, with_pseudo_likelihood, within_classes, word_counts,
+)
+from runtide.llm.shared import read_table, text_buffers, words
 from tests.conftest import SF
 
 
@@ -59,6 +61,20 @@ def test_odd_rows(spark):
     assert of_text.tolist() == [0, 2, 2, 3] and place.tolist() == [2, 3, 8] and len(padded) == 11
 
 
+def test_rare_words_of_a_class_score_by_their_own_counts(spark):
+    many = [f"w{k}" for k in range(FREQUENT)]
+    hashes = words(*text_buffers(pa.array([" ".join(f"r{k}" for k in range(3000))])))[0]
+    same = np.flatnonzero((hashes & np.uint64(OTHERS - 1)) == (hashes[0] & np.uint64(OTHERS - 1)))[:3]
+    a, b, c = (f"r{k}" for k in same)
+    rows = [(" ".join(many * 9),), *[(f"w1 {a} w2",)] * 4, (f"w1 {b} w2",), (None,)]
+    docs = spark.createDataFrame(rows, "text string")
+    got = {r["text"]: r["log_likelihood"] for r in score_documents(docs).collect()}
+    assert abs(got[f"w1 {a} w2"] - got[f"w1 {b} w2"] - np.log(4)) < 1e-5
+    counts = word_counts(docs)
+    found = within_classes(spark.createDataFrame([(f"{b} {c} {c}",), ("w1",)], "text string"), vocabulary(docs, counts), counts).collect()
+    assert sorted(round(r["within"], 6) for r in found) == [round(3 * np.log(1 / 6), 6), 0.0]
+
+
 def test_every_word_is_learned_once(spark, monkeypatch):
     docs = spark.createDataFrame([("one",), ("one two",), ("a b c d e f g h i",)], "text string").coalesce(1)
     # Documents of one word alone teach something too.
