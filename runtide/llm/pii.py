@@ -16,12 +16,26 @@ EMAIL = r"[A-Za-z0-9][A-Za-z0-9._%+-]{0,63}+@[A-Za-z0-9-]{1,63}(?:\.[A-Za-z0-9-]
 SECRET = r"(?i:password|passwd|secret|token|api[_-]?key)\s{0,3}[=:]\s{0,3}[\"']?[A-Za-z0-9+/_-]{8,}+"
 CLOUD_KEY = r"AKIA[0-9A-Z]{16}"
 PHONE = r"\+1[ .-]?\(?\d{3}\)?[ .-]?\d{3}[ .-]?\d{4}(?!\d)|\+\d{1,3}[ .-]?(?:\(\d{1,4}\)|\d{1,4})(?:[ .-]?\d{2,4}){1,4}"
-NATIONAL_PHONE = r"\(?\d{3}\)?[ .-]\d{3}[.-]\d{4}"
+NATIONAL_PHONE = r"\(\d{3}\)[ .-]?\d{3}[ .-]?\d{4}|\(?\d{3}\)?[ .-]\d{3}[ .-]\d{4}"
 ISO_DATE = r"\d{4}-\d{2}-\d{2}"
 DAY_DATE = r"\d{2}[./]\d{2}[./]\d{4}"
 SOCIAL = r"\d{3}-\d{2}-\d{4}"
 ADDRESS = r"(?<!\d\.)\d{1,3}(?:\.\d{1,3}){3}(?!\.\d)"
-IBAN = r"[A-Z]{2}\d{2}(?: ?[A-Z0-9]{4}){2,7}(?: ?[A-Z0-9]{1,3})?"
+#: Countries by the length of their IBANs, so that a match ends where the IBAN does.
+IBAN_LENGTHS = {
+    15: "NO", 16: "BE", 18: "DK FI FK FO GL NL SD", 19: "MK SI", 20: "AT BA EE KZ LT LU MN XK", 21: "CH HR LI LV", 22: "BG BH CR DE GB GE IE ME RS VA",
+    23: "AE GI IL IQ OM SO TL", 24: "AD CZ ES MD PK RO SA SE SK TN VG", 25: "LY PT ST", 26: "IS TR", 27: "BI DJ FR GR IT MC MR SM",
+    28: "AL AZ BY CY DO GT HN HU LB NI PL SV", 29: "BR EG PS QA UA", 30: "JO KW MU YE", 31: "MT SC", 32: "LC", 33: "RU",
+}
+
+
+def _iban_of(length: int, countries: str) -> str:
+    groups, rest = divmod(length - 4, 4)
+    return rf"(?:{countries.replace(' ', '|')})\d{{2}}(?: ?[A-Z0-9]{{4}}){{{groups}}}" + (rf" ?[A-Z0-9]{{{rest}}}" if rest else "")
+
+
+# What has another length or country is looked at as far as it goes.
+IBAN = "|".join([*(_iban_of(n, c) for n, c in IBAN_LENGTHS.items()), r"[A-Z]{2}\d{2}(?: ?[A-Z0-9]{4}){2,7}(?: ?[A-Z0-9]{1,3})?"])
 CARD = r"\d{4}(?:[ -]\d{4}){3}|\d{4}[ -]\d{6}[ -]\d{5}|\d{13,19}"
 FORMS = (EMAIL, SECRET, CLOUD_KEY, ISO_DATE, DAY_DATE, SOCIAL, ADDRESS, IBAN, CARD, NATIONAL_PHONE)
 CANDIDATE = f"(?:{_START}(?:{'|'.join(FORMS)})|(?<![A-Za-z0-9+])(?:{PHONE})){_END}"

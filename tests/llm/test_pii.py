@@ -61,3 +61,16 @@ def test_feistel_is_a_permutation(spark):
     assert three.distinct().count() == 1000 and three.where("x rlike '^[0-9]{3}$'").count() == 1000
     one = spark.createDataFrame([("79927398713", "GB82WEST12345698765432")], "a string, b string").select(luhn_sum(F.col("a")) % 10, mod_97(F.col("b")))
     assert list(one.first()) == [0, 1]
+
+
+def test_ibans_end_before_the_next_word_and_national_layouts(spark):
+    ibans = ["ES91 2100 0418 4502 0005 1332", "AT61 1904 3002 3457 3201", "BE68 5390 0754 7034", "NO93 8601 1117 947", "DE89 3704 0044 0532 0130 00"]
+    got = run(spark, [f"{v} {w}" for v in ibans for w in ("AND", "2024", "A", "2024-01-05")])
+    for k, v in enumerate(ibans):
+        fresh = {text[: len(v)] for text, _ in got[4 * k : 4 * k + 4]}
+        assert len(fresh) == 1 and v not in fresh and [n for _, n in got[4 * k : 4 * k + 4]] == [1, 1, 1, 2], (v, got)
+        assert [text[len(v) :] for text, _ in got[4 * k : 4 * k + 3]] == [" AND", " 2024", " A"]
+    phones = ["(988)555-2485", "988 555 2485", "(988) 555 2485", "988-555-2485"]
+    texts = run(spark, [f"Call {v}, now" for v in phones])
+    assert all(n == 1 and v not in text and shape(text) == shape(f"Call {v}, now") for v, (text, n) in zip(phones, texts, strict=True))
+    assert len({re.sub(r"\D", "", text) for text, _ in texts}) == 1
