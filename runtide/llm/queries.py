@@ -15,6 +15,7 @@ from runtide.llm.pii import pseudonymised
 from runtide.llm.pseudo_likelihood import score_documents
 from runtide.llm.quality import held_out, train_quality, with_quality
 from runtide.llm.repair import token_files
+from runtide.llm.resample import importance_ranks
 from runtide.llm.shared import read_table
 from runtide.llm.simhash import simhash_groups
 from runtide.llm.suffixes import without_repeats
@@ -105,3 +106,8 @@ def op6_masked_pseudo_likelihood(spark: SparkSession, sf: str) -> DataFrame:
 @query
 def op3_suffix_array_dedup(spark: SparkSession, sf: str) -> DataFrame:
     return without_repeats(read_table(spark, sf, "documents")).drop("kept")
+
+
+@query
+def op12_importance_resampling(spark: SparkSession, sf: str) -> DataFrame:
+    return importance_ranks(read_table(spark, sf, "documents"), read_table(spark, sf, "benchmark"))
