@@ -17,7 +17,9 @@ from runtide.llm.quality import held_out, train_quality, with_quality
 from runtide.llm.repair import token_files
 from runtide.llm.resample import importance_ranks
 from runtide.llm.shared import read_table
+from runtide.llm.signature_trees import similar_groups
 from runtide.llm.simhash import simhash_groups
+from runtide.llm.strtree import hard_negatives
 from runtide.llm.suffixes import without_repeats
 from runtide.llm.urls import judged_urls, labelled_urls, train_urls
 
@@ -111,3 +113,63 @@ def op3_suffix_array_dedup(spark: SparkSession, sf: str) -> DataFrame:
 @query
 def op12_importance_resampling(spark: SparkSession, sf: str) -> DataFrame:
     return importance_ranks(read_table(spark, sf, "documents"), read_table(spark, sf, "benchmark"))
+
+
+@query
+def op11_strtree_hard_negatives(spark: SparkSession, sf: str) -> DataFrame:
+    moved = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return hard_negatives(read_table(spark, sf, "embeddings").withColumn("label", moved), F.col("vec_id") % 100 == 0)
+
+
+ORACLE_SQL["op11_strtree_hard_negatives"] = """
+with v as (
+    select row_number() over () as r, vec_id, case when vec_id % 7 = 0 then (label + 1) % 10 else label end as label,
+        list_transform(embedding, lambda x: floor(256 * x::double)) as q
+    from embeddings
+    where label is not null and embedding is not null and len(list_filter(embedding, lambda x: x is null or not isfinite(x))) = 0
+), s as (
+    select a.r, a.vec_id as anchor_id, a.label = v.label as same, v.vec_id, list_dot_product(a.q, v.q)::bigint as score
+    from v as a join v on a.r <> v.r
+    where a.vec_id % 100 = 0
+), p as (
+    select r, anchor_id, vec_id as positive_id, score as positive_score, row_number() over (partition by r order by score desc, vec_id) as place
+    from s where same qualify place <= 5
+), n as (
+    select p.*, s.vec_id as negative_id, s.score as negative_score,
+        row_number() over (partition by p.r, place order by s.score desc, s.vec_id) as rank
+    from p join s on p.r = s.r and not s.same and 80 * positive_score <= 100 * s.score and 100 * s.score <= 100 * positive_score
+    qualify rank <= 5
+)
+select anchor_id, positive_id, rank::integer as rank, negative_id, positive_score, negative_score from n
+"""
+
+
+@query
+def op13_signature_tree_join(spark: SparkSession, sf: str) -> DataFrame:
+    return similar_groups(read_table(spark, sf, "documents"))
+
+
+ORACLE_SQL["op13_signature_tree_join"] = r"""
+with recursive words as (
+    select row_number() over () as r, doc_id,
+        regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') as w
+    from documents
+), sets as (
+    select r, doc_id, case when len(w) = 0 then [] when len(w) < 5 then [array_to_string(w, ' ')] else
+        list_distinct(list_transform(range(1, len(w) - 3), lambda i: array_to_string(w[i:i + 4], ' '))) end as s
+    from words
+), classes as (
+    select min(r) as c, list_sort(s) as s, min(doc_id) as first from sets where len(s) > 0 group by list_sort(s)
+), tokens as (select c, len(s) as n, hash(unnest(s)) as t from classes),
+links as (
+    select a.c as a, b.c as b from tokens a join tokens b on a.t = b.t and a.c < b.c
+    group by a.c, b.c, a.n, b.n having 100 * count(*) >= 80 * (a.n + b.n - count(*))
+), pairs as (select a, b from links union all select b, a from links),
+reach as (
+    select c as a, c as b from classes union select reach.a, pairs.b from reach join pairs on reach.b = pairs.a
+), named as (
+    select reach.a as c, min(classes.first) as component_id from reach join classes on classes.c = reach.b group by reach.a
+)
+select doc_id, len(sets.s)::bigint as n_shingles, coalesce(component_id, doc_id) as component_id
+from sets left join classes on classes.s = list_sort(sets.s) left join named on named.c = classes.c
+"""
