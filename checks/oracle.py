@@ -251,7 +251,84 @@ def in_ok(sql: str) -> str:
 
 SUCCESS_BODY_OK = in_ok(one_body(SUCCESS_INTRO, REPORT_TABLE))
 
+#: Once for each way to leave out what was notified: one message, logged for each failed row.
+CYCLES = f"""
+    select dedupe, 'failure' as kind, 'Prod - EDW - Data refresh - 15th January 2024' as subject,
+      '{RECIPIENTS.replace(';', ', ')}' as recipients, '' as cc, cast(0 as int) as part, cast(1 as int) as parts,
+      {one_body(FAILURE_INTRO, FAILURE_TABLE)} as body, timestamp '2024-01-15 23:59:59' as CreatedOn,
+      (select count(*) from (select distinct run_name, job_id, result_state, end_time_in_est, layer from failed)) as n_logged
+    from (select unnest(['before_status', 'after_status']) as dedupe)
+    where (select count(*) from failures) > 0"""
+
+RUN_LOG_WRITTEN = RUN_LOG_UPSERT.format(
+    old=RUN_LOG_VALUES.format(**OLD_VALUES) + RUN_LOG_DAY,
+    new=RUN_LOG_VALUES.format(flag="cast(null as varchar)", **NEW_VALUES) + RUN_LOG_DAY,
+)
+CHAINS = """
+    , chains as (
+      select concat('WF-', job) as WorkflowName, concat('WF-', above) as DependsOn
+      from (select job, unnest(case when job = 1 then [0, 4] else [job // 3] end) as above
+        from (select distinct user_id as job from events) where job > 0)),
+    walk as (
+      select WorkflowName, DependsOn as Ancestor, 1 as Depth from chains
+      union select walk.WorkflowName, chains.DependsOn, Depth + 1 from walk join chains on Ancestor = chains.WorkflowName
+      where Depth < 16),
+    closure as (select WorkflowName, Ancestor, min(Depth) as Depth from walk group by all)"""
+MONTH = f"""
+    select d.layer, {SLA_OF_LAYER} as SLA, d.DependsOn, t.run_name, t.result_state, cast(start_time_in_est as date) as day
+    from dependencies d left join flat t on d.DependsOn = t.run_name"""
+
 FINAL = {
+    "run_log_bucketed": RUN_LOG_WRITTEN,
+    "runs_scan_indexed": f"""
+    select * from flat where start_time_in_ms between {AS_OF_MS - 2 * DAY_MS} and {AS_OF_MS}""",
+    "pages_quarantined": """
+    select run_id, null::varchar as page from flat where cast(run_id as bigint) // 100 % 7 <> 3
+    union all select null, concat('{"runs": [{"run_id": ', page, ', ')
+    from (select distinct cast(run_id as bigint) // 100 as page from flat) where page % 7 = 3""",
+    "run_schema_of_ddl": "select * from flat",
+    "runs_newest_first": """
+    select run_id, row_number() over (order by start_time_in_pst desc nulls last, cast(run_id as bigint)) - 1 as position
+    from flat""",
+    "notifications_today_in_order": """
+    select *, row_number() over (order by ObjectType desc, WorkflowName nulls first, job_id nulls first) - 1 as position
+    from notification_log where cast(NotificationDttm as date) = date '2024-01-15'""",
+    "latest_run_streamed": f"""
+    select * exclude (place) from (select *, {LATEST.format(key='job_id')} as place from flat) where place = 1""",
+    "dependency_closure": f"{CHAINS} select WorkflowName, Ancestor, cast(Depth as int) as Depth from closure",
+    "failed_root_causes": f"""{CHAINS},
+    broke as (
+      select run_name as name from (select *, {LATEST.format(key='job_id')} as place from flat)
+      where place = 1 and result_state = 'FAILED'),
+    above as (select * from closure where WorkflowName in (from broke) and Ancestor in (from broke)),
+    roots as (
+      select name from broke where not exists (select 1 from above a where a.WorkflowName = name and not exists (
+        select 1 from closure c where c.WorkflowName = a.Ancestor and c.Ancestor = name)))
+    select name as WorkflowName, name as RootCause, cast(0 as int) as Depth from roots
+    union all select WorkflowName, Ancestor, cast(Depth as int) from above where Ancestor in (from roots) and WorkflowName <> Ancestor""",
+    "sla_as_of": f"""
+    , history as (
+      select layer, case when n < 2 or layer <> 'Platinum' then concat(length(layer) + n, ':30 AM EST') end as sla_text,
+        [date '2024-01-05', date '2024-01-12', date '2024-01-20'][n + 1] as valid_from
+      from (select distinct {LAYER_OF_JOB.format(id='user_id')} as layer from events), (select unnest([0, 1, 2]) as n)),
+    runs as (
+      select run_id, {LAYER_OF_JOB.format(id='cast(job_id as bigint)')} as layer, cast(start_time_in_est as date) as day,
+        end_time_in_est from flat),
+    dated as (
+      select r.*, h.sla_text as SLA, r.day + interval 1 day + to_minutes(
+        30 + 60 * cast(split_part(h.sla_text, ':', 1) as bigint)) as deadline
+      from runs r asof left join history h on r.layer = h.layer and r.day >= h.valid_from)
+    select *, case when end_time_in_est < deadline + interval 1 minute then 'Y' else 'N' end as SLA_MET from dated""",
+    "layer_counts_rollup": f"""
+    , month as ({MONTH})
+    select layer, SLA, day, count(distinct DependsOn) as DependsOnWorkflowCount, count(distinct run_name) as RunWorkflowCount,
+      count(distinct case when result_state = 'SUCCESS' then run_name end) as SuccessCount,
+      count(distinct case when result_state <> 'SUCCESS' then run_name end) as FailCount
+    from month group by grouping sets ((layer, SLA), (layer, SLA, day)) having grouping(day) = 1 or day is not null""",
+    "run_cycle_twice": CYCLES,
+    "run_cycle_interrupted": CYCLES,
+    "run_count_observed": f"""
+    select count(*) as run_count from flat where start_time_in_ms between {AS_OF_MS - 2 * DAY_MS} and {AS_OF_MS}""",
     "runs_scan": "select * from flat",
     "runs_scan_window": f"""
     select * from flat where start_time_in_ms >= {1_705_104_000_000} and start_time_in_ms < {1_705_104_000_000 + 3 * DAY_MS}""",
@@ -282,10 +359,7 @@ FINAL = {
     "run_log_upsert": RUN_LOG_UPSERT.format(
         old=RUN_LOG_VALUES.format(**OLD_VALUES), new=RUN_LOG_VALUES.format(flag="cast(null as varchar)", **NEW_VALUES)
     ),
-    "run_log_written": RUN_LOG_UPSERT.format(
-        old=RUN_LOG_VALUES.format(**OLD_VALUES) + RUN_LOG_DAY,
-        new=RUN_LOG_VALUES.format(flag="cast(null as varchar)", **NEW_VALUES) + RUN_LOG_DAY,
-    ),
+    "run_log_written": RUN_LOG_WRITTEN,
     "notifications_appended": LOGGED.format(to=RECIPIENTS, body="'body'", source="failed"),
     "dependency_status": "select d.*, t.* from dependencies d left join today t on d.DependsOn = t.run_name",
     "dependency_rejoin": """
@@ -352,7 +426,7 @@ FINAL = {
 
 def with_views(final: str) -> str:
     views = ",\n".join(f"{name} as ({sql}\n)" for name, sql in VIEWS.items())
-    return f"with {views}\n{final.strip()}"
+    return f"with recursive {views}\n{final.strip()}"
 
 
 ORACLE_SQL = {name: with_views(final) for name, final in FINAL.items()}

@@ -12,13 +12,16 @@ from checks.views import (
     AS_OF,
     DAY,
     RECIPIENTS,
+    LAYER_OF_JOB,
     dependencies,
     dependencies_ok,
+    dependency_chains,
     flat_runs,
     notification_log,
     raw_runs,
     run_log,
     shared_name_runs,
+    sla_history,
     table,
     today_runs,
 )
@@ -26,23 +29,38 @@ from runtide.functions.scalars import path_get
 from runtide.functions.text import cell_class, date_label, failure_intro, name_list, recipients, success_intro
 from runtide.operators import layers as lay
 from runtide.operators import status as sta
-from runtide.operators.notify import notification_rows, notifications_on
-from runtide.operators.report import html_report, html_table
+from runtide.operators import closure as clo
+from runtide.operators import sla as slas
+from runtide.operators.notify import audit_order, notification_rows, notifications_on
+from runtide.operators.report import html_report, html_table, numbered
+from runtide.operators.rollup import counts_of_bitmaps, layer_bitmaps, name_numbers
 from runtide.operators.runlog import upsert_runs
 from runtide.operators.runs import (
     flatten_runs,
     latest_run_per_job,
+    newest_first_order,
     run_counts,
     runs_lookback,
     runs_recent_topk,
 )
-from runtide.plans.lineage import fresh_path, settle
-from runtide.plans.monitor import monitor, open_status, settled_today
-from runtide.schema import NOTIFICATION_PARTITION, RUN_LOG_COLUMNS
+from runtide.plans.lineage import fresh_path, settle, settle_counted
+from runtide.plans.monitor import monitor, open_status, prepare_cycle, run_cycle, settled_today
+from runtide.schema import BODY, NOTIFICATION_PARTITION, QUARANTINE_DDL, RUN_LOG_COLUMNS, run_schema_ddl
 from runtide.sources.dependencies import SLA_BY_LAYER, read_dependencies
 from runtide.sources.files import file_inventory
-from runtide.sources.payload import land_pages, read_runs
-from runtide.sources.tables import TableNames, append_notifications, ensure_tables, write_run_log
+from runtide.sources.journal import log_cycle
+from runtide.sources.pageindex import ensure_page_index, index_new_pages, read_runs_indexed
+from runtide.sources.payload import broken_pages, land_pages, quarantine, read_pages, read_runs, sound_runs
+from runtide.sources.tables import (
+    TableNames,
+    append_entries,
+    append_notifications,
+    ensure_bucketed_run_log,
+    ensure_tables,
+    write_run_log,
+)
+from runtide.streaming.ingest import stream_runs
+from runtide.streaming.latest import ensure_latest_runs, latest_runs, stream_latest_runs
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -176,11 +194,11 @@ def run_log_upsert(spark: SparkSession, sf: str) -> DataFrame:
     return upsert_runs(run_log(spark, sf), flat_runs(spark, sf), AS_OF).select(*RUN_LOG_COLUMNS)
 
 
-def _tables(spark: SparkSession) -> TableNames:
+def _tables(spark: SparkSession, bodies: str = "each_row") -> TableNames:
     """Log tables of one call, in the shared folder."""
     tag = uuid.uuid4().hex
     names = TableNames(f"run_log_{tag}", f"notification_log_{tag}", f"outbox_{tag}")
-    ensure_tables(spark, names, location=fresh_path(spark, "tables"))
+    ensure_tables(spark, names, location=fresh_path(spark, "tables"), bodies=bodies)
     return names
 
 
@@ -368,10 +386,166 @@ def notifications_today(spark: SparkSession, sf: str) -> DataFrame:
 def monitor_outbox(spark: SparkSession, sf: str) -> DataFrame:
     """The message of a day with failures, end to end."""
     sent = _monitor(spark, sf, dependencies(spark, sf))["outbox"]
-    return sent.withColumn("recipients", F.array_join("recipients", ", "))
+    return sent.withColumn("recipients", F.array_join("recipients", ", ")).drop("message_id", "cc")
 
 
 @query
 def monitor_notifications(spark: SparkSession, sf: str) -> DataFrame:
     """The notifications logged once every layer is complete, end to end."""
     return _monitor(spark, sf, dependencies_ok(spark, sf))["notification_rows"]
+
+
+def _sent(spark: SparkSession, names: TableNames, dedupe: str) -> DataFrame:
+    """The outbox of some cycles, with the number of log rows that show each message."""
+    log = spark.table(names.notification_log).where(F.col(BODY).isNotNull())
+    logged = log.groupBy(BODY).agg(F.count(F.lit(1)).alias("n_logged")).withColumnRenamed(BODY, "logged_body")
+    sent = spark.table(names.outbox).join(logged, F.col("body") == F.col("logged_body"), "left_outer")
+    listed = [F.array_join(c, ", ").alias(c) for c in ("recipients", "cc")]
+    return sent.select(F.lit(dedupe).alias("dedupe"), "kind", "subject", *listed, "part", "parts", "body", "CreatedOn", "n_logged")
+
+
+def _cycles(spark: SparkSession, sf: str, interrupted: bool) -> DataFrame:
+    found = []
+    for dedupe in ("before_status", "after_status"):
+        names = _tables(spark, "once")
+        earlier = notification_log(spark, sf).withColumn(NOTIFICATION_PARTITION, F.to_date("InsertedOn"))
+        append_entries(earlier.withColumn("MessageId", F.lit(None).cast("string")), names.entries)
+        options = {"dedupe": dedupe, "failure_recipients": RECIPIENTS, "success_recipients": RECIPIENTS}
+        if interrupted:
+            _, cycle = prepare_cycle(raw_runs(spark, sf), dependencies(spark, sf), AS_OF, names, **options)
+            log_cycle(spark, names, cycle)  # stopped here: logged, and not in the outbox
+        else:
+            run_cycle(raw_runs(spark, sf), dependencies(spark, sf), AS_OF, names, **options)
+        run_cycle(raw_runs(spark, sf), dependencies(spark, sf), AS_OF, names, **options)
+        found.append(_sent(spark, names, dedupe))
+    return found[0].unionByName(found[1])
+
+
+@query
+def run_cycle_twice(spark: SparkSession, sf: str) -> DataFrame:
+    """The messages of a day and their log rows after two calls of the whole job."""
+    return _cycles(spark, sf, interrupted=False)
+
+
+@query
+def run_cycle_interrupted(spark: SparkSession, sf: str) -> DataFrame:
+    """The same if the first call is stopped between its two appends."""
+    return _cycles(spark, sf, interrupted=True)
+
+
+@query
+def run_count_observed(spark: SparkSession, sf: str) -> DataFrame:
+    """The number of runs pulled in two days, observed while they are written."""
+    _, rows = settle_counted(runs_lookback(flat_runs(spark, sf), AS_OF, 2), "pull")
+    return spark.createDataFrame([(rows,)], "run_count bigint")
+
+
+# Layouts of the landing and the logs
+
+
+@query
+def run_log_bucketed(spark: SparkSession, sf: str) -> DataFrame:
+    """`run_log_written` on a log laid out by key."""
+    name = f"run_log_{uuid.uuid4().hex}"
+    ensure_bucketed_run_log(spark, name, 16, location=fresh_path(spark, "tables"))
+    run_log(spark, sf).write.insertInto(name)
+    for _ in range(2):
+        write_run_log(flat_runs(spark, sf), name, AS_OF, null_keys="match", older="kept")
+    return spark.table(name)
+
+
+@query
+def runs_scan_indexed(spark: SparkSession, sf: str) -> DataFrame:
+    """A look-back of two days over pages of a day each without day folders: half of them indexed, the others landed later."""
+    landing, index = fresh_path(spark, "landing"), f"page_index_{uuid.uuid4().hex}"
+    raw, day = raw_runs(spark, sf), F.floor(F.col("start_time") / 86_400_000)
+    land_pages(raw.where("run_id % 2 = 0"), day, f"{landing}/first", files=16)
+    ensure_page_index(spark, index, location=fresh_path(spark, "tables"))
+    index_new_pages(spark, f"{landing}/*", index, fresh_path(spark, "stream")).awaitTermination()
+    land_pages(raw.where("run_id % 2 = 1"), day, f"{landing}/second", files=16)
+    return flatten_runs(read_runs_indexed(spark, landing, spark.table(index), AS_OF, 2))
+
+
+@query
+def pages_quarantined(spark: SparkSession, sf: str) -> DataFrame:
+    """Pages of 100 runs, some of them broken off: the runs of the others, and the broken texts after two pulls."""
+    landing, kept = fresh_path(spark, "landing"), f"quarantine_{uuid.uuid4().hex}"
+    pages = raw_runs(spark, sf).groupBy(F.expr("run_id div 100").alias("page")).agg(F.collect_list(F.struct("*")).alias("runs"))
+    whole = F.to_json(F.struct("runs"))
+    pages.select(F.when(F.col("page") % 7 == 3, F.format_string('{"runs": [{"run_id": %d, ', "page")).otherwise(whole)).write.text(landing)
+    spark.sql(f"CREATE TABLE {kept} ({QUARANTINE_DDL}) USING parquet LOCATION '{fresh_path(spark, 'tables')}'")
+    landed = read_pages(spark, landing)
+    for _ in range(2):
+        quarantine(broken_pages(landed, AS_OF), kept)
+    runs = flatten_runs(sound_runs(landed)).select("run_id", F.lit(None).cast("string").alias("page"))
+    return runs.unionByName(spark.table(kept).select("page"), allowMissingColumns=True)
+
+
+@query
+def run_schema_of_ddl(spark: SparkSession, sf: str) -> DataFrame:
+    """Flat runs written as text and read back by the schema's DDL."""
+    path = fresh_path(spark, "flat")
+    flat_runs(spark, sf).write.json(path)
+    return spark.read.schema(run_schema_ddl()).json(path)
+
+
+# Orders
+
+
+@query
+def runs_newest_first(spark: SparkSession, sf: str) -> DataFrame:
+    return numbered(flat_runs(spark, sf), newest_first_order()).select("run_id", "position")
+
+
+@query
+def notifications_today_in_order(spark: SparkSession, sf: str) -> DataFrame:
+    return numbered(notifications_on(notification_log(spark, sf), DAY), audit_order())
+
+
+# Streams, chains, changing SLAs, counts over days
+
+
+@query
+def latest_run_streamed(spark: SparkSession, sf: str) -> DataFrame:
+    """The latest run of each job after three batches of about ten days, a tenth of the runs a batch late."""
+    landing, state, name = fresh_path(spark, "landing"), fresh_path(spark, "stream"), f"latest_runs_{uuid.uuid4().hex}"
+    ensure_latest_runs(spark, name, flat_runs(spark, sf), location=fresh_path(spark, "tables"))
+    on_time = F.ceil(F.dayofmonth(F.timestamp_millis("start_time")) / 10)
+    batch = F.least(on_time + (F.col("run_id") % 10 == 0).cast("int"), F.lit(3))
+    raw = raw_runs(spark, sf).withColumn("batch", batch)
+    for k in (1, 2, 3):
+        land_pages(raw.where(F.col("batch") == k).drop("batch"), F.floor(F.col("run_id") / 1000), f"{landing}/{k}")
+        stream_latest_runs(stream_runs(spark, f"{landing}/*"), name, state, "15 days").awaitTermination()
+        spark.catalog.refreshTable(name)
+    return latest_runs(spark.table(name))
+
+
+@query
+def dependency_closure(spark: SparkSession, sf: str) -> DataFrame:
+    return clo.dependency_closure(dependency_chains(spark, sf))
+
+
+@query
+def failed_root_causes(spark: SparkSession, sf: str) -> DataFrame:
+    failed = latest_run_per_job(flat_runs(spark, sf)).where("result_state = 'FAILED'").select(F.col("run_name").alias("WorkflowName"))
+    return clo.root_causes(dependency_chains(spark, sf), settle(failed, "failed"))
+
+
+@query
+def sla_as_of(spark: SparkSession, sf: str) -> DataFrame:
+    """Every run by the SLA that held for its layer on its day, due the morning after."""
+    runs = flat_runs(spark, sf).select(
+        "run_id", F.expr(LAYER_OF_JOB.format("cast(job_id as bigint)")).alias("layer"), F.to_date("start_time_in_est").alias("day"), "end_time_in_est"
+    )
+    found = slas.sla_as_of(runs, sla_history(spark, sf)).withColumn("deadline", slas.sla_deadline("day", "SLA", days_after=1))
+    return found.withColumn("SLA_MET", slas.sla_met_by("end_time_in_est", "deadline"))
+
+
+@query
+def layer_counts_rollup(spark: SparkSession, sf: str) -> DataFrame:
+    """Distinct counts of each layer, by day and over the month (no day), from the bitmaps of the days."""
+    needs = sta.sla_by_layer(sta.dependency_needs(dependencies(spark, sf)), SLA_BY_LAYER)
+    status = sta.dependency_status(needs, flat_runs(spark, sf)).withColumn("day", F.to_date("start_time_in_est"))
+    days = settle(layer_bitmaps(status, name_numbers(needs)), "bitmaps")
+    month = counts_of_bitmaps(days).withColumn("day", F.lit(None).cast("date"))
+    return counts_of_bitmaps(days.where("day is not null"), ("layer", "SLA", "day")).unionByName(month)

@@ -128,3 +128,24 @@ def run_log(spark: SparkSession, sf_dir: str) -> DataFrame:
         f"to_date(convert_timezone('US/Eastern', 'UTC', start_time_in_est)) as {RUN_LOG_PARTITION}",
     )
     return log.select(*RUN_LOG_COLUMNS, RUN_LOG_PARTITION)
+
+
+LAYER_OF_JOB = "case {0} % 3 when 0 then 'Bronze' when 1 then 'Gold' else 'Platinum' end"
+
+
+def dependency_chains(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The workflow of job n depends on that of job n // 3; those of jobs 1 and 4 on each other."""
+    jobs = table(spark, sf_dir, "events").select(F.col("user_id").alias("job")).distinct()
+    back = F.expr("case when job = 1 then array(0L, 4L) else array(job div 3) end")
+    return jobs.where("job > 0").select("job", F.explode(back).alias("on")).selectExpr(
+        "concat('WF-', job) as WorkflowName", "concat('WF-', `on`) as DependsOn"
+    )
+
+
+def sla_history(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Three texts for each layer; that of Platinum ends with the third."""
+    layers = table(spark, sf_dir, "events").selectExpr(f"{LAYER_OF_JOB.format('user_id')} as layer").distinct()
+    dated = layers.select("layer", F.posexplode(F.array(*(F.lit(d).cast("date") for d in ("2024-01-05", "2024-01-12", "2024-01-20")))).alias("n", "valid_from"))
+    return dated.selectExpr(
+        "layer", "case when n < 2 or layer <> 'Platinum' then concat(length(layer) + n, ':30 AM EST') end as sla_text", "valid_from"
+    )

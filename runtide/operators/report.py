@@ -32,45 +32,50 @@ def html_row(df: DataFrame, escape: bool = False) -> Column:
     return F.concat(F.lit("<tr>"), F.array_join(cells, ""), F.lit("</tr>"))
 
 
+def numbered(df: DataFrame, order: Sequence[Column]) -> DataFrame:
+    """`df` with `position`, from 0, in the order of the columns `order`.
+
+    Rows are sorted in ranges and numbered within each; only one count for each range is needed to place them, so no
+    task numbers all rows. Settled, so numbers stay what they are.
+    """
+    ranges = settle(df.orderBy(*order).withColumn("id", F.monotonically_increasing_id()), "numbered")
+    ranges = ranges.withColumn("range", F.shiftright("id", 33)).withColumn("at", F.expr("id & 8589934591L"))
+    ahead, before = 0, []
+    for number, rows in ranges.groupBy("range").agg(F.count(F.lit(1))).orderBy("range").collect():
+        before.append((number, ahead))
+        ahead += rows
+    starts = df.sparkSession.createDataFrame(before, "range bigint, ahead bigint")
+    columns = [F.col(f"`{name}`") for name in df.columns]
+    return ranges.join(starts, "range").select(*columns, (F.col("ahead") + F.col("at")).alias("position"))
+
+
 def numbered_lines(
     df: DataFrame, order: Sequence[str], escape: bool = False, rows_per_part: int = ROWS_PER_PART
 ) -> DataFrame:
     """`df` with `line` (its `<tr>`), `position` (from 0, ascending by `order`, ties by line) and `part`.
 
-    A part is `rows_per_part` consecutive positions. Rows are sorted in ranges and numbered within each; only one count
-    for each range is needed to place them, so no task numbers all rows. Settled, so numbers stay what they are.
+    A part is `rows_per_part` consecutive positions.
     """
     rows = df.select("*", html_row(df, escape).alias("line"))
-    ranges = settle(
-        rows.orderBy(*(F.col(f"`{name}`") for name in order), "line").withColumn("id", F.monotonically_increasing_id()),
-        "lines",
-    )
-    ranges = ranges.withColumn("range", F.shiftright("id", 33)).withColumn("at", F.expr("id & 8589934591L"))
-    ahead, before = 0, []
-    for number, lines in ranges.groupBy("range").agg(F.count(F.lit(1))).orderBy("range").collect():
-        before.append((number, ahead))
-        ahead += lines
-    starts = df.sparkSession.createDataFrame(before, "range bigint, ahead bigint")
-    position = F.col("ahead") + F.col("at")
-    return ranges.join(starts, "range").select(
-        *(F.col(f"`{name}`") for name in df.columns),
-        "line",
-        position.alias("position"),
-        F.floor(position / rows_per_part).cast("int").alias("part"),
-    )
+    lines = numbered(rows, [*(F.col(f"`{name}`") for name in order), F.col("line")])
+    return lines.withColumn("part", F.floor(F.col("position") / rows_per_part).cast("int"))
 
 
 def html_table(
-    df: DataFrame, order: Sequence[str], escape: bool = False, rows_per_part: int = ROWS_PER_PART
+    df: DataFrame,
+    order: Sequence[str],
+    escape: bool = False,
+    rows_per_part: int = ROWS_PER_PART,
+    lines: DataFrame | None = None,
 ) -> DataFrame:
     """`df` as HTML tables (part, parts, html), rows ascending by `order` within and across parts.
 
     The parts one after another are the one sorted table at any size; a part bounds the length of a text and of what a
-    task gathers, and no row is dropped.
+    task gathers, and no row is dropped. `lines` are the `numbered_lines` of `df`, if they are at hand.
     """
     titles = (f"<th>{html.escape(name) if escape else name}</th>" for name in df.columns)
     head = F.lit(TABLE_OPEN + "".join(titles) + "</tr></thead><tbody>")
-    lines = settle(numbered_lines(df, order, escape, rows_per_part).select("part", "position", "line"), "numbered")
+    lines = numbered_lines(df, order, escape, rows_per_part) if lines is None else lines
     count = lines.agg(F.greatest(F.coalesce(F.max("part") + 1, F.lit(1)), F.lit(1)).cast("int").alias("parts"))
     parts = count.select(F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("part"), "parts")
     rows = lines.groupBy(F.col("part").alias("row_part")).agg(
@@ -91,14 +96,15 @@ def html_report(
     signature: str = SIGNATURE,
     escape: bool = False,
     rows_per_part: int = ROWS_PER_PART,
+    lines: DataFrame | None = None,
 ) -> DataFrame:
     """Full message bodies (part, parts, body): intro, style sheet, table, signature.
 
     `second` adds a second, titled table ordered by `second_order` (default: its columns). `intro`
-    may be a column, such as one made from the scalar of `layer_label`. `df` is read twice, for its
-    size and its rows; settle it first if it is costly to compute.
+    may be a column, such as one made from the scalar of `layer_label`. `lines` are the `numbered_lines` of
+    `df`, if they are at hand.
     """
-    tables = html_table(df, order, escape, rows_per_part)
+    tables = html_table(df, order, escape, rows_per_part, lines)
     style = F.lit(STYLE_SHEET)
     shown = F.concat(style, F.col("html"))
     if second is not None:

@@ -39,9 +39,14 @@ def flatten_runs(raw: DataFrame, zones: tuple[str, str] = ("US/Pacific", "US/Eas
     return raw.selectExpr(*picked).withColumns(derived)
 
 
+def newest_first_order() -> list[Column]:
+    """Pacific start time, newest first; ties by run id, so that the order is always the same."""
+    return [F.col("start_time_in_pst").desc_nulls_last(), *_run_id_order()]
+
+
 def newest_first(runs: DataFrame) -> DataFrame:
-    """Total order by Pacific start time, newest first. For output only: it costs a range shuffle."""
-    return runs.orderBy(F.col("start_time_in_pst").desc())
+    """Total order by `newest_first_order`. For output only: it costs a range shuffle."""
+    return runs.orderBy(*newest_first_order())
 
 
 def runs_lookback(runs: DataFrame, as_of: dt.datetime | int, days_back: int = 1) -> DataFrame:

@@ -99,6 +99,7 @@ def failed_runs(status: DataFrame, notified: DataFrame, failure_dedupe: str = "j
 
     `failure_dedupe="job"` leaves out jobs with any notification of the day, so a failure after a
     notified success is silent; `"job_event"` leaves out only jobs whose failure was notified.
+    Rows without a job id match nothing and bypass the join, where they would share one task.
     """
     if failure_dedupe not in ("job", "job_event"):
         raise ValueError(f"failure_dedupe must be 'job' or 'job_event', not {failure_dedupe!r}")
@@ -106,4 +107,5 @@ def failed_runs(status: DataFrame, notified: DataFrame, failure_dedupe: str = "j
     if failure_dedupe == "job_event":
         return not_yet_notified(failed, notified)
     jobs = notified.select(F.col("job_id").alias("seen_job")).distinct()
-    return failed.join(jobs, F.col("job_id") == F.col("seen_job"), "left_anti")
+    told = failed.where("job_id is not null").join(jobs, F.col("job_id") == F.col("seen_job"), "left_anti")
+    return told.unionByName(failed.where("job_id is null"))

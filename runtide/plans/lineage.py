@@ -5,7 +5,8 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import functions as F
 
 
 def shared_folder(spark: SparkSession) -> str:
@@ -34,3 +35,10 @@ def settle(df: DataFrame, label: str = "settled") -> DataFrame:
     path = fresh_path(df.sparkSession, label)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def settle_counted(df: DataFrame, label: str = "settled") -> tuple[DataFrame, int]:
+    """`settle`, and the number of rows, observed while they are written: counting them costs no job of its own."""
+    seen = Observation()
+    settled = settle(df.observe(seen, F.count(F.lit(1)).alias("rows")), label)
+    return settled, seen.get["rows"]

@@ -53,56 +53,62 @@ RUN_OBJECT_DDL = """
 
 RUN_PAGE_DDL = "runs array<struct<" + RUN_OBJECT_DDL.replace("\n", " ") + ">>"
 
+#: Column with the text of a page that could not be read.
+PAGE_TEXT = "_page_text"
+QUARANTINE_DDL = "file string, page string, QuarantinedOn timestamp_ntz"
+QUARANTINE_COLUMNS = ("file", "page", "QuarantinedOn")
+
+#: One row for each landed file: when it was written, its number of runs, their first and last start.
+PAGE_INDEX_DDL = "file string, modified timestamp, runs bigint, first_start bigint, last_start bigint"
+PAGE_INDEX_COLUMNS = ("file", "modified", "runs", "first_start", "last_start")
+
 DEPENDENCY_SCHEMA = T.StructType(
     [T.StructField(name, T.StringType()) for name in ("SubjectArea", "WorkflowName", "DependsOn", "layer")]
 )
 
-# Both logs carry one partition column after the columns that users see. It is fixed when a row
-# is first inserted, so a later update never moves a row to another partition.
+# Columns of the two logs, in their order.
 RUN_LOG_DDL = """
     RunId bigint, attempt_number int, WorkFlowId bigint, WorkFlowStartType string,
     WorkFlowStartDttm string, WorkFlowEndDttm string, WorkFlowDuration string, WorkFlowState string,
     WorkFlowMessage string, WorkFlowMetSLAFlag string, InsertedOn timestamp_ntz
 """
-RUN_LOG_COLUMNS = (
-    "RunId",
-    "attempt_number",
-    "WorkFlowId",
-    "WorkFlowStartType",
-    "WorkFlowStartDttm",
-    "WorkFlowEndDttm",
-    "WorkFlowDuration",
-    "WorkFlowState",
-    "WorkFlowMessage",
-    "WorkFlowMetSLAFlag",
-    "InsertedOn",
-)
-RUN_LOG_PARTITION = "PartitionDate"
-
 NOTIFICATION_LOG_DDL = """
     ObjectType string, WorkflowName string, job_id string, EventType string,
     EventDTMM timestamp_ntz, NotificationDttm timestamp_ntz, NotificationSentTo string,
     NotificationEmailContent string, layer string, InsertedOn timestamp_ntz
 """
-NOTIFICATION_COLUMNS = (
-    "ObjectType",
-    "WorkflowName",
-    "job_id",
-    "EventType",
-    "EventDTMM",
-    "NotificationDttm",
-    "NotificationSentTo",
-    "NotificationEmailContent",
-    "layer",
-    "InsertedOn",
-)
+# End of fixed values.
+
+
+def names_of(ddl: str) -> tuple[str, ...]:
+    """Column names of a layout without nested columns."""
+    return tuple(column.split()[0] for column in ddl.split(","))
+
+
+RUN_LOG_COLUMNS = names_of(RUN_LOG_DDL)
+NOTIFICATION_COLUMNS = names_of(NOTIFICATION_LOG_DDL)
+
+# Both logs carry one partition column after the columns that users see. It is fixed when a row
+# is first inserted, so a later update never moves a row to another partition.
+RUN_LOG_PARTITION = "PartitionDate"
 NOTIFICATION_PARTITION = "InsertedDate"
 
+# A log entry without its text names the message that has it.
+BODY = "NotificationEmailContent"
+ENTRY_DDL = ",".join(c for c in NOTIFICATION_LOG_DDL.split(",") if BODY not in c) + ", MessageId string"
+ENTRY_COLUMNS = names_of(ENTRY_DDL)
+
 OUTBOX_DDL = """
     kind string, subject string, recipients array<string>, part int, parts int, body string,
-    CreatedOn timestamp_ntz
+    CreatedOn timestamp_ntz, message_id string, cc array<string>
+"""
+OUTBOX_COLUMNS = names_of(OUTBOX_DDL)
+
+# What a cycle is about to write: rows of the outbox and of the notification log, and how far it came.
+JOURNAL_DDL = f"""
+    message struct<{OUTBOX_DDL.replace(chr(10), " ")}>, entry struct<{ENTRY_DDL.replace(chr(10), " ")}, {NOTIFICATION_PARTITION} date>
 """
-OUTBOX_COLUMNS = ("kind", "subject", "recipients", "part", "parts", "body", "CreatedOn")
+CYCLE_DDL = "cycle string, day date, state string"
 
 
 def run_schema_ddl() -> str:
