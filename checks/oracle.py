@@ -336,6 +336,18 @@ FINAL = {
     "file_inventory_of_pages": """
     select distinct concat('day=', cast(cast(ts as date) as varchar)) as folder, cast(1 as bigint) as folders,
       true as has_files from events""",
+    "file_inventory_of_listing": """
+    , listing as (
+      select concat('store/', regexp_replace(url, '^[a-z]+://', '')) as path, page_id * 1000 as modificationTime
+      from pages where url is not null),
+    parts as (select *, string_split(rtrim(path[7:], '/'), '/') as p, path not like '%/' as is_file from listing),
+    above as (
+      select concat('store/', array_to_string(p[:n], '/')) as path, max(modificationTime) as modificationTime
+      from (select p, modificationTime, unnest(range(1, len(p) - is_file::int + 1)) as n from parts) group by 1),
+    every as (
+      select path, modificationTime, 'file' as type from parts where is_file
+      union all select path, modificationTime, 'folder' from above)
+    select path, string_split(path, '/')[-1] as name, modificationTime, type from every""",
     "runs_flatten": "select * from flat",
     "path_lookup": """
     select f.run_id, f.result_state, f.max_workers, cast(null as varchar) as no_such_key,

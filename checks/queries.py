@@ -47,7 +47,7 @@ from runtide.plans.lineage import fresh_path, settle, settle_counted
 from runtide.plans.monitor import monitor, open_status, prepare_cycle, run_cycle, settled_today
 from runtide.schema import BODY, NOTIFICATION_PARTITION, QUARANTINE_DDL, RUN_LOG_COLUMNS, run_schema_ddl
 from runtide.sources.dependencies import SLA_BY_LAYER, read_dependencies
-from runtide.sources.files import file_inventory
+from runtide.sources.files import file_inventory, inventory
 from runtide.sources.journal import log_cycle
 from runtide.sources.pageindex import ensure_page_index, index_new_pages, read_runs_indexed
 from runtide.sources.payload import broken_pages, land_pages, quarantine, read_pages, read_runs, sound_runs
@@ -135,6 +135,15 @@ def file_inventory_of_pages(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+@query
+def file_inventory_of_listing(spark: SparkSession, sf: str) -> DataFrame:
+    """The addresses of all pages as a listing, a page per file."""
+    listing = table(spark, sf, "pages").where("url is not null").selectExpr(
+        "concat('store/', regexp_replace(url, '^[a-z]+://', '')) as path", "page_id * 1000 as modificationTime"
+    )
+    return inventory(listing, "store")
+
+
 # Runs
 
 

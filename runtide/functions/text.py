@@ -32,6 +32,10 @@ table { border-collapse: collapse; }
 .fail { background-color: Orange; }
 </style>
 """
+SUBJECT_PREFIX = "Prod - EDW - Data refresh - "
+INTRO_OPENING = "Hello All,<br><br>Data refresh for "
+FAILURE_CLOSING = " layer tables has failed. Below are the failed refresh timings.<br>"
+SUCCESS_CLOSING = " layer tables has completed successfully.<br>"
 # End of fixed values.
 
 
@@ -84,24 +88,16 @@ def name_list(names: Column) -> Column:
     return F.when(size < 2, last).otherwise(F.concat(head, F.lit(" and "), last))
 
 
-def subject(day: dt.date | Column, prefix: str = "Prod - EDW - Data refresh - ") -> Column:
+def subject(day: dt.date | Column, prefix: str = SUBJECT_PREFIX) -> Column:
     """Subject line of a report for `day`."""
     return F.concat(F.lit(prefix), date_label(day if isinstance(day, Column) else F.lit(day)))
 
 
 def failure_intro(layers: Column) -> Column:
     """Opening text of a failure report about the layers named by the phrase `layers`."""
-    return F.concat(
-        F.lit("Hello All,<br><br>Data refresh for "),
-        layers,
-        F.lit(" layer tables has failed. Below are the failed refresh timings.<br>"),
-    )
+    return F.concat(F.lit(INTRO_OPENING), layers, F.lit(FAILURE_CLOSING))
 
 
 def success_intro(layers: Column) -> Column:
     """Opening text of a success report about the layers named by the phrase `layers`."""
-    return F.concat(
-        F.lit("Hello All,<br><br>Data refresh for "),
-        layers,
-        F.lit(" layer tables has completed successfully.<br>"),
-    )
+    return F.concat(F.lit(INTRO_OPENING), layers, F.lit(SUCCESS_CLOSING))

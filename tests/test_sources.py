@@ -8,7 +8,7 @@ import pytest
 from checks.views import raw_runs, run_log
 from runtide.operators.runs import flatten_runs, runs_lookback
 from runtide.sources.dependencies import read_dependencies
-from runtide.sources.files import file_inventory
+from runtide.sources.files import file_inventory, inventory
 from runtide.sources.payload import read_runs
 from runtide.sources.tables import TableNames, ensure_tables
 from runtide.streaming.ingest import ingest_new_pages
@@ -77,6 +77,15 @@ def test_file_inventory(spark, folder):
     assert times["a"] == max(times["one.txt"], times["two.txt"], times["three.txt"])
 
 
+def test_inventory_of_a_listing_has_hidden_names_and_empty_folders(spark):
+    rows = [("a/.hidden/_x", 5), ("a/b.txt", 3), ("a/empty/", 7), ("a/.hidden/y", 4), ("a/b.txt", 3)]
+    listing = spark.createDataFrame(rows, "path string, modificationTime long").selectExpr("*", "1 as type", "'n' as name")
+    want = [("a/.hidden", ".hidden", 5, "folder"), ("a/.hidden/_x", "_x", 5, "file"), ("a/.hidden/y", "y", 4, "file"), ("a/b.txt", "b.txt", 3, "file"), ("a/b.txt", "b.txt", 3, "file"), ("a/empty", "empty", 7, "folder")]
+    assert sorted(map(tuple, inventory(listing, "a/").collect())) == want
+    assert sorted(map(tuple, inventory(listing).collect())) == sorted([("a", "a", 7, "folder"), *want])
+    assert inventory(listing.limit(0), "a").count() == 0
+
+
 def test_ingest_takes_each_page_once(spark, folder):
     names = TableNames(run_log=f"runs_{uuid.uuid4().hex[:8]}")
     ensure_tables(spark, names)
