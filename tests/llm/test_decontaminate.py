@@ -3,6 +3,7 @@ import random
 import numpy as np
 import pyarrow as pa
 
+from runtide.llm import decontaminate
 from runtide.llm.decontaminate import align, contaminated
 from runtide.llm.shared import grams, text_buffers, words
 
@@ -89,3 +90,21 @@ def test_edits_every_few_words_equal_alignment_of_all_pairs(spark):
     )
     got = {(r["doc_id"], r["item_id"]): r["score"] for r in contaminated(frame, bench).collect()}
     assert len(want) >= 36 and got == want
+
+
+def test_common_grams_are_no_seeds_where_rare_ones_are_left(spark, monkeypatch):
+    rng = random.Random(7)
+    draw = lambda n: [f"w{rng.randrange(10**6)}" for _ in range(n)]
+    line = "all rights reserved by the authors of this text".split()
+    half, whole = line[:4] + draw(14), list(line)  # an item with a common run, and one that is nothing else
+    docs = [(k, " ".join(draw(10) + line + draw(10))) for k in range(150)]
+    docs += [(900, " ".join(draw(30) + half + draw(30))), (901, " ".join(draw(5) + draw(3000) + draw(5)))]
+    bench = spark.createDataFrame([(1, " ".join(half)), (2, " ".join(whole)), (3, " ".join(draw(2500)))], "item_id long, text string")
+    frame = spark.createDataFrame(docs, "doc_id long, text string")
+    seen = []
+    plain = decontaminate.seed_passages
+    monkeypatch.setattr(decontaminate, "seed_passages", lambda d, k, seeds, n: seen.extend(seeds.collect()) or plain(d, k, seeds, n))
+    got = {(r["doc_id"], r["item_id"]) for r in contaminated(frame, bench).collect()}
+    assert got == {(900, 1)} | {(k, 2) for k in range(150)}
+    # Of the first item only grams beyond the common run; the long third one widens no other's margin.
+    assert max(r["margin"] for r in seen) == 2 * 18
