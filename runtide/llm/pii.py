@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame
@@ -18,7 +19,11 @@ CLOUD_KEY = r"AKIA[0-9A-Z]{16}"
 PHONE = r"\+1[ .-]?\(?\d{3}\)?[ .-]?\d{3}[ .-]?\d{4}(?!\d)|\+\d{1,3}[ .-]?(?:\(\d{1,4}\)|\d{1,4})(?:[ .-]?\d{2,4}){1,4}"
 NATIONAL_PHONE = r"\(\d{3}\)[ .-]?\d{3}[ .-]?\d{4}|\(?\d{3}\)?[ .-]\d{3}[ .-]\d{4}"
 ISO_DATE = r"\d{4}-\d{2}-\d{2}"
-DAY_DATE = r"\d{2}[./]\d{2}[./]\d{4}"
+DAY_DATE = r"\d{1,2}[./]\d{1,2}[./]\d{4}"
+#: The date of a timestamp such as 2024-01-05T10:00:00Z; the time stays.
+STAMP_DATE = r"\d{4}-\d{2}-\d{2}(?=T\d{2}:?\d{2})"
+#: Country calling codes, fixed values: 1 and 7, those of two digits; all others have three.
+CALLING_CODE = r"\+(?:[17]|2[07]|3[0-469]|4[013-9]|5[1-8]|6[0-6]|8[1246]|9[0-58]|\d{1,3})"
 SOCIAL = r"\d{3}-\d{2}-\d{4}"
 ADDRESS = r"(?<!\d\.)\d{1,3}(?:\.\d{1,3}){3}(?!\.\d)"
 #: Countries by the length of their IBANs, so that a match ends where the IBAN does.
@@ -38,7 +43,7 @@ def _iban_of(length: int, countries: str) -> str:
 IBAN = "|".join([*(_iban_of(n, c) for n, c in IBAN_LENGTHS.items()), r"[A-Z]{2}\d{2}(?: ?[A-Z0-9]{4}){2,7}(?: ?[A-Z0-9]{1,3})?"])
 CARD = r"\d{4}(?:[ -]\d{4}){3}|\d{4}[ -]\d{6}[ -]\d{5}|\d{13,19}"
 FORMS = (EMAIL, SECRET, CLOUD_KEY, ISO_DATE, DAY_DATE, SOCIAL, ADDRESS, IBAN, CARD, NATIONAL_PHONE)
-CANDIDATE = f"(?:{_START}(?:{'|'.join(FORMS)})|(?<![A-Za-z0-9+])(?:{PHONE})){_END}"
+CANDIDATE = f"(?:{_START}(?:{'|'.join(FORMS)})|(?<![A-Za-z0-9+])(?:{PHONE})){_END}|{_START}{STAMP_DATE}"
 
 
 def _noise(key: str, tag: Column | str, step: Column, value: Column) -> Column:
@@ -140,8 +145,23 @@ def _date(day: Column, form: str, key: str) -> Column:
 
 
 def _split_day(m: Column, first: int, second: int) -> Column:
-    part = lambda at, n: F.substr(m, F.lit(at), F.lit(n))
-    return F.try_to_date(F.concat(part(7, 4), F.lit("-"), part(second, 2), F.lit("-"), part(first, 2)), "yyyy-MM-dd")
+    """The date of three numbers, the day at place `first` and the month at `second`."""
+    parts = F.split(m, "[./]")
+    part = lambda k: F.lpad(parts[k], 2, "0")
+    return F.try_to_date(F.concat(parts[2], F.lit("-"), part(second), F.lit("-"), part(first)), "yyyy-MM-dd")
+
+
+def _unpadded(m: Column, day: Column) -> Column:
+    """Eight digits of a date laid out like `m`, without leading zeros."""
+    number = lambda at: F.substr(day, F.lit(at), F.lit(2)).cast("int").cast("string")
+    mark = lambda k: F.regexp_extract(m, r"^\d+([./])\d+([./])", k)
+    return F.concat(number(1), mark(1), number(3), mark(2), F.substr(day, F.lit(5)))
+
+
+def _cased(text: Column, like: Column) -> Column:
+    """`text` with capitals where `like`, of the same length, has them."""
+    letters = F.zip_with(F.split(text, ""), F.split(like, ""), lambda c, old: F.when(old.rlike("[A-Z]"), F.upper(c)).otherwise(c))
+    return F.when(like.rlike("[A-Z]"), F.array_join(letters, "")).otherwise(text)
 
 
 def pseudonym(m: Column, key: str) -> Column:
@@ -167,7 +187,7 @@ def pseudonym(m: Column, key: str) -> Column:
     )
     american = (part(1, 3) >= 200) & (part(4, 3) >= 200)
     # Other numbers keep the sign, the country code and the first digit after it.
-    country = F.regexp_extract(m, r"^\+\d{1,3}", 0)
+    country = F.regexp_extract(m, f"^{CALLING_CODE}", 0)
     rest = F.substr(m, F.length(country) + 1)
     other = F.regexp_replace(rest, "[^0-9]", "")
     abroad = F.concat(F.substr(other, F.lit(1), F.lit(1)), feistel_text(F.substr(other, F.lit(2)), key, "abroad"))
@@ -175,8 +195,9 @@ def pseudonym(m: Column, key: str) -> Column:
     at = F.instr(m, "@")
     ending = F.regexp_extract(m, r"\.[A-Za-z]+$", 0)
     domain = F.substr(m, at + 1, F.length(m) - at - F.length(ending))
-    # An address is the same in any case.
-    email = F.concat(feistel_text(F.lower(F.substr(m, F.lit(1), at - 1)), key, "name"), F.lit("@"), feistel_text(F.lower(domain), key, "domain"), ending)
+    # An address is the same in any case, and its pseudonym has its capitals.
+    name = F.substr(m, F.lit(1), at - 1)
+    email = F.concat(_cased(feistel_text(F.lower(name), key, "name"), name), F.lit("@"), _cased(feistel_text(F.lower(domain), key, "domain"), domain), ending)
     social = F.substr(digits, F.lit(1), F.lit(3)).cast("int").between(1, 899) & ~m.rlike("^666|-00-|-0000$")
     # The area moves among 1 to 899 without 666, group and serial among their own values.
     area = F.substr(digits, F.lit(1), F.lit(3)).cast("int")
@@ -187,13 +208,13 @@ def pseudonym(m: Column, key: str) -> Column:
     number = F.concat_ws(
         "-", F.lpad(three.cast("string"), 3, "0"), F.lpad((F.floor(code["r"] / 9999) + 1).cast("string"), 2, "0"), F.lpad((code["r"] % 9999 + 1).cast("string"), 4, "0")
     )
-    day = F.coalesce(_date(_split_day(m, 1, 4), "ddMMyyyy", key), _date(_split_day(m, 4, 1), "MMddyyyy", key))
+    day = F.coalesce(_date(_split_day(m, 0, 1), "ddMMyyyy", key), _date(_split_day(m, 1, 0), "MMddyyyy", key))
     return (
         F.when(at > 0, email)
         .when(prefix != "", F.concat(prefix, feistel_text(F.substr(m, F.length(prefix) + 1), key, "secret")))
         .when(whole(CLOUD_KEY), F.concat(F.lit("AKIA"), feistel_text(F.substr(m, F.lit(5)), key, "key")))
         .when(whole(ISO_DATE), _date(F.try_to_date(m, "yyyy-MM-dd"), "yyyy-MM-dd", key))
-        .when(whole(DAY_DATE), _relaid(m, day))
+        .when(whole(DAY_DATE), F.when(F.length(m) == 10, _relaid(m, day)).otherwise(_unpadded(m, day)))
         .when(whole(SOCIAL), F.when(social, number))
         .when(whole(ADDRESS), F.when((octet(0) < 256) & (octet(1) < 256) & (octet(2) < 256) & (octet(3) < 256), F.concat_ws(".", pair(network["l"]), pair(network["r"]))))
         .when(whole(IBAN), F.when(mod_97(plain) == 1, _relaid(m, iban, "[A-Z0-9]")))
@@ -213,18 +234,21 @@ def pseudonymised(docs: DataFrame, key: str, text: str = "text", count: str | No
     other text. A null text stays null with count 0. Rows are independent of each other, no other column is looked at.
     """
     source = F.col(text)
+    # Names of its own, whatever columns there are.
+    tag = uuid.uuid4().hex
+    held, made = f"found_{tag}", f"fresh_{tag}"
     # Only texts with one of these characters can hold a value; the others skip the long pattern.
     maybe = source.rlike("[0-9@=:]")
     found = F.when(maybe, F.regexp_extract_all(source, F.lit(CANDIDATE), F.lit(0)))
     between = F.split(source, CANDIDATE, -1)
-    fresh = F.transform("__found", lambda m: per_value(m, key))
+    fresh = F.transform(held, lambda m: per_value(m, key))
     joined = F.zip_with(
-        F.zip_with(between, F.col("__found"), lambda a, m: F.struct(a.alias("a"), m.alias("m"))), F.col("__fresh"),
+        F.zip_with(between, F.col(held), lambda a, m: F.struct(a.alias("a"), m.alias("m"))), F.col(made),
         lambda x, f: F.concat(x["a"], F.coalesce(f, x["m"], F.lit(""))),
     )
-    out = docs.withColumn("__found", found).withColumn("__fresh", F.when(F.size("__found") > 0, fresh))
-    out = out.withColumn(text, F.when(F.size("__found") > 0, F.array_join(joined, "")).otherwise(source))
+    out = docs.withColumn(held, found).withColumn(made, F.when(F.size(held) > 0, fresh))
+    out = out.withColumn(text, F.when(F.size(held) > 0, F.array_join(joined, "")).otherwise(source))
     if count:
-        out = out.withColumn(count, F.coalesce(F.size(F.filter("__fresh", lambda f: f.isNotNull())), F.lit(0)))
+        out = out.withColumn(count, F.coalesce(F.size(F.filter(made, lambda f: f.isNotNull())), F.lit(0)))
         out = out.withColumn(count, F.greatest(F.col(count), F.lit(0)))
-    return out.drop("__found", "__fresh")
+    return out.drop(held, made)

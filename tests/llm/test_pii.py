@@ -46,6 +46,22 @@ def test_what_fails_its_check_stays(spark):
     assert [t for t, _ in got] == texts and {n for _, n in got} == {0}
 
 
+def test_other_layouts_of_dates_numbers_and_addresses(spark):
+    texts = ["at 2024-01-05T10:00:00Z.", "2024-01-05", "5/1/2024", "05/01/2024", "5.1.2024", "15/1/2024", "+442079460958", "+44 20 7946 0958", "+44-20-7946-0958", "+358 9 1234567", "Bob.Smith@Mail.example.COM", "bob.smith@mail.example.COM"]
+    got = [t for t, n in run(spark, texts) if n == 1]
+    assert len(got) == len(texts)
+    numbers = [re.findall(r"\d+", t) for t in got]
+    year, month, day = numbers[0][:3]
+    assert got[0].endswith("T10:00:00Z.") and numbers[1] == [year, month, day] and (year, month, day) != ("2024", "01", "05")
+    assert numbers[3] == [day, month, year] and numbers[2] == numbers[4] == [str(int(day)), str(int(month)), year]
+    assert re.fullmatch(r"[1-9]\d?/[1-9]\d?/\d{4}", got[5]) and got[5] != texts[5]
+    assert len({re.sub(r"\D", "", t) for t in got[6:9]}) == 1 and got[6].startswith("+44") and got[7].startswith("+44 2") and got[6] != texts[6]
+    assert got[9].startswith("+358 ") and shape(got[10]) == shape(texts[10]) and got[10].lower() == got[11].lower() and got[10] != got[11]
+    clash = spark.createDataFrame([("x", "1987-02-28")], "__found string, text string").withColumn("__fresh", F.lit(1))
+    row = pseudonymised(clash, "key").first()
+    assert row["__found"] == "x" and row["__fresh"] == 1 and row["text"] != "1987-02-28"
+
+
 def test_long_text_ties_and_clashing_columns(spark):
     text = "ñ " * 60_000 + "bosbt.42@mail8.example.com" + " é" * 10
     frame = spark.createDataFrame([(1, text, 1), (1, text, 1), (None, text, 2)], "doc_id int, text string, fresh int")
