@@ -28,11 +28,13 @@ WORDS_AT_ONCE, BYTES_AT_ONCE, PIECES_KEPT = 1 << 15, 1 << 20, 500_000
 TEXT_AT_ONCE, LESS_AT_ONCE = 1 << 22, 1 << 19
 #: Longer words may hold many occurrences of a pair: those take all of them in one step where that is the same.
 SHORT = 64
+#: Words beyond `LONG` bytes are encoded in windows of `WINDOW` bytes, each half in the one before, that are joined where they agree.
+LONG, WINDOW = 256, 192
 #: Steps of one recursion for long words; the state is then handed to the next one, so that rows of old steps go.
 STEPS_AT_ONCE = 48
 
 _STATE = "(SELECT step, w, pos, tok, lead(tok) OVER (PARTITION BY w ORDER BY pos) AS nxt FROM t)"
-_PAIRED = f"""(SELECT l.step, l.w, l.pos, l.tok, m.safe, (m.rank::BIGINT << 24) + l.pos AS k
+_PAIRED = f"""(SELECT l.step, l.w, l.pos, l.tok, m.safe, (m.rank::BIGINT << 34) + l.pos AS k
     FROM {_STATE} l LEFT JOIN merges m ON m.pair = (l.tok::BIGINT << 20) + l.nxt)"""
 _FINAL = """SELECT w, pos, tok FROM (SELECT *, max(step) OVER (PARTITION BY w) AS last FROM t) WHERE step = last"""
 #: The leftmost pair of least rank of each word is contracted; the row after it goes. Rows stay in the order of words and positions
@@ -42,11 +44,11 @@ WITH RECURSIVE t(step, w, pos, tok) AS (
   SELECT 0, w, pos, tok FROM start_rows
   UNION ALL (
     WITH paired AS MATERIALIZED (
-      SELECT l.step, l.w, l.pos, l.tok, (m.rank::BIGINT << 24) + l.pos AS k, lag(k) OVER () AS before
+      SELECT l.step, l.w, l.pos, l.tok, (m.rank::BIGINT << 34) + l.pos AS k, lag(k) OVER () AS before
       FROM (SELECT step, w, pos, tok, CASE WHEN lead(w) OVER () = w THEN lead(tok) OVER () END AS nxt FROM t) l
       LEFT JOIN merges m ON m.pair = (l.tok::BIGINT << 20) + l.nxt
     ), least AS (SELECT w, min(k) AS best FROM paired GROUP BY w HAVING min(k) IS NOT NULL)
-    SELECT step + 1, paired.w, pos, CASE WHEN k = best THEN (best >> 24)::INTEGER ELSE tok END
+    SELECT step + 1, paired.w, pos, CASE WHEN k = best THEN (best >> 34)::INTEGER ELSE tok END
     FROM paired JOIN least ON paired.w = least.w
     WHERE before IS DISTINCT FROM best
   )
@@ -57,7 +59,7 @@ LONG_SQL = f"""
 WITH RECURSIVE t(step, w, pos, tok) AS (
   SELECT 0, w, pos, tok FROM start_rows
   UNION ALL
-  SELECT step + 1, w, pos, CASE WHEN hit THEN (best >> 24)::INTEGER ELSE tok END
+  SELECT step + 1, w, pos, CASE WHEN hit THEN (best >> 34)::INTEGER ELSE tok END
   FROM (
     SELECT *, lag(hit) OVER (PARTITION BY w ORDER BY pos) AS after
     FROM (
@@ -65,7 +67,7 @@ WITH RECURSIVE t(step, w, pos, tok) AS (
       FROM (
         SELECT *, n - count(*) FILTER (same) OVER (PARTITION BY w ORDER BY pos) + CASE WHEN same THEN 0 ELSE -1000000000 END AS island
         FROM (
-          SELECT *, coalesce((k >> 24) = (best >> 24), false) AS same, row_number() OVER (PARTITION BY w ORDER BY pos) AS n
+          SELECT *, coalesce((k >> 34) = (best >> 34), false) AS same, row_number() OVER (PARTITION BY w ORDER BY pos) AS n
           FROM (SELECT *, min(k) OVER (PARTITION BY w) AS best FROM {_PAIRED})
           WHERE best IS NOT NULL AND step < {STEPS_AT_ONCE}
         )
@@ -143,8 +145,11 @@ class BytePairs:
     def encode_words(self, words: list[bytes]) -> list[tuple[bytes, bytes]]:
         """(ids as decimal numbers with a comma after each, the bytes that they decode to) of each word; no word is empty."""
         out: list = [None] * len(words)
+        beyond = [i for i, w in enumerate(words) if len(w) > LONG]
+        for i, x in zip(beyond, self._joined([words[i] for i in beyond]) if beyond else (), strict=True):
+            out[i] = x
         for long in (False, True):
-            own = [i for i, w in enumerate(words) if (len(w) > SHORT) == long]
+            own = [i for i, w in enumerate(words) if out[i] is None and (len(w) > SHORT) == long]
             while own:
                 size, n = 0, 0
                 while n < len(own) and n < self.words_at_once and (not n or size + len(words[own[n]]) <= BYTES_AT_ONCE):
@@ -158,6 +163,67 @@ class BytePairs:
                 own = own[n:]
         return out
 
+    def _joined(self, words: list[bytes]) -> list[tuple[bytes, bytes]]:
+        """`encode_words` for long words, in time that grows with their length.
+
+        A sequence of tokens is what its bytes are encoded to if that holds for each two neighbours: merges that happen elsewhere don't
+        reach over a border that neither neighbour's merges want to cross. So the encodings of overlapping windows are joined at a border that
+        both have, if the tokens on its sides are encoded to themselves. A word without such borders is encoded as a whole.
+        """
+        step = WINDOW // 2
+        windows = [[w[k : k + WINDOW] for k in range(0, max(1, len(w) - step), step)] for w in words]
+        distinct = list({x for part in windows for x in part})
+        ids = {x: np.fromstring(held.decode(), np.int64, sep=",") for x, (held, _) in zip(distinct, self.encode_words(distinct), strict=True)}
+        ends = {x: np.cumsum(self.sizes[i]) for x, i in ids.items()}
+        tries, borders = {}, []
+        for part in windows:
+            mine = []
+            for one, other in zip(part, part[1:], strict=False):
+                # Borders as bytes of the second window, those in the middle of what both see first.
+                both = np.intersect1d(ends[one] - step, ends[other])
+                both = both[both > 0]
+                options = []
+                for p in both[np.argsort(np.abs(both - step // 2), kind="stable")][:8].tolist():
+                    a, b = int(np.searchsorted(ends[one], p + step)), int(np.searchsorted(ends[other], p)) + 1
+                    if b < len(ids[other]):
+                        pair = (int(ids[one][a]), int(ids[other][b]))
+                        tries[pair] = None
+                        options.append((pair, a, b))
+                mine.append(options)
+            borders.append(mine)
+        texts = [self.tokens[a] + self.tokens[b] for a, b in tries]
+        distinct = list(set(texts))
+        known = dict(zip(distinct, self.encode_words(distinct), strict=True))
+        sound = {(a, b): known[self.tokens[a] + self.tokens[b]][0] == b"%d,%d," % (a, b) for a, b in tries}
+        out = []
+        for word, part, mine in zip(words, windows, borders, strict=True):
+            begin, pieces = 0, []
+            for x, options in zip(part, mine, strict=False):
+                chosen = next(((a, b) for pair, a, b in options if sound[pair]), None)
+                if chosen is None:
+                    break
+                pieces.append(ids[x][begin : chosen[0] + 1])
+                begin = chosen[1]
+            else:
+                every = np.concatenate([*pieces, ids[part[-1]][begin:]]).tolist()
+                back = b"".join(map(self.tokens.__getitem__, every))
+                if back == word:
+                    out.append((b"".join(b"%d," % i for i in every), back))
+                    continue
+            out.extend(self._encoded([word], True))
+        return out
+
+    @functools.cached_property
+    def tokens(self) -> dict[int, bytes]:
+        return {r: t for t, r in self.ranks.items()}
+
+    @functools.cached_property
+    def sizes(self) -> np.ndarray:
+        out = np.zeros(max(self.tokens) + 1, np.int64)
+        for r, t in self.tokens.items():
+            out[r] = len(t)
+        return out
+
     def _word(self, m: str) -> tuple | None:
         """What is kept of a word, by itself or as a piece that is nothing else."""
         spaced = m[:1] == " "
@@ -204,6 +270,7 @@ _BLANKS = [c for c in map(chr, range(0x3001)) if c.isspace() and c != " "]
 def release() -> None:
     """Gives back the database and all pieces."""
     pairs_of.cache_clear()
+    gc.enable()
     gc.collect()
 
 
@@ -259,4 +326,4 @@ def with_ids(docs: DataFrame, path: str, pattern: str, digests: bool = False, ke
         return [pa.array(count, pa.int64()), pa.array(ids, pa.list_(pa.int32())), pa.array(decoded, pa.binary())]
 
     more = "n_tokens long, ids_sha256 string, decoded_sha256 string" if digests else "n_tokens long, ids array<int>, decoded binary"
-    return with_columns(docs, more, work, rows=1024, done=None if kept >= PIECES_KEPT else release)
+    return with_columns(docs, more, work, rows=1024, done=gc.enable if kept >= PIECES_KEPT else release)

@@ -29,6 +29,17 @@ def test_words_as_the_library(library):
         assert ids.decode() == "".join(f"{i}," for i in library._encode_single_piece(w))
 
 
+def test_long_words_as_the_library(library):
+    rng = random.Random(16)
+    draw = lambda letters, n: "".join(rng.choices(letters, k=n))
+    words = [base64.b64encode(rng.randbytes(75_000)).decode(), "a" * 5000, "日本語ñé" * 700, draw("abc", 3000), "the" * 1500, rng.randbytes(2000).hex(), "-" * 4000]
+    words += [draw("aeioustrn", n) for n in (257, 288, 289, 385, 4001)]
+    pairs = pairs_of(PATH, public_tokenizers.PATTERN)
+    for w, (ids, decoded) in zip(words, pairs.encode_words([w.encode() for w in words]), strict=True):
+        assert decoded == w.encode()
+        assert ids.decode() == "".join(f"{i}," for i in library._encode_single_piece(w))
+
+
 def test_pieces_keep_matches_whole(library):
     for text in ("", " ", "a b", "a  b", "a   b ", " \n a\n b \nc", "x  y   z", "it's 12 a1\r\n\r\n  !! don't", "\x1c a \x1c\x1c b"):
         pieces = pieces_of(text)
