@@ -13,7 +13,6 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.window import Window
 
 from runtide.llm.byte_bpe import odd_spaces, pieces_of
 from runtide.llm.shared import fresh_path, slices, text_buffers
@@ -36,7 +35,8 @@ class PieceTokenizer:
         from tokenizers import Tokenizer
 
         self.inner = Tokenizer.from_file(path)
-        self.inner.encode_special_tokens = True
+        #: Texts that the library takes out of a text before it is cut, such as an end marker.
+        self.added = [token.content for token in self.inner.get_added_tokens_decoder().values()]
         self.young, self.old = ({}, {}), ({}, {})
 
     def _encode(self, texts: list[str]) -> list[np.ndarray]:
@@ -67,27 +67,38 @@ class PieceTokenizer:
     def _known(self, pieces: list[str], spaced: bool) -> list[bytes]:
         """Ids of distinct pieces, as bytes."""
         known, older = self.young[spaced], self.old[spaced]
-        fresh = [p for p in pieces if p not in known]
-        known.update((p, older[p]) for p in fresh if p in older)
-        fresh = [p for p in fresh if p not in known]
+        found = list(map(known.get, pieces))
+        if None not in found:
+            return found
+        at = [k for k, held in enumerate(found) if held is None]
+        fresh = [pieces[k] for k in at]
+        if older:
+            known.update((p, held) for p, held in zip(fresh, map(older.get, fresh), strict=True) if held is not None)
+            fresh = [p for p in fresh if p not in known]
         # A comma or full stop after a letter is a token of its own, so the word before it is looked up by itself.
         tails = [p for p in fresh if p[-1:] in (",", ".") and p[-2:-1].isalpha()] if spaced else []
         stems = {p[:-1] for p in tails}.difference(known)
         self._learn(list(stems.union(fresh).difference(tails)), spaced, known)
         known.update((p, known[p[:-1]] + self.marks[p[-1]]) for p in tails)
-        return [known[p] for p in pieces]
+        for k in at:
+            found[k] = known[pieces[k]]
+        return found
 
     @functools.cached_property
     def marks(self) -> dict[str, bytes]:
         return {c: self._encode([c])[0].tobytes() for c in (",", ".")}
 
     def encode(self, texts: list[str]) -> list[np.ndarray]:
-        """Ids of each text. Texts without odd spaces are cut and made distinct by Arrow."""
+        """Ids of each text. Texts without odd spaces are cut and made distinct by Arrow; one that holds an added token goes whole to the library."""
         if len(self.young[0]) + len(self.young[1]) > PIECES_KEPT:
             self.young, self.old = ({}, {}), self.young
         out: list = [None] * len(texts)
-        plain = [k for k, t in enumerate(texts) if not odd_spaces(t)]
-        for k in set(range(len(texts))).difference(plain):
+        whole = [k for k, t in enumerate(texts) if any(a in t for a in self.added)]
+        for k in whole:
+            (out[k],) = self._encode([texts[k]])
+        rest = set(range(len(texts))).difference(whole)
+        plain = [k for k in sorted(rest) if not odd_spaces(texts[k])]
+        for k in rest.difference(plain):
             first, *later = pieces_of(texts[k])
             found = dict(zip(distinct := list(set(later)), self._known(distinct, True), strict=True))
             out[k] = np.frombuffer(b"".join([*self._known([first], False), *map(found.__getitem__, later)]), np.uint32)
@@ -97,12 +108,16 @@ class PieceTokenizer:
         lists = pc.split_pattern(pa.array([h[2] if h[1] else None for h in halves], pa.large_string()), " ")
         coded = lists.flatten().dictionary_encode()
         raw = self._known(coded.dictionary.to_pylist(), True)
-        sizes = np.array([len(r) // 4 for r in raw], np.int64)
-        every, begin = np.frombuffer(b"".join(raw), np.uint32), np.cumsum(sizes) - sizes
+        # A call sees far fewer than 2^31 ids, so places are short integers.
+        sizes = np.fromiter(map(len, raw), np.int32, len(raw)) >> 2
+        every, begin = np.frombuffer(b"".join(raw), np.uint32), np.cumsum(sizes, dtype=np.int32) - sizes
         index = coded.indices.to_numpy()
         count = sizes[index]
-        ends = np.concatenate(([0], np.cumsum(count)))
-        ids = every[np.repeat(begin[index] - ends[:-1], count) + np.arange(ends[-1])] if len(index) else every
+        ends = np.zeros(len(index) + 1, np.int32)
+        np.cumsum(count, out=ends[1:])
+        place = np.repeat(begin[index] - ends[:-1], count)
+        place += np.arange(len(place), dtype=np.int32)
+        ids = every[place] if len(index) else every
         bounds = ends[lists.offsets.to_numpy()]
         for n, k in enumerate(plain):
             out[k] = np.concatenate((np.frombuffer(found[firsts[n]], np.uint32), ids[bounds[n] : bounds[n + 1]]))
@@ -241,7 +256,7 @@ class Shard:
 def write_shards(docs: DataFrame, path: str, tokenizer: str, end_id: int = 0, partitions: int | None = None) -> None:
     """Encodes every whole `text` (null: empty), appends `end_id`, and writes shards in ascending doc_id order to Parquet files.
 
-    Rows: part and shard (their order is that of the ids), doc_ids, n_ids, and the packed shard. Rows without doc_id come first, rows of one
+    Rows: part and shard (their order is that of the ids), doc_ids, before (ids of the part before the shard), n_ids, and the packed shard. Rows without doc_id come first, rows of one
     id go by text; repeated rows are written each. Other columns are not looked at.
     """
     spark = docs.sparkSession
@@ -252,15 +267,15 @@ def write_shards(docs: DataFrame, path: str, tokenizer: str, end_id: int = 0, pa
         encoder, shard = tokenizer_of(tokenizer), 0
         ids: list[np.ndarray] = []
         names: list = []
-        size, part = 0, None
+        size, part, before = 0, None, 0
 
         def flush():
-            nonlocal ids, names, size, shard
+            nonlocal ids, names, size, shard, before
             ends = np.cumsum([len(i) for i in ids])
-            row = [[part], [shard], [names], [int(ends[-1])], [pack(np.concatenate(ids), ends)]]
-            kinds = (pa.int32(), pa.int32(), pa.list_(pa.int64()), pa.int64(), pa.binary())
-            ids, names, size, shard = [], [], 0, shard + 1
-            return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(row, kinds, strict=True)], ["part", "shard", "doc_ids", "n_ids", "held"])
+            row = [[part], [shard], [names], [before], [int(ends[-1])], [pack(np.concatenate(ids), ends)]]
+            kinds = (pa.int32(), pa.int32(), pa.list_(pa.int64()), pa.int64(), pa.int64(), pa.binary())
+            ids, names, size, shard, before = [], [], 0, shard + 1, before + int(ends[-1])
+            return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(row, kinds, strict=True)], ["part", "shard", "doc_ids", "before", "n_ids", "held"])
 
         end = np.array([end_id], np.uint32)
         for batch in batches:
@@ -277,18 +292,19 @@ def write_shards(docs: DataFrame, path: str, tokenizer: str, end_id: int = 0, pa
                     size += len(one) + 1
         if ids:
             yield flush()
+        gc.enable()
 
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     laid = rows.repartitionByRange(n, "doc_id", F.xxhash64("text")).sortWithinPartitions("doc_id", F.xxhash64("text"))
     laid = laid.withColumn("part", F.spark_partition_id())
-    laid.mapInArrow(work, "part int, shard int, doc_ids array<long>, n_ids long, held binary").write.parquet(path)
+    laid.mapInArrow(work, "part int, shard int, doc_ids array<long>, before long, n_ids long, held binary").write.parquet(path)
 
 
 def read_shards(shards: DataFrame) -> DataFrame:
     """doc_id, start, n_tokens, ids (binary, little-endian unsigned 32-bit) of every document of written shards.
 
-    `start` counts the ids of all documents before it: one total for each partition goes through the driver, the rest is
-    a running sum within a partition.
+    `start` counts the ids of all documents before it. A shard tells how many ids of its part come before it; one total for each part, of which
+    there are as many as partitions wrote, goes through the driver and back to the shards, which stay where they are.
     """
     totals = shards.groupBy("part").agg(F.sum("n_ids").alias("n")).orderBy("part").collect()
     ahead, begins = 0, []
@@ -296,9 +312,6 @@ def read_shards(shards: DataFrame) -> DataFrame:
         begins.append((r["part"], ahead))
         ahead += r["n"]
     begin = shards.sparkSession.createDataFrame(begins, "part int, ahead long")
-    before = Window.partitionBy("part").orderBy("shard").rowsBetween(Window.unboundedPreceding, -1)
-    sums = shards.select("part", "shard", "n_ids").withColumn("own", F.coalesce(F.sum("n_ids").over(before), F.lit(0)))
-    place = sums.join(begin, "part").select("part", "shard", (F.col("ahead") + F.col("own")).alias("at"))
 
     def work(batches):
         for batch in batches:
@@ -312,7 +325,7 @@ def read_shards(shards: DataFrame) -> DataFrame:
                     ["doc_id", "start", "n_tokens", "ids_crc32", "ids"],
                 )
 
-    found = shards.join(place, ["part", "shard"]).select("doc_ids", "held", "at")
+    found = shards.join(F.broadcast(begin), "part").select("doc_ids", "held", (F.col("ahead") + F.col("before")).alias("at"))
     return found.mapInArrow(work, "doc_id long, start long, n_tokens long, ids_crc32 long, ids binary")
 
 

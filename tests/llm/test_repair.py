@@ -25,8 +25,7 @@ def test_grammar_round_trip_and_random_access():
     assert len(compress(np.zeros(1 << 15, np.uint32))[2]) < 64
 
 
-INNER = Tokenizer.from_file(PATH)
-INNER.encode_special_tokens = True
+INNER = Tokenizer.from_file(PATH)  # as it is
 
 
 def library(texts):
@@ -34,7 +33,7 @@ def library(texts):
 
 
 def test_pieces_as_the_library():
-    texts = ["", " ", "a b", "a  b\n\n c ", " lead", "it's  é ñ日本 x", "x" * 5000, "don't <|endoftext|> stop", "12 345  6 !! ??", "a b   c"]
+    texts = ["", " ", "a b", "a  b\n\n c ", " lead", "it's  é ñ日本 x", "x" * 5000, "don't <|endoftext|> stop", "x <|endoftext|> y", "a<|endoftext|><|endoftext|>b  c", "<|endoftext|", "12 345  6 !! ??", "a b   c"]
     texts += [" ".join(f"w{i}é" for i in range(3000))]
     got = tokenizer_of(PATH).encode(texts)
     assert [g.tolist() for g in got] == library(texts)
@@ -42,7 +41,7 @@ def test_pieces_as_the_library():
 
 def test_files_hold_all_documents_in_order(spark, folder):
     docs = read_table(spark, SF, "documents").select("doc_id", "text").limit(300)
-    odd = spark.createDataFrame([(-1, None), (-1, ""), (10**9, "tie"), (10**9, "tie"), (None, "no id")], "doc_id long, text string")
+    odd = spark.createDataFrame([(-1, None), (-1, ""), (10**9, "tie"), (10**9, "tie"), (10**9 + 1, "end <|endoftext|> of text"), (None, "no id")], "doc_id long, text string")
     every = docs.union(odd).repartition(5).selectExpr("*", "1 as part", "2 as start")
     write_shards(every, f"{folder}/x", PATH, partitions=4)
     rows = sorted((r["start"], r["doc_id"], r["n_tokens"], r["ids_crc32"], bytes(r["ids"])) for r in read_shards(spark.read.parquet(f"{folder}/x")).collect())
