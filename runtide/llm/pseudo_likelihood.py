@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import uuid
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -12,7 +14,7 @@ from runtide.llm.shared import settle, slices, text_buffers, with_columns, words
 #: Frequent words with an id of their own, and hash classes for all others; an id is a group (id // 32) and a member (id % 32).
 FREQUENT, OTHERS, GROUP = 768, 256, 32
 SYMBOLS, PAD = FREQUENT + OTHERS, FREQUENT + OTHERS
-WINDOW, DIM, HIDDEN, BATCH = 2, 16, 32, 4096
+WINDOW, DIM, HIDDEN, BATCH, SCORED = 2, 16, 32, 4096, 16384
 SHAPES = {
     "E": (SYMBOLS + 1, DIM), "W": (2 * WINDOW * DIM, HIDDEN), "b": (HIDDEN,), "A": (HIDDEN, SYMBOLS // GROUP), "a": (SYMBOLS // GROUP,),
     "B": (SYMBOLS // GROUP, HIDDEN, GROUP), "c": (SYMBOLS // GROUP, GROUP),
@@ -93,48 +95,59 @@ def _log_softmax(s: np.ndarray) -> np.ndarray:
     return s - np.log(np.exp(s).sum(1, keepdims=True))
 
 
-def _by_group(group: np.ndarray):
-    order = np.argsort(group, kind="stable")
-    ends = np.cumsum(np.bincount(group, minlength=SYMBOLS // GROUP))
-    for g, (a, b) in enumerate(zip(np.concatenate(([0], ends[:-1])), ends, strict=True)):
-        if b > a:
-            yield g, order[a:b]
+def _by_group(own: np.ndarray) -> tuple[np.ndarray, list[tuple[int, int, int]]]:
+    """An order that puts the words of one group together, and (group, first, end) of the groups that occur in it."""
+    group = own // GROUP
+    ends = np.cumsum(np.bincount(group, minlength=SYMBOLS // GROUP)).tolist()
+    # Numpy sorts short integers by radix.
+    order = np.argsort(group.astype(np.uint16), kind="stable")
+    return order, [(g, a, b) for g, (a, b) in enumerate(zip([0, *ends[:-1]], ends, strict=True)) if b > a]
 
 
 def log_probabilities(w: Weights, padded: np.ndarray, place: np.ndarray) -> np.ndarray:
     """log P(word | the words on both sides) at each place, in batches."""
     out = np.zeros(len(place))
-    for at in range(0, len(place), BATCH):
-        here = place[at : at + BATCH]
+    for at in range(0, len(place), SCORED):
+        here = place[at : at + SCORED]
+        order, groups = _by_group(padded[here])
+        here = here[order]
         own = padded[here]
         x = w["E"][padded[here[:, None] + _AROUND]].reshape(len(here), -1)
         h = np.tanh(x @ w["W"] + w["b"])
         rows = np.arange(len(here))
         total = _log_softmax(h @ w["A"] + w["a"])[rows, own // GROUP].astype(np.float64)
-        for g, at_ in _by_group(own // GROUP):
-            total[at_] += _log_softmax(h[at_] @ w["B"][g] + w["c"][g])[np.arange(len(at_)), own[at_] % GROUP]
-        out[at : at + BATCH] = total
+        for g, a, b in groups:
+            total[a:b] += _log_softmax(h[a:b] @ w["B"][g] + w["c"][g])[rows[: b - a], own[a:b] % GROUP]
+        out[at + order] = total
     return out
 
 
 def learn_batch(w: Weights, seen: Weights, padded: np.ndarray, here: np.ndarray, rate: float) -> None:
     """One Adagrad step on the words at `here`."""
+    order, groups = _by_group(padded[here])
+    here = here[order]
     own, around = padded[here], padded[here[:, None] + _AROUND]
     x = w["E"][around].reshape(len(here), -1)
     h = np.tanh(x @ w["W"] + w["b"])
+    rows = np.arange(len(here))
     d1 = np.exp(_log_softmax(h @ w["A"] + w["a"]))
-    d1[np.arange(len(here)), own // GROUP] -= 1
+    d1[rows, own // GROUP] -= 1
     d1 /= len(here)
     dh, dB, dc = d1 @ w["A"].T, np.zeros_like(w["B"]), np.zeros_like(w["c"])
-    for g, at in _by_group(own // GROUP):
-        d2 = np.exp(_log_softmax(h[at] @ w["B"][g] + w["c"][g]))
-        d2[np.arange(len(at)), own[at] % GROUP] -= 1
+    for g, a, b in groups:
+        d2 = np.exp(_log_softmax(h[a:b] @ w["B"][g] + w["c"][g]))
+        d2[rows[: b - a], own[a:b] % GROUP] -= 1
         d2 /= len(here)
-        dB[g], dc[g] = h[at].T @ d2, d2.sum(0)
-        dh[at] += d2 @ w["B"][g].T
+        dB[g], dc[g] = h[a:b].T @ d2, d2.sum(0)
+        dh[a:b] += d2 @ w["B"][g].T
     dp = dh * (1 - h * h)
-    cells = around.ravel()[:, None] * DIM + np.arange(DIM)
-    dE = np.bincount(cells.ravel(), (dp @ w["W"].T).ravel(), w["E"].size).reshape(w["E"].shape).astype(np.float32)
+    # Rows of one neighbour are summed next to each other.
+    near = around.ravel()
+    by_word = np.argsort(near.astype(np.uint16), kind="stable")
+    near = near[by_word]
+    first = np.flatnonzero(np.concatenate(([True], near[1:] != near[:-1])))
+    dE = np.zeros_like(w["E"])
+    dE[near[first]] = np.add.reduceat((dp @ w["W"].T).reshape(-1, DIM)[by_word], first, axis=0)
     found = {"E": dE, "W": x.T @ dp, "b": dp.sum(0), "A": h.T @ d1, "a": d1.sum(0), "B": dB, "c": dc}
     for k, g in found.items():
         seen[k] += g * g
@@ -218,28 +231,32 @@ def within_classes(docs: DataFrame, known: np.ndarray, counts: DataFrame) -> Dat
                 order = np.lexsort((h, text))
                 h, text = h[order], text[order]
                 first = np.flatnonzero(np.concatenate(([True], (h[1:] != h[:-1]) | (text[1:] != text[:-1]))) if len(h) else np.zeros(0, bool))
-                times = np.diff(np.concatenate((first, [len(h)])))
-                # A row without a word stands for each copy of a text.
-                row = np.concatenate((text[first], np.arange(b - a))) + a
-                word = pa.array(np.concatenate((h[first], np.zeros(b - a, np.uint64))).view(np.int64), mask=np.arange(len(row)) >= len(first))
-                n = pa.array(np.concatenate((times, np.ones(b - a, np.int64))).astype(np.int64))
-                yield pa.RecordBatch.from_arrays([batch.column(0).take(pa.array(row)), word, n], ["key", "word", "times"])
-
-    held = docs.select(F.xxhash64("text").alias("key"), "text").mapInArrow(run, "key long, word long, times long")
+                times = np.diff(np.concatenate((first, [len(h)]))).astype(np.int64)
+                key = batch.column(0).take(pa.array(text[first] + a))
+                yield pa.RecordBatch.from_arrays([key, pa.array(h[first].view(np.int64)), pa.array(times)], ["key", "word", "times"])
+
+    keyed = docs.select(F.xxhash64("text").alias("key"), "text")
+    held = keyed.mapInArrow(run, "key long, word long, times long")
     held = held.join(rare, "word", "left").withColumn("class", F.col("word").bitwiseAND(F.lit(OTHERS - 1))).join(F.broadcast(classes), "class", "left")
     ratio = F.log(F.coalesce("n", F.lit(1)) / (F.coalesce("total", F.lit(0)) + 1))
-    copies = F.sum(F.when(F.col("word").isNull(), F.col("times")))
-    return held.groupBy("key").agg((F.coalesce(F.sum(F.when(F.col("word").isNotNull(), F.col("times") * ratio)), F.lit(0.0)) / copies).alias("within"))
+    sums = held.groupBy("key").agg(F.sum(F.col("times") * ratio).alias("sum"))
+    copies = keyed.groupBy("key").agg(F.count("*").alias("copies"))
+    return copies.join(sums, "key", "left").select("key", (F.coalesce("sum", F.lit(0.0)) / F.col("copies")).alias("within"))
 
 
 def score_documents(docs: DataFrame) -> DataFrame:
     """Counts words, learns and scores, all over all documents: `docs` with n_words and log_likelihood.
 
-    A word without an id of its own counts with the probability of its class and its own within the class.
+    A word without an id of its own counts with the probability of its class and its own within the class. A null, empty or wordless
+    text has 0 words and 0.0; equal texts, and so repeated rows, have equal scores; an empty table gives no rows. Other columns stay as they
+    are, whatever their names but these two. Partitions learn side by side and are averaged, so the last digits of a score depend on how the
+    table is cut.
     """
+    tag = uuid.uuid4().hex
+    key, within = f"key_{tag}", f"within_{tag}"
     counts = settle(word_counts(docs), "word-counts")
     known = vocabulary(docs, counts)
-    scored = with_pseudo_likelihood(docs, known, train(docs, known)).withColumn("__key", F.xxhash64("text"))
-    within = within_classes(docs, known, counts).select(F.col("key").alias("__key"), F.col("within").alias("__within"))
-    total = F.round(F.col("log_likelihood") + F.coalesce("__within", F.lit(0.0)), 6)
-    return scored.join(within, "__key", "left").withColumn("log_likelihood", total).drop("__key", "__within")
+    scored = with_pseudo_likelihood(docs, known, train(docs, known)).withColumn(key, F.xxhash64("text"))
+    classes = within_classes(docs, known, counts).select(F.col("key").alias(key), F.col("within").alias(within))
+    total = F.round(F.col("log_likelihood") + F.coalesce(within, F.lit(0.0)), 6)
+    return scored.join(classes, key, "left").withColumn("log_likelihood", total).drop(key, within)
