@@ -152,31 +152,30 @@ def train_quality(docs: DataFrame, labels: DataFrame, sample: int = 4096, longes
     """Learns `quality` from at most `sample` labelled documents, half of each label, that are not held out.
 
     Labels 0 and 1 count; of several labels of a document the least; null ids and labels don't. The sample goes by a hash of
-    doc_id and takes documents of up to `longest_bag` passages (whole ones), so it is bounded by parameters alone:
-    sample x longest_bag x FEATURES floats reach the driver. With no labels of one kind the score is constant:
-    (ones + 1) / (all + 1).
+    doc_id and takes documents of any length. Of one with more than `longest_bag` passages so many teach, spread evenly over the
+    whole text, so the sample is bounded by parameters alone: sample x longest_bag x FEATURES floats reach the driver. With no
+    labels of one kind the score is constant: (ones + 1) / (all + 1). doc_id may have any type that both tables share.
     """
     known = labels.where("doc_id is not null and quality in (0, 1)").where(~held_out())
     known = known.groupBy("doc_id").agg(F.min("quality").alias("y"))
-    short = docs.select("doc_id", "text").where(F.octet_length(F.coalesce("text", F.lit(""))) <= longest_bag * PASSAGE_BYTES)
     # Which labelled documents exist, by ids alone; then the few texts.
-    able = short.select("doc_id").distinct().join(known, "doc_id")
+    able = docs.select("doc_id").distinct().join(known, "doc_id")
     kinds = [able.where(f"y = {k}").orderBy(F.xxhash64("doc_id"), "doc_id").limit(sample // 2) for k in (0, 1)]
     chosen = [(r["doc_id"], r["y"]) for r in kinds[0].union(kinds[1]).collect()]
     if not chosen:
         return QualityModel(1.0)
-    picked = docs.sparkSession.createDataFrame(chosen, "doc_id long, y int")
-    rows = short.join(F.broadcast(picked), "doc_id").groupBy("doc_id").agg(F.min("text").alias("text"), F.min("y").alias("y"))
+    kind = docs.schema["doc_id"].dataType.simpleString()
+    picked = docs.sparkSession.createDataFrame(chosen, f"doc_id {kind}, y int")
+    rows = docs.select("doc_id", "text").join(F.broadcast(picked), "doc_id").groupBy("doc_id").agg(F.min("text").alias("text"), F.min("y").alias("y"))
 
     def bags(batches):
         for batch in batches:
             data, offsets = text_buffers(batch.column(1))
-            held = [
-                x[b : e].tobytes() for _, x, bag in encode_passages(data, offsets) for b, e in zip(bag[:-1], bag[1:], strict=True)
-            ]
+            every = (x[b:e] for _, x, bag in encode_passages(data, offsets) for b, e in zip(bag[:-1], bag[1:], strict=True))
+            held = [x[np.linspace(0, len(x) - 1, min(len(x), longest_bag)).astype(np.int64)].tobytes() for x in every]
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(2), pa.array(held, pa.binary())], ["doc_id", "y", "x"])
 
-    found = sorted(rows.mapInArrow(bags, "doc_id long, y int, x binary").collect())
+    found = sorted(rows.mapInArrow(bags, f"doc_id {kind}, y int, x binary").collect())
     x = [np.frombuffer(r["x"], np.float32).reshape(-1, FEATURES) for r in found]
     return fit(np.concatenate(x), np.cumsum([0, *map(len, x)]), np.array([r["y"] for r in found], np.float32))
 

@@ -54,3 +54,21 @@ def test_odd_tables(spark):
     assert train_quality(docs, odd).constant == 1.0
     assert train_quality(docs.limit(0), odd).constant == 1.0
     assert with_quality(docs.limit(0), model).count() == 0
+
+
+def test_long_documents_teach(spark):
+    """Labelled texts above 32 KB only, under text ids: bad ones are bad in some passages all over."""
+    rng = np.random.default_rng(21)
+    draw = lambda n: " ".join("".join(rng.choice(list("abcdefghij"), 5)) for _ in range(n))
+    rows, labels = [], []
+    for k in range(40):
+        good = k % 2
+        text = " ".join(draw(60) + ("" if good else " |!!| 0000 $$ ## " * 6) for _ in range(100))
+        rows.append((f"d{k}", text)), labels.append((f"d{k}", good, 0))
+    assert min(len(t) for _, t in rows) > 64 * PASSAGE_BYTES
+    docs, known = spark.createDataFrame(rows, "doc_id string, text string"), spark.createDataFrame(labels, "doc_id string, quality int, toxic int")
+    model = train_quality(docs, known, longest_bag=16)
+    assert model.weights is not None
+    fresh = spark.createDataFrame([(1, draw(6000)), (0, " ".join(draw(50) + " |!!| 0000 $$ ## " * 6 for _ in range(100)))], "good int, text string")
+    got = {r["good"]: r["s"] for r in with_quality(fresh, model, "s").collect()}
+    assert got[1] > 0.7 > got[0]
