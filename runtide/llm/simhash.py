@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import uuid
+
 import numpy as np
 import pyarrow as pa
 import xxhash
@@ -134,11 +136,13 @@ def one_of_each_group(docs: DataFrame, words: int = 3, most: int = 2, block: int
 
     Rows without an id give way to others; of equal ids, and so of repeated rows, one stays. Columns are those of `docs`.
     """
-    marked = with_fingerprint(docs, words, "__fp").withColumn("__row", F.monotonically_increasing_id())
-    marked = settle(marked, "marked")  # also fixes the row numbers
-    order = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "__row")
-    prints = settle(marked.groupBy(F.col("__fp").alias("fp")).agg(F.min(order).alias("least")), "prints")
+    # Names of their own, whatever columns there are.
+    tag = uuid.uuid4().hex
+    fp, row = f"fp_{tag}", f"row_{tag}"
+    marked = settle(with_fingerprint(docs, words, fp).withColumn(row, F.monotonically_increasing_id()), "marked")  # also fixes the row numbers
+    order = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", F.col(row).alias("row"))
+    prints = settle(marked.groupBy(F.col(fp).alias("fp")).agg(F.min(order).alias("least")), "prints")
     names = _first_of_each(prints, most, block)
-    found = marked.select(F.col("__fp").alias("fp"), F.col("__row").alias("row")).join(names, "fp")
-    gone = settle(found.where("row <> first.__row").select(F.col("row").alias("__gone")), "gone")
-    return marked.join(gone, F.col("__row") == F.col("__gone"), "left_anti").select(*docs.columns)
+    found = marked.select(F.col(fp).alias("fp"), F.col(row).alias("row")).join(names, "fp")
+    gone = settle(found.where("row <> first.row").select(F.col("row").alias(f"gone_{tag}")), "gone")
+    return marked.join(gone, F.col(row) == F.col(f"gone_{tag}"), "left_anti").select(*docs.columns)

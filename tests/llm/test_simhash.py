@@ -2,7 +2,7 @@ import numpy as np
 import xxhash
 
 from runtide.llm.shared import components
-from runtide.llm.simhash import _fingerprint, fingerprint_links, home_anchors, near_anchors, simhash_groups
+from runtide.llm.simhash import _fingerprint, fingerprint_links, home_anchors, near_anchors, one_of_each_group, simhash_groups
 
 
 def plain_fingerprint(text):
@@ -64,6 +64,13 @@ def test_groups_of_odd_rows(spark):
     assert simhash_groups(spark.createDataFrame([(None, "q")], "doc_id long, text string")).first()["component_id"] is None
 
 
+def test_one_of_each_group_whatever_the_columns(spark):
+    rows = [(5, "a b c d"), (3, "a b c d"), (3, "a b c d"), (None, "a b c d"), (7, "quite another text here")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").selectExpr("*", "1 as __fp", "'r' as __row", "2 as fp", "3 as row", "4 as __gone")
+    kept = one_of_each_group(docs)
+    assert kept.columns == docs.columns and sorted(r["doc_id"] for r in kept.collect()) == [3, 7]
+
+
 def F_lit():
     from pyspark.sql import functions as F
 
