@@ -13,6 +13,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -20,9 +21,13 @@ from runtide.llm.shared import LOWER_BYTE, SPACE_BYTE, components, fresh_path, g
 from runtide.llm.strtree import _groups
 
 #: Buckets in which shingles are counted, to put frequent ones last (a power of two), and how far over the mean a bucket is frequent.
-BUCKET_BITS, FREQUENT = 16, 2
+BUCKET_BITS, FREQUENT = 18, 2
 #: Most sets of a block that one task compares with each other, and children of a node.
 CHUNK, FAN = 2048, 8
+#: Most sets of a block that are named together, and pairs or blocks that a task remembers to have named.
+HELD, SEEN = 1 << 16, 1 << 18
+#: Pairs tried first for each two components of a block, those with the most common bits.
+TRIED = 3
 #: 64-bit words of signatures that are compared at once.
 _STEP = 1 << 20
 #: Rows that are broadcast at most, of 8 bytes each.
@@ -50,27 +55,43 @@ def shingle_sets(data: np.ndarray, offsets: np.ndarray, n: int) -> Iterator[np.n
                 yield h[:0]
 
 
+#: Counts of so many buckets travel in one row.
+_SLICE = 4096
+
+
 def _bucket_counts(docs: DataFrame, n: int) -> np.ndarray:
-    """In how many texts the shingles of each hash bucket occur, over all texts; 2^16 numbers reach the driver."""
+    """In how many texts the shingles of each hash bucket occur, over all texts; 2^18 numbers leave each task and reach the driver."""
+
+    def rows(total):
+        parts = total.reshape(-1, min(_SLICE, len(total)))
+        return pa.RecordBatch.from_arrays([pa.array(np.arange(len(parts), dtype=np.int32)), pa.array([x.tobytes() for x in parts], pa.binary())], ["slice", "counts"])
 
     def count(batches):
         total = np.zeros(1 << BUCKET_BITS, np.int64)
         for batch in batches:
             for found in shingle_sets(*text_buffers(batch.column(0)), n):
                 np.add.at(total, (found >> np.uint64(64 - BUCKET_BITS)).astype(np.int64), 1)
-        used = np.flatnonzero(total)
-        yield pa.RecordBatch.from_arrays([pa.array(used, pa.int32()), pa.array(total[used])], ["bucket", "n"])
+        yield rows(total)
         give_back()
 
-    rows = docs.select("text").mapInArrow(count, "bucket int, n long").groupBy("bucket").agg(F.sum("n").alias("n")).toArrow()
-    out = np.zeros(1 << BUCKET_BITS, np.int64)
-    out[rows["bucket"].to_numpy()] = rows["n"].to_numpy()
-    return out
+    def add(batches):
+        total: dict[int, np.ndarray] = {}
+        for batch in batches:
+            for k, held in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
+                total[k] = total.get(k, 0) + np.frombuffer(held, np.int64)
+        kinds = [pa.array(list(total), pa.int32()), pa.array([x.tobytes() for x in total.values()], pa.binary())]
+        yield pa.RecordBatch.from_arrays(kinds, ["slice", "counts"])
+
+    layout = "slice int, counts binary"
+    found = docs.select("text").mapInArrow(count, layout).repartition("slice").mapInArrow(add, layout).collect()
+    if not found:
+        return np.zeros(1 << BUCKET_BITS, np.int64)
+    return np.concatenate([np.frombuffer(r["counts"], np.int64) for r in sorted(found)])
 
 
 def _words_of_bitmap(n: int) -> int:
-    """64-bit words of the bitmap of n hashes: a power of two, at least two bits a hash."""
-    return 1 << max(0, (2 * n - 1) // 64).bit_length()
+    """64-bit words of the bitmap of n hashes: a power of two, at least four bits a hash."""
+    return 1 << max(0, (4 * n - 1) // 64).bit_length()
 
 
 def _bitmap(found: np.ndarray) -> np.ndarray:
@@ -86,13 +107,15 @@ def _described(docs: DataFrame, n: int, least: int) -> tuple[DataFrame, int]:
     the Jaccard similarity with it is least/100 or more: all but the ceil(least n / 100) - 1 last ones.
     """
     counts = _bucket_counts(docs, n)
-    place = np.empty(len(counts), np.uint64)
-    place[np.argsort(counts, kind="stable")] = np.arange(len(counts), dtype=np.uint64)
+    order_of = np.empty(len(counts), np.uint32)
+    order_of[np.argsort(counts, kind="stable")] = np.arange(len(counts), dtype=np.uint32)
+    shared = docs.sparkSession.sparkContext.broadcast(order_of)
     shift = np.uint64(64 - BUCKET_BITS)
     # Hashes of buckets that hold far more than their share are taken for shared ones without counting each.
     frequent = int(np.searchsorted(np.sort(counts), FREQUENT * counts.sum() / len(counts), "right"))
 
     def describe(batches):
+        place = shared.value.astype(np.uint64)
         for batch in (b.slice(k, 2048) for b in batches for k in range(0, len(b), 2048)):
             sizes, digests, maps, rare = [], [], [], []
             for found in shingle_sets(*text_buffers(batch.column(2)), n):
@@ -149,22 +172,25 @@ def _tree(maps: np.ndarray, n: np.ndarray, part: np.ndarray) -> list[_Level]:
     return levels
 
 
-def _may_match(one: _Level, a: np.ndarray, two: _Level, b: np.ndarray, least: int) -> np.ndarray:
-    """Whether pairs of nodes may hold a pair of sets with a Jaccard similarity of least/100 or more that is not connected.
+def _overlaps(one: _Level, a: np.ndarray, two: _Level, b: np.ndarray, least: int) -> np.ndarray:
+    """The most common hashes that a pair of sets below each pair of nodes can have, -1 if it can't be a link between two components.
 
     Common hashes of two sets are at most the common bits plus the fewer hashes beyond one a bit. With o of them, sets of n and m
-    hashes are similar enough if (100 + least) o >= least (n + m).
+    hashes have a Jaccard similarity of least/100 or more if (100 + least) o >= least (n + m).
     """
-    out = ((one.part[a] < 0) | (one.part[a] != two.part[b])) & (100 * one.high[a] >= least * two.low[b]) & (100 * two.high[b] >= least * one.low[a])
-    at = np.flatnonzero(out)
+    out = np.full(len(a), -1, np.int64)
+    apart = (one.part[a] < 0) | (one.part[a] != two.part[b])
+    at = np.flatnonzero(apart & (100 * one.high[a] >= least * two.low[b]) & (100 * two.high[b] >= least * one.low[a]))
     overlap = np.bitwise_count(one.maps[a[at]] & two.maps[b[at]]).sum(axis=1, dtype=np.int64) + np.minimum(one.extra[a[at]], two.extra[b[at]])
     overlap = np.minimum(overlap, np.minimum(one.high[a[at]], two.high[b[at]]))
-    out[at] = (100 + least) * overlap >= least * (one.low[a[at]] + two.low[b[at]])
+    enough = (100 + least) * overlap >= least * (one.low[a[at]] + two.low[b[at]])
+    out[at[enough]] = overlap[enough]
     return out
 
 
-def dual_traversal(one: list[_Level], two: list[_Level], least: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-    """Pairs (index in `one`, index in `two`) of sets that the signatures don't rule out, each once; `two` may be `one` itself."""
+def dual_traversal(one: list[_Level], two: list[_Level], least: int) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+    """(index in `one`, index in `two`, most common hashes) of pairs of sets that the signatures don't rule out, each pair once; `two` may be
+    `one` itself."""
     same, step = one is two, max(1, _STEP // one[0].maps.shape[1])
     a, b = (x.ravel() for x in np.meshgrid(np.arange(len(one[-1].low)), np.arange(len(two[-1].low)), indexing="ij"))
     todo = [(len(one) - 1, len(two) - 1, a[a <= b] if same else a, b[a <= b] if same else b)]
@@ -173,13 +199,15 @@ def dual_traversal(one: list[_Level], two: list[_Level], least: int) -> Iterator
         if len(a) > step:
             todo += [(i, j, a[k : k + step], b[k : k + step]) for k in range(0, len(a), step)]
             continue
-        keep = _may_match(one[i], a, two[j], b, least)
+        overlap = _overlaps(one[i], a, two[j], b, least)
+        keep = overlap >= 0
+        if same and i == 0:
+            keep &= a < b
         a, b = a[keep], b[keep]
         if not len(a):
             continue
         if i == j == 0:
-            keep = a < b if same else np.ones(len(a), bool)
-            yield a[keep], b[keep]
+            yield a, b, overlap[keep]
             continue
         # The higher node opens, both if they are level.
         grow_a, grow_b = i >= j, j >= i
@@ -197,8 +225,9 @@ def dual_traversal(one: list[_Level], two: list[_Level], least: int) -> Iterator
         todo.append((i, j, a, b))
 
 
-def block_pairs(maps: list[bytes], n: np.ndarray, part: np.ndarray, least: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-    """Pairs of indexes of the sets of a block that their signatures don't rule out; sets of one component `part` are not paired.
+def block_pairs(maps: list[bytes], n: np.ndarray, part: np.ndarray, least: int) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+    """Pairs of indexes of the sets of a block that their signatures don't rule out, with the most hashes they can have in common;
+    sets of one component `part` are not paired.
 
     Bitmaps of one size make a tree; against a tree of smaller ones it is made of bitmaps folded to their size.
     """
@@ -209,25 +238,25 @@ def block_pairs(maps: list[bytes], n: np.ndarray, part: np.ndarray, least: int)
         at = at[np.lexsort((part[at], n[at]))]
         held = np.frombuffer(b"".join(maps[k] for k in at.tolist()), np.uint64).reshape(len(at), w)
         trees[w] = at, _tree(held, n[at], part[at])
-        for x, y in dual_traversal(trees[w][1], trees[w][1], least):
-            yield at[x], at[y]
+        for x, y, overlap in dual_traversal(trees[w][1], trees[w][1], least):
+            yield at[x], at[y], overlap
         v = w
         while v > 1:
             v //= 2
             held = held[:, :v] | held[:, v:]
             if v in trees and 100 * int(n[trees[v][0]].max()) >= least * int(n[at].min()):
-                for x, y in dual_traversal(_tree(held, n[at], part[at]), trees[v][1], least):
-                    yield at[x], trees[v][0][y]
+                for x, y, overlap in dual_traversal(_tree(held, n[at], part[at]), trees[v][1], least):
+                    yield at[x], trees[v][0][y], overlap
 
 
-def _spanning(pairs: Iterator[tuple[np.ndarray, np.ndarray]], part: np.ndarray) -> Iterator[tuple[int, int]]:
-    """Pairs that connect what earlier ones left apart."""
+def _spanning(pairs: Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]], part: np.ndarray) -> Iterator[tuple[int, int]]:
+    """Pairs that connect what earlier ones left apart, of those found together the likeliest first."""
     label = np.unique(part, return_inverse=True)[1]
-    for a, b in pairs:
-        while True:
+    for a, b, overlap in pairs:
+        order = np.argsort(-overlap, kind="stable")
+        a, b = a[order], b[order]
+        while len(a):
             apart = np.flatnonzero(label[a] != label[b])
-            if not len(apart):
-                break
             a, b = a[apart], b[apart]
             for x, y in zip(a[:64].tolist(), b[:64].tolist(), strict=True):
                 if label[x] != label[y]:
@@ -236,53 +265,154 @@ def _spanning(pairs: Iterator[tuple[np.ndarray, np.ndarray]], part: np.ndarray)
             a, b = a[64:], b[64:]
 
 
-def _candidates(routes: DataFrame, described: DataFrame, least: int, spanning: bool) -> DataFrame:
-    """Distinct pairs (a, b), a < b, of sets that share a block and are not ruled out by their signatures.
+def _likeliest(pairs: Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]], part: np.ndarray, tried: int) -> tuple[list[tuple[int, int]], bool]:
+    """The `tried` likeliest pairs of each two components, and whether there are more."""
+    best: dict[tuple[int, int], list] = {}
+    more = False
+    for x, y, overlap in pairs:
+        low, high = np.minimum(part[x], part[y]), np.maximum(part[x], part[y])
+        order = np.lexsort((-overlap, high, low))
+        place = np.arange(len(order))
+        fresh = np.ones(len(order), bool)
+        fresh[1:] = (np.diff(low[order]) != 0) | (np.diff(high[order]) != 0)
+        kept = order[place - np.maximum.accumulate(np.where(fresh, place, 0)) < tried]
+        more |= len(kept) < len(order)
+        for k in kept.tolist():
+            held = best.setdefault((int(low[k]), int(high[k])), [])
+            held.append((-int(overlap[k]), int(x[k]), int(y[k])))
+            if len(held) > tried:
+                more = True
+                held.remove(max(held))
+    return [(x, y) for held in best.values() for _, x, y in held], more
+
+
+def _groups_of(batches, keys: int) -> Iterator[tuple[tuple, pa.Table]]:
+    """(keys, rows) of one group after another, from rows sorted by their first `keys` columns."""
+    at, held = None, []
+    for key, batch in _groups(batches, keys):
+        if key != at and held:
+            yield at, pa.Table.from_batches(held)
+            held = []
+        at = key
+        held.append(batch)
+    if held:
+        yield at, pa.Table.from_batches(held)
+
+
+def _blocks(shared: DataFrame, least: int) -> DataFrame:
+    """Settled: (block, class, n, home, df), the sets of each block of `shared` (token, class, n).
+
+    The sets of a token are split by size: they meet in the band of the larger one, where the smaller comes from the band below; only
+    pairs with one that is at home there count. Blocks of the same sets, such as those of a passage that some texts share, are one:
+    a block is named by the 128-bit hash of its sets.
+    """
+    # A little wider than the ratio of similar sets, so that rounding puts no two of them further than a band apart.
+    band = F.floor(F.log("n") / F.log(F.lit(100.0001 / least))).cast("int")
+    place = F.explode(F.array(F.struct(band.alias("band"), F.lit(1).alias("home")), F.struct((band + 1).alias("band"), F.lit(0).alias("home"))))
+    banded = shared.select("token", "class", "n", place.alias("p")).select("token", "p.band", "class", "n", "p.home")
+    banded = banded.repartition("token", "band").sortWithinPartitions("token", "band", "class")
+
+    def gather(batches):
+        """Few sets are named together; a band of more than `HELD` goes on as it comes, under the name of its token."""
+        seen: set[bytes] = set()
+        names = ["block", "class", "n", "home"]
+
+        def block(name, rows):
+            return pa.RecordBatch.from_arrays([pa.array([name] * len(rows[0]), pa.binary()), *map(pa.array, rows)], names)
+
+        at, held, size, name = None, [], 0, None
+
+        def close():
+            if name is None and size > 1:
+                rows = [np.concatenate(c) for c in zip(*held, strict=True)]
+                if rows[2].any():
+                    key = hashlib.blake2b(rows[0].tobytes() + rows[2].astype(np.uint8).tobytes(), digest_size=16).digest()
+                    if key not in seen:
+                        if len(seen) > SEEN:
+                            seen.clear()
+                        seen.add(key)
+                        yield block(key, rows)
+
+        for key, batch in _groups(batches, 2):
+            if key != at:
+                yield from close()
+                at, held, size, name = key, [], 0, None
+            rows = [batch.column(k).to_numpy(zero_copy_only=False) for k in (2, 3, 4)]
+            held.append(rows)
+            size += len(rows[0])
+            if size > HELD or name is not None:
+                name = name or hashlib.blake2b(repr(key).encode(), digest_size=16).digest()
+                for one in held:
+                    yield block(name, one)
+                held = []
+        yield from close()
+        give_back()
+
+    found = banded.mapInArrow(gather, "block binary, class long, n long, home int").dropDuplicates(["block", "class", "home"])
+    found = settle(found, "gathered")
+    sizes = settle(found.groupBy("block").agg(F.count("*").alias("df")), "sizes")
+    return settle(_with_hot(found, sizes, "block", found.count()), "blocks")
+
 
-    `routes`: token, class, part. With `spanning`, only as many as connect what the blocks' candidates connect. Blocks of more than
-    `CHUNK` sets are cut into chunks by a hash: chunks meet pairwise in tasks of their own, with `spanning` each only
-    with the next one.
+def _candidates(blocks: DataFrame, parts: DataFrame | None, described: DataFrame, least: int, tried: int | None) -> tuple[DataFrame, DataFrame]:
+    """(pairs, blocks): distinct pairs (a, b), a < b, that share a block and that their signatures don't rule out, and the blocks that
+    may hold more of them.
+
+    Sets of one component of `parts` (class, part) are not paired. Without `parts` the pairs of a block are only as many as connect all its
+    candidates; with `tried` so many for each two components; else all. Blocks of more than `CHUNK` sets are cut into chunks by a
+    hash: chunks meet pairwise in tasks of their own, without `parts` each only the next one.
     """
-    routes = settle(routes, "routes")
-    total = routes.count()
-    sizes = settle(routes.groupBy("token").agg(F.count("*").alias("df")).where("df > 1"), "blocks")
-    sized = _with_hot(routes, sizes, "token", total)
-    sized = sized.withColumn("chunks", F.ceil(F.col("df") / CHUNK).cast("int")).withColumn("c", F.pmod(F.xxhash64("class"), F.col("chunks")).cast("int"))
+    if parts is None:
+        open_ = blocks.withColumn("part", F.col("class"))
+    else:
+        marked = settle(blocks.join(parts, "class", "left").withColumn("part", F.coalesce("part", "class")), "marked")
+        mixed = marked.groupBy("block").agg(F.min("part").alias("low"), F.max("part").alias("high"), F.count("*").alias("df"))
+        mixed = settle(mixed.where("low <> high").select("block", "df"), "mixed")
+        open_ = _with_hot(marked.drop("df"), mixed, "block", marked.count())
+    sized = open_.withColumn("chunks", F.ceil(F.col("df") / CHUNK).cast("int")).withColumn("c", F.pmod(F.xxhash64("class"), F.col("chunks")).cast("int"))
     every = F.sequence(F.lit(0), F.col("chunks") - 1)
-    near = F.array(F.struct(F.col("c").alias("i"), F.col("c").alias("j")), F.struct(F.pmod(F.col("c") - 1, F.col("chunks")).alias("i"), F.col("c").alias("j")))
-    # The task (i, j) has chunks i and j; with `spanning`, the task (i, i) has chunk i and the next one.
-    places = F.array_distinct(F.transform(near, lambda p: F.struct(p["i"].alias("i"), p["i"].alias("j")))) if spanning else F.transform(every, lambda j: F.struct(F.least("c", j).alias("i"), F.greatest("c", j).alias("j")))
-    sent = sized.select("token", F.explode(places).alias("p"), "c", "class", "part").select("token", "p.i", "p.j", "c", "class", "part")
-    sent = sent.join(described.select(F.col("row").alias("class"), "n", "bitmap"), "class")
-    sent = sent.select("token", "i", "j", "c", "class", "part", "n", "bitmap").repartition("token", "i", "j").sortWithinPartitions("token", "i", "j")
+    ring = F.array_distinct(F.transform(F.array(F.col("c"), F.pmod(F.col("c") - 1, F.col("chunks"))), lambda i: F.struct(i.alias("i"), i.alias("j"))))
+    places = ring if parts is None else F.transform(every, lambda j: F.struct(F.least("c", j).alias("i"), F.greatest("c", j).alias("j")))
+    columns = ["chunks", "c", "class", "part", "n", "home"]
+    sent = sized.select("block", F.explode(places).alias("p"), *columns).select(F.xxhash64("block", "p.i", "p.j").alias("task"), "p.i", "p.j", "block", *columns)
+    sent = sent.join(described.select(F.col("row").alias("class"), "bitmap"), "class")
+    sent = sent.select("task", "i", "j", "block", *columns, "bitmap").repartition("task").sortWithinPartitions("task", "block", "i", "j")
 
     def compare(batches):
-        held: list[pa.RecordBatch] = []
-        at = None
-
-        def pairs():
-            column = lambda k: np.concatenate([b.column(k).to_numpy(zero_copy_only=False) for b in held])
-            rows, part, chunk = column(4), column(5), column(3)
-            maps = [m for b in held for m in b.column(7).to_pylist()]
-            found = block_pairs(maps, column(6), part, least)
-            if spanning:
-                found = [(np.array([x]), np.array([y])) for x, y in _spanning(found, part)]
-            for x, y in found:
-                if not spanning and at[1] != at[2]:
-                    x, y = x[chunk[x] != chunk[y]], y[chunk[x] != chunk[y]]
-                x, y = rows[x], rows[y]
-                yield pa.RecordBatch.from_arrays([pa.array(np.minimum(x, y)), pa.array(np.maximum(x, y))], ["a", "b"])
-
-        for key, batch in _groups(batches, 3):
-            if key != at:
-                if held:
-                    yield from pairs()
-                held, at = [], key
-            held.append(batch)
-        if held:
-            yield from pairs()
+        seen = np.zeros((0, 2), np.int64)
+        for _, task in _groups_of(batches, 3):
+            for block in dict.fromkeys(task["block"].to_pylist()):  # one, unless hashes collide
+                rows = task.filter(pc.equal(task["block"], pa.scalar(block, pa.binary())))
+                i, j = rows["i"][0].as_py(), rows["j"][0].as_py()
+                ids, part, chunk, home = (rows[c].to_numpy() for c in ("class", "part", "c", "home"))
+
+                def fitting(rows=rows, i=i, j=j, chunk=chunk, home=home, part=part):
+                    for x, y, overlap in block_pairs(rows["bitmap"].to_pylist(), rows["n"].to_numpy(), part, least):
+                        keep = (home[x] | home[y]) > 0
+                        if i != j:
+                            keep &= chunk[x] != chunk[y]
+                        yield x[keep], y[keep], overlap[keep]
+
+                more = False
+                if parts_none:
+                    found = list(_spanning(fitting(), part))
+                    more = bool(found) or rows["chunks"][0].as_py() > 1
+                elif tried is not None:
+                    found, more = _likeliest(fitting(), part, tried)
+                else:
+                    found = [(a, b) for x, y, _ in fitting() for a, b in zip(x.tolist(), y.tolist(), strict=True)]
+                pairs = np.sort(ids[np.array(found, np.int64).reshape(-1, 2)], axis=1)
+                # A pair is named once by a task, as long as it remembers.
+                fresh = pairs[~np.isin(pairs.view("i8,i8").ravel(), seen.view("i8,i8").ravel())] if len(pairs) and len(seen) else pairs
+                seen = np.concatenate((seen[-SEEN:], fresh))
+                out = pa.array([block] if more else [], pa.binary())
+                a, b = pa.array(fresh[:, 0].copy()), pa.array(fresh[:, 1].copy())
+                yield pa.RecordBatch.from_arrays([pa.concat_arrays([a, pa.nulls(len(out), pa.int64())]), pa.concat_arrays([b, pa.nulls(len(out), pa.int64())]), pa.concat_arrays([pa.nulls(len(a), pa.binary()), out])], ["a", "b", "block"])
+        give_back()
 
-    return settle(sent.mapInArrow(compare, "a long, b long").distinct(), "candidates")
+    parts_none = parts is None
+    found = settle(sent.mapInArrow(compare, "a long, b long, block binary").distinct(), "candidates")
+    return found.where("block is null").select("a", "b"), blocks.join(found.where("block is not null").select("block"), "block", "left_semi")
 
 
 def _verified(pairs: DataFrame, described: DataFrame, n: int, least: int) -> DataFrame:
@@ -314,9 +444,9 @@ def similar_sets(docs: DataFrame, n: int = 5, least: int = 80) -> tuple[DataFram
 
     `sets` has row (a number), doc_id, text, n (hashes), digest and class (the least row with the same set; null without words). Links
     (a, b, common) are classes, a < b, that share `common` of their hashes: a pair has a similarity of least/100 or more, and pairs that
-    are left out lie within what the others connect. Sets meet in blocks of shared rare shingles. A first round has each set
-    in two blocks and verifies what spans the candidates there; the second has all blocks whose sets are
-    not connected by then, blocks of the same sets once, and verifies every candidate that is still apart.
+    are left out lie within what the others connect. Sets meet in blocks of shared rare shingles, which are gone through by
+    signature, in three passes: pairs that would connect all candidates of a block are compared first; then, of blocks that had
+    candidates, the likeliest pairs of each two components; then, of blocks that had more, every pair that is still apart.
     """
     described, frequent_from = _described(docs.select("doc_id", "text"), n, least)
     grouped = described.where("digest is not null").groupBy("digest").agg(F.min("row").alias("class"), F.count("*").alias("df"))
@@ -340,29 +470,17 @@ def similar_sets(docs: DataFrame, n: int = 5, least: int = 80) -> tuple[DataFram
         if again or (len(token) and token[0] >= frequent_from):
             yield pa.RecordBatch.from_arrays([pa.array(token), pa.array(rows)], ["token", "class"])
 
-    routes = settle(dealt.mapInArrow(shared, "token long, class long"), "shared")
-
-    # First round: the rarest and the most frequent block of each set.
-    ends = routes.groupBy("class").agg(F.min("token").alias("low"), F.max("token").alias("high"))
-    few = ends.select("class", F.explode(F.array_distinct(F.array("low", "high"))).alias("token")).withColumn("part", F.col("class"))
-    spanning = _verified(_candidates(few.select("token", "class", "part"), described, least, spanning=True), described, n, least)
-
-    # Second round: blocks that join what is not connected.
-    parts = settle(_parts(spanning), "parts")
-    marked = routes.join(parts, "class", "left").select("token", "class", F.coalesce("part", "class").alias("part"))
-    marked = settle(marked, "marked")
-    stats = marked.groupBy("token").agg(
-        F.count("*").alias("df"), F.min("part").alias("low"), F.max("part").alias("high"),
-        F.bit_xor(F.xxhash64("class")).alias("x"), F.bit_xor(F.xxhash64("class", F.lit(7))).alias("y"),
-    ).where("low <> high")
-    # Blocks of one number of sets and one 128-bit sum of their hashes are the same sets.
-    once = settle(stats.groupBy("df", "x", "y").agg(F.min("token").alias("token")).select("token", "df"), "once")
-    open_ = _with_hot(marked, once, "token", marked.count()).select("token", "class", "part")
-    rest = _verified(_candidates(open_, described, least, spanning=False), described, n, least)
+    again = dealt.mapInArrow(shared, "token long, class long")
+    again = settle(again.join(described.select(F.col("row").alias("class"), "n"), "class").select("token", "class", "n"), "shared")
+    pairs, blocks = _candidates(_blocks(again, least), None, described, least, None)
+    links = _verified(pairs, described, n, least)
+    for tried in (TRIED, None):
+        pairs, blocks = _candidates(blocks, settle(_parts(links), "parts"), described, least, tried)
+        links = links.union(_verified(pairs, described, n, least))
     columns = ("row", "doc_id", "text", "n", "digest", "class")
     sets = _with_hot(described, classes, "digest", described.count()).select(*columns)
     none = described.where("digest is null").withColumn("class", F.lit(None).cast("long")).select(*columns)
-    return sets.union(none), spanning.union(rest)
+    return sets.union(none), links
 
 
 def similar_groups(docs: DataFrame, n: int = 5, least: int = 80) -> DataFrame:

@@ -6,7 +6,7 @@ import pytest
 
 from runtide.llm import signature_trees
 from runtide.llm.queries import ORACLE_SQL, QUERIES
-from runtide.llm.signature_trees import _bitmap, block_pairs, similar_groups, similar_sets
+from runtide.llm.signature_trees import _bitmap, _spanning, block_pairs, similar_groups, similar_sets
 from tests.conftest import SF
 
 NAME = "op13_signature_tree_join"
@@ -61,7 +61,7 @@ def corpus(seed, groups=12, members=9):
 @pytest.mark.parametrize("small", [False, True])
 def test_equals_brute_force(spark, monkeypatch, small):
     if small:  # hot blocks in many chunks, deep trees, all joins in a shuffle
-        for name, value in (("CHUNK", 7), ("FAN", 2), ("_STEP", 64), ("BROADCAST_ROWS", 0)):
+        for name, value in (("CHUNK", 7), ("HELD", 9), ("SEEN", 3), ("TRIED", 1), ("FAN", 2), ("_STEP", 64), ("BROADCAST_ROWS", 0)):
             monkeypatch.setattr(signature_trees, name, value)
     check(spark, corpus(1))
 
@@ -82,7 +82,7 @@ def test_signatures_rule_out_no_similar_pair():
                 sets.append(np.unique(np.concatenate((some, rng.integers(0, 2**63, 1 + len(base) // 20, dtype=np.uint64)))))
         part = np.arange(len(sets))
         part[:8] = 0
-        got = [(int(x), int(y)) for a, b in block_pairs([_bitmap(s).tobytes() for s in sets], np.array([len(s) for s in sets]), part, least) for x, y in zip(a, b, strict=True)]
+        got = [(int(x), int(y)) for a, b, _ in block_pairs([_bitmap(s).tobytes() for s in sets], np.array([len(s) for s in sets]), part, least) for x, y in zip(a, b, strict=True)]
         assert len(set(map(frozenset, got))) == len(got) and all(part[x] != part[y] for x, y in got)
         for i, x in enumerate(sets):
             for j in range(i):
@@ -90,6 +90,12 @@ def test_signatures_rule_out_no_similar_pair():
                 if 100 * common >= least * (len(x) + len(sets[j]) - common) and part[i] != part[j]:
                     assert (i, j) in got or (j, i) in got
         assert len(got) < len(sets) ** 2 / 8  # most pairs are ruled out
+        maps, sizes = [_bitmap(s).tobytes() for s in sets], np.array([len(s) for s in sets])
+        joined = part.copy()
+        for x, y in _spanning(block_pairs(maps, sizes, part, least), part):
+            assert joined[x] != joined[y]
+            joined[joined == joined[y]] = joined[x]
+        assert all(joined[x] == joined[y] for x, y in got)
 
 
 def test_odd_rows(spark):
