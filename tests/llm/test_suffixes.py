@@ -1,7 +1,11 @@
 import hashlib
 import random
 
-from runtide.llm.suffixes import LENGTH, without_repeats
+import numpy as np
+import pytest
+
+from runtide.llm import suffixes
+from runtide.llm.suffixes import LENGTH, suffix_order, without_repeats
 
 
 def plain(rows):
@@ -20,7 +24,24 @@ def plain(rows):
     return out
 
 
-def test_removal_as_spelled_out(spark):
+def test_suffix_order_equals_sorting():
+    rng = np.random.default_rng(3)
+    for n, most in ((0, 3), (1, 3), (2, 3), (3, 1), (50, 2), (400, 2), (400, 256), (900, 4)):
+        t = rng.integers(0, most + 1, n)
+        if n == 900:
+            t[300:600] = t[:300]  # long repeats
+            t[700:] = 1
+        order = suffix_order(t, 100)
+        assert sorted(order.tolist()) == list(range(n))
+        padded = t.tolist() + [0] * 200
+        heads = [tuple(padded[i : i + 100]) for i in order.tolist()]
+        assert heads == sorted(heads)
+
+
+@pytest.mark.parametrize("many", [16, 2])
+def test_removal_as_spelled_out(spark, monkeypatch, many):
+    monkeypatch.setattr(suffixes, "MANY", many)  # with 2, starts of nearly all repeated anchors are dealt one by one
+    monkeypatch.setattr(suffixes, "_BATCH", 1 << 11)
     rng = random.Random(15)
     draw = lambda n: "".join(rng.choices("abcdé fgh日", k=n))
     base, passage, line = draw(900), draw(150), draw(99)
