@@ -6,6 +6,8 @@ repeat, tables may be empty: the operators' docstrings say what that gives.
 
 from __future__ import annotations
 
+import uuid
+
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -19,10 +21,16 @@ from runtide.llm.shared import read_table, settle
 from runtide.llm.simhash import one_of_each_group
 
 
+def own_name(label: str) -> str:
+    """A column name that no table has."""
+    return f"{label}_{uuid.uuid4().hex}"
+
+
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that score 0.7 or more; the model learns from labelled documents among them."""
     model = train_quality(docs, read_table(spark, sf_dir, "labels"))
-    return with_quality(docs, model, "__score").where(F.col("__score") >= 0.7).drop("__score")
+    score = own_name("score")
+    return with_quality(docs, model, score).where(F.col(score) >= 0.7).drop(score)
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -31,20 +39,21 @@ def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents without a test item; rows are told apart by their text, so those without an id are judged too."""
-    key = F.xxhash64(F.coalesce("text", F.lit("")))
-    marked = docs.withColumn("__key", key)
-    leaked = contaminated(marked.select("__key", "text"), read_table(spark, sf_dir, "benchmark"), keys=("__key",))
-    gone = settle(leaked.select(F.col("__key").alias("__gone")).distinct(), "leaked")
-    return marked.join(gone, F.col("__key") == F.col("__gone"), "left_anti").drop("__key")
+    """Documents without a test item; rows are told apart by the SHA-256 of their text, so those without an id are judged too."""
+    key, gone = own_name("key"), own_name("gone")
+    marked = docs.withColumn(key, F.sha2(F.coalesce("text", F.lit("")), 256))
+    leaked = contaminated(marked.select(key, "text"), read_table(spark, sf_dir, "benchmark"), keys=(key,))
+    leaked = settle(leaked.select(F.col(key).alias(gone)).distinct(), "leaked")
+    return marked.join(leaked, F.col(key) == F.col(gone), "left_anti").drop(key)
 
 
 def personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """All documents, personal values replaced by pseudonyms; `n_chars` follows the text where it changed."""
-    out = pseudonymised(docs, PSEUDONYM_KEY, count="__n")
+    count = own_name("count")
+    out = pseudonymised(docs, PSEUDONYM_KEY, count=count)
     if "n_chars" in docs.columns:
-        out = out.withColumn("n_chars", F.when(F.col("__n") > 0, F.char_length("text").cast("long")).otherwise(F.col("n_chars")))
-    return out.drop("__n")
+        out = out.withColumn("n_chars", F.when(F.col(count) > 0, F.char_length("text").cast("long")).otherwise(F.col("n_chars")))
+    return out.drop(count)
 
 
 def encoding(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
