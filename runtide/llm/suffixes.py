@@ -239,6 +239,9 @@ def suffix_order(t: np.ndarray, least: int = LENGTH) -> np.ndarray:
         j = in_sample[np.minimum(at, len(in_sample) - 1)] if len(in_sample) else at
         before = np.where(j % 3 == 1, one[j] < one[rest], two[j] < two[rest]) & (low < high)
         low, high = np.where(before, at + 1, low), np.where(before | (low >= high), high, at)
+    # Names that are not unique tell their own values only, and the search reads one or two more: among equals of `least` values it
+    # may end anywhere, but places must not go back.
+    low = np.maximum.accumulate(low)
     out = np.empty(n, np.int64)
     place = low + np.arange(len(rest))
     mine = np.ones(n, bool)

@@ -38,6 +38,19 @@ def test_suffix_order_equals_sorting():
         assert heads == sorted(heads)
 
 
+def test_suffix_order_of_repeats_beyond_the_names():
+    # Equal over more values than names tell, and told apart after that.
+    for seed in (2, 5, 8, 11):
+        rng = np.random.default_rng(seed)
+        block = rng.integers(1, 3, rng.integers(245, 270))
+        t = np.concatenate([x for _ in range(32) for x in (block[rng.integers(0, 3) :], rng.integers(0, 4, rng.integers(1, 4)))])
+        order = suffix_order(t, 100)
+        assert sorted(order.tolist()) == list(range(len(t)))
+        padded = t.tolist() + [0] * 100
+        heads = [tuple(padded[i : i + 100]) for i in order.tolist()]
+        assert heads == sorted(heads)
+
+
 @pytest.mark.parametrize("many", [16, 2])
 def test_removal_as_spelled_out(spark, monkeypatch, many):
     monkeypatch.setattr(suffixes, "MANY", many)  # with 2, starts of nearly all repeated anchors are dealt one by one
