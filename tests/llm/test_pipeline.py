@@ -87,3 +87,18 @@ def test_empty_and_clashing(spark, small):
     for name, stage in corpus_pipeline.STAGES[:-1]:
         extra = stage(spark, extra, small)
         assert extra.columns[-5:] == ["fp", "row", "component", "score", "gram"], name
+
+
+def test_only_texts_like_leaked_ones_are_shuffled(spark, small, monkeypatch):
+    docs, found = read_table(spark, small, "documents"), []
+    kept = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")  # as if very many texts were leaked
+    try:
+        for buckets in (corpus_pipeline.BUCKETS, 2, 1):
+            monkeypatch.setattr(corpus_pipeline, "BUCKETS", buckets)
+            rest = corpus_pipeline.decontamination(spark, docs, small)
+            found.append(sorted(map(str, rest.collect())))
+            assert "BroadcastHashJoin" in (plan := rest._jdf.queryExecution().executedPlan().toString()) and "SortMergeJoin" in plan
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", kept)
+    assert found[0] == found[1] == found[2] and 0 < len(found[0]) < docs.count()
