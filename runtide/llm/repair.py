@@ -50,7 +50,7 @@ class PieceTokenizer:
         groups = [pieces[k : k + 512] for k in range(0, len(pieces), 512)]
         for group, ids in zip(groups, self._encode(["".join([" " + p for p in group]) for group in groups]), strict=True):
             ends = np.cumsum(self.sizes[ids])
-            cuts = np.searchsorted(ends, np.cumsum([1 + len(p.encode()) for p in group]))
+            cuts = np.searchsorted(ends, np.cumsum(pc.binary_length(pa.array(group)).to_numpy(), dtype=np.int64) + np.arange(1, len(group) + 1))
             raw, at = ids.tobytes(), 0
             for p, cut in zip(group, (4 * (cuts + 1)).tolist(), strict=True):
                 known[p] = raw[at:cut]
@@ -143,6 +143,13 @@ def _frequent(seq: np.ndarray, wide: bool, most: int, least: int) -> tuple[np.nd
     return key, ordered[edge[often]], count[often]
 
 
+def _slots(key: np.ndarray) -> np.ndarray:
+    """18 bits of a hash of each pair."""
+    if key.dtype == np.uint32:
+        return (key * np.uint32(0x9E3779B1)) >> np.uint32(14)
+    return ((key * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(46)).astype(np.uint32)
+
+
 def compress(ids: np.ndarray, pairs: int = PAIRS_A_ROUND, least: int = LEAST_COUNT) -> tuple[int, np.ndarray, np.ndarray]:
     """(first nonterminal, rules, sequence): Re-Pair in rounds, each replacing the most frequent pairs.
 
@@ -159,13 +166,16 @@ def compress(ids: np.ndarray, pairs: int = PAIRS_A_ROUND, least: int = LEAST_COU
         key, chosen, count = _frequent(seq, wide, room, least)
         if not len(chosen):
             break
-        # A small table by hash leaves few positions to search.
-        spread = lambda k: ((k.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(46)).astype(np.int64)
-        table = np.zeros(1 << 18, bool)
-        table[spread(chosen)] = True
-        at = np.flatnonzero(table[spread(key)])
-        which = np.minimum(np.searchsorted(chosen, key[at]), len(chosen) - 1)
-        hit = chosen[which] == key[at]
+        # A small table by hash says which pair a position may hold; the few that it tells wrongly are searched.
+        slot = _slots(key)
+        held = np.full(1 << 18, -1, np.int32)
+        held[_slots(chosen)] = np.arange(len(chosen), dtype=np.int32)
+        which = held[slot]
+        at = np.flatnonzero(which >= 0)
+        which, mine = which[at].astype(np.int64), key[at]
+        wrong = np.flatnonzero(chosen[which] != mine)
+        which[wrong] = np.minimum(np.searchsorted(chosen, mine[wrong]), len(chosen) - 1)
+        hit = chosen[which] == mine
         at, which = at[hit], which[hit]
         # Every second position of a run of one id.
         start = np.concatenate(([True], (np.diff(at) != 1) | (which[1:] != which[:-1])))

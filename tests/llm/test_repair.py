@@ -4,6 +4,7 @@ import numpy as np
 import public_tokenizers
 from tokenizers import Tokenizer
 
+from runtide.llm import repair
 from runtide.llm.repair import Shard, compress, pack, read_shards, token_files, tokenizer_of, write_shards
 from runtide.llm.shared import read_table
 from tests.conftest import SF
@@ -25,6 +26,16 @@ def test_grammar_round_trip_and_random_access():
     assert len(compress(np.zeros(1 << 15, np.uint32))[2]) < 64
 
 
+def test_pairs_of_one_slot_are_told_apart(monkeypatch):
+    rng = np.random.default_rng(12)
+    for ids in (rng.zipf(1.3, 5_000).astype(np.uint32) % 900, rng.zipf(1.3, 5_000).astype(np.uint32) % 90 + np.uint32(70_000)):
+        base, rules, seq = compress(ids)
+        with monkeypatch.context() as m:
+            m.setattr(repair, "_slots", lambda key: np.zeros(len(key), np.uint32))
+            again = compress(ids)
+        assert again[0] == base and (again[1] == rules).all() and (again[2] == seq).all() and len(rules)
+
+
 INNER = Tokenizer.from_file(PATH)  # as it is
 
 
