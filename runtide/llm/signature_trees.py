@@ -17,13 +17,15 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from runtide.llm.shared import LOWER_BYTE, SPACE_BYTE, components, fresh_path, give_back, grams, settle, slices, text_buffers, words
+from runtide.llm.shared import LOWER_BYTE, SPACE_BYTE, components, fresh_path, give_back, grams, mixed, settle, slices, text_buffers, words
 from runtide.llm.strtree import _groups
 
 #: Buckets in which shingles are counted, to put frequent ones last (a power of two), and how far over the mean a bucket is frequent.
 BUCKET_BITS, FREQUENT = 18, 2
 #: Most sets of a block that one task compares with each other, and children of a node.
 CHUNK, FAN = 2048, 8
+#: Blocks of so many sets at most meet other blocks of their lead in one task, which gets each bitmap once.
+TOGETHER = 64
 #: Most sets of a block that are named together, and pairs or blocks that a task remembers to have named.
 HELD, SEEN = 1 << 16, 1 << 18
 #: Pairs tried first for each two components of a block, those with the most common bits.
@@ -304,7 +306,7 @@ def _blocks(shared: DataFrame, least: int) -> DataFrame:
 
     The sets of a token are split by size: they meet in the band of the larger one, where the smaller comes from the band below; only
     pairs with one that is at home there count. Blocks of the same sets, such as those of a passage that some texts share, are one:
-    a block is named by the 128-bit hash of its sets.
+    a block is named by 128 bits: its lead, which blocks with many common sets are likely to share, and a hash of its sets.
     """
     # A little wider than the ratio of similar sets, so that rounding puts no two of them further than a band apart.
     band = F.floor(F.log("n") / F.log(F.lit(100.0001 / least))).cast("int")
@@ -326,7 +328,8 @@ def _blocks(shared: DataFrame, least: int) -> DataFrame:
             if name is None and size > 1:
                 rows = [np.concatenate(c) for c in zip(*held, strict=True)]
                 if rows[2].any():
-                    key = hashlib.blake2b(rows[0].tobytes() + rows[2].astype(np.uint8).tobytes(), digest_size=16).digest()
+                    lead = int(mixed(rows[0].view(np.uint64)).min()) >> 32
+                    key = lead.to_bytes(4) + hashlib.blake2b(rows[0].tobytes() + rows[2].astype(np.uint8).tobytes(), digest_size=12).digest()
                     if key not in seen:
                         if len(seen) > SEEN:
                             seen.clear()
@@ -354,40 +357,66 @@ def _blocks(shared: DataFrame, least: int) -> DataFrame:
     return settle(_with_hot(found, sizes, "block", found.count()), "blocks")
 
 
+def _sent(open_: DataFrame, described: DataFrame, every: bool) -> DataFrame:
+    """(task, class, part, n, places, bitmap), one row for each set of a task, dealt and sorted by task; `places` tell the blocks in which
+    the set meets others there: block, i, j, chunks, c, home.
+
+    Small blocks of one lead are a task. Blocks of more than `CHUNK` sets are cut into chunks `c` by a hash: chunks i and j meet in
+    tasks of their own, all of them or each only the next one.
+    """
+    sized = open_.withColumn("chunks", F.ceil(F.col("df") / CHUNK).cast("int")).withColumn("c", F.pmod(F.xxhash64("class"), F.col("chunks")).cast("int"))
+    all_ = F.sequence(F.lit(0), F.col("chunks") - 1)
+    ring = F.array_distinct(F.transform(F.array(F.col("c"), F.pmod(F.col("c") - 1, F.col("chunks"))), lambda i: F.struct(i.alias("i"), i.alias("j"))))
+    places = F.transform(all_, lambda j: F.struct(F.least("c", j).alias("i"), F.greatest("c", j).alias("j"))) if every else ring
+    task = F.when(F.col("df") <= TOGETHER, F.xxhash64(F.substring("block", 1, 4))).otherwise(F.xxhash64("block", "p.i", "p.j"))
+    sent = sized.withColumn("p", F.explode(places)).select("class", "part", "n", task.alias("task"), F.struct("block", "p.i", "p.j", "chunks", "c", "home").alias("place"))
+    # One shuffle by set serves both the grouping and the join.
+    sent = sent.repartition("class").groupBy("class", "task").agg(F.first("part").alias("part"), F.first("n").alias("n"), F.collect_list("place").alias("places"))
+    sent = sent.join(described.select(F.col("row").alias("class"), "bitmap"), "class")
+    return sent.select("task", "class", "part", "n", "places", "bitmap").repartition("task").sortWithinPartitions("task")
+
+
+def _meetings(task: pa.Table) -> Iterator[tuple[bytes, int, int, dict[str, np.ndarray]]]:
+    """(block, i, j, rows) of each block of a task, or two chunks of one: at, the rows of the sets in `task`, and their chunks, c, home."""
+    lists = task["places"].combine_chunks()
+    place, at = lists.flatten(), pc.list_parent_indices(lists).to_numpy()
+    field = lambda x: place.field(x).to_numpy()
+    block = place.field("block").dictionary_encode()
+    code, i, j = block.indices.to_numpy(), field("i"), field("j")
+    rows = {"at": at, **{x: field(x) for x in ("chunks", "c", "home")}}
+    order = np.lexsort((at, j, i, code))
+    code, i, j = code[order], i[order], j[order]
+    first = np.flatnonzero(np.concatenate(([True], (np.diff(code) != 0) | (np.diff(i) != 0) | (np.diff(j) != 0))))
+    for a, b in zip(first, [*first[1:], len(order)], strict=True):
+        yield block.dictionary[code[a].item()].as_py(), int(i[a]), int(j[a]), {x: v[order[a:b]] for x, v in rows.items()}
+
+
 def _candidates(blocks: DataFrame, parts: DataFrame | None, described: DataFrame, least: int, tried: int | None) -> tuple[DataFrame, DataFrame]:
     """(pairs, blocks): distinct pairs (a, b), a < b, that share a block and that their signatures don't rule out, and the blocks that
     may hold more of them.
 
     Sets of one component of `parts` (class, part) are not paired. Without `parts` the pairs of a block are only as many as connect all its
-    candidates; with `tried` so many for each two components; else all. Blocks of more than `CHUNK` sets are cut into chunks by a
-    hash: chunks meet pairwise in tasks of their own, without `parts` each only the next one.
+    candidates; with `tried` so many for each two components; else all. Of large blocks all chunks meet, without `parts` each only the
+    next one (see `_sent`).
     """
     if parts is None:
         open_ = blocks.withColumn("part", F.col("class"))
     else:
         marked = settle(blocks.join(parts, "class", "left").withColumn("part", F.coalesce("part", "class")), "marked")
-        mixed = marked.groupBy("block").agg(F.min("part").alias("low"), F.max("part").alias("high"), F.count("*").alias("df"))
-        mixed = settle(mixed.where("low <> high").select("block", "df"), "mixed")
-        open_ = _with_hot(marked.drop("df"), mixed, "block", marked.count())
-    sized = open_.withColumn("chunks", F.ceil(F.col("df") / CHUNK).cast("int")).withColumn("c", F.pmod(F.xxhash64("class"), F.col("chunks")).cast("int"))
-    every = F.sequence(F.lit(0), F.col("chunks") - 1)
-    ring = F.array_distinct(F.transform(F.array(F.col("c"), F.pmod(F.col("c") - 1, F.col("chunks"))), lambda i: F.struct(i.alias("i"), i.alias("j"))))
-    places = ring if parts is None else F.transform(every, lambda j: F.struct(F.least("c", j).alias("i"), F.greatest("c", j).alias("j")))
-    columns = ["chunks", "c", "class", "part", "n", "home"]
-    sent = sized.select("block", F.explode(places).alias("p"), *columns).select(F.xxhash64("block", "p.i", "p.j").alias("task"), "p.i", "p.j", "block", *columns)
-    sent = sent.join(described.select(F.col("row").alias("class"), "bitmap"), "class")
-    sent = sent.select("task", "i", "j", "block", *columns, "bitmap").repartition("task").sortWithinPartitions("task", "block", "i", "j")
+        open_of = marked.groupBy("block").agg(F.min("part").alias("low"), F.max("part").alias("high"), F.count("*").alias("df"))
+        open_of = settle(open_of.where("low <> high").select("block", "df"), "mixed")
+        open_ = _with_hot(marked.drop("df"), open_of, "block", marked.count())
 
     def compare(batches):
         seen = np.zeros((0, 2), np.int64)
-        for _, task in _groups_of(batches, 3):
-            for block in dict.fromkeys(task["block"].to_pylist()):  # one, unless hashes collide
-                rows = task.filter(pc.equal(task["block"], pa.scalar(block, pa.binary())))
-                i, j = rows["i"][0].as_py(), rows["j"][0].as_py()
-                ids, part, chunk, home = (rows[c].to_numpy() for c in ("class", "part", "c", "home"))
-
-                def fitting(rows=rows, i=i, j=j, chunk=chunk, home=home, part=part):
-                    for x, y, overlap in block_pairs(rows["bitmap"].to_pylist(), rows["n"].to_numpy(), part, least):
+        for _, task in _groups_of(batches, 1):
+            classes, parts_of, sizes, maps = task["class"].to_numpy(), task["part"].to_numpy(), task["n"].to_numpy(), task["bitmap"].to_pylist()
+            for block, i, j, rows in _meetings(task):
+                at, chunk, home = rows["at"], rows["c"], rows["home"]
+                ids, part = classes[at], parts_of[at]
+
+                def fitting(i=i, j=j, at=at, chunk=chunk, home=home, part=part, maps=maps, sizes=sizes):
+                    for x, y, overlap in block_pairs([maps[k] for k in at.tolist()], sizes[at], part, least):
                         keep = (home[x] | home[y]) > 0
                         if i != j:
                             keep &= chunk[x] != chunk[y]
@@ -396,7 +425,7 @@ def _candidates(blocks: DataFrame, parts: DataFrame | None, described: DataFrame
                 more = False
                 if parts_none:
                     found = list(_spanning(fitting(), part))
-                    more = bool(found) or rows["chunks"][0].as_py() > 1
+                    more = bool(found) or rows["chunks"][0] > 1
                 elif tried is not None:
                     found, more = _likeliest(fitting(), part, tried)
                 else:
@@ -411,10 +440,22 @@ def _candidates(blocks: DataFrame, parts: DataFrame | None, described: DataFrame
         give_back()
 
     parts_none = parts is None
-    found = settle(sent.mapInArrow(compare, "a long, b long, block binary").distinct(), "candidates")
+    found = settle(_sent(open_, described, not parts_none).mapInArrow(compare, "a long, b long, block binary").distinct(), "candidates")
     return found.where("block is null").select("a", "b"), blocks.join(found.where("block is not null").select("block"), "block", "left_semi")
 
 
+def _representatives(described: DataFrame, classes: DataFrame) -> DataFrame:
+    """(row, rare) of the first row of each class of `classes` (digest, class, df): the `rare` lists stay where they are while the rows
+    to leave out are few enough to be broadcast, and meet the classes in a shuffle if not."""
+    copied = classes.where("df > 1")
+    copies = _with_hot(described.select("row", "digest"), copied, "digest", described.count()).where("row <> class")
+    copies = settle(copies.select("row"), "copies")
+    listed = described.where("digest is not null").select("row", "rare")
+    if copies.count() <= BROADCAST_ROWS:
+        return listed.join(F.broadcast(copies), "row", "left_anti")
+    return listed.join(classes.select(F.col("class").alias("row")), "row", "left_semi")
+
+
 def _verified(pairs: DataFrame, described: DataFrame, n: int, least: int) -> DataFrame:
     """Settled: the pairs (a, b) of rows whose texts' shingle sets have a Jaccard similarity of least/100 or more, and their `common`."""
     needed = settle(pairs.select(F.explode(F.array("a", "b")).alias("row")).distinct(), "needed")
@@ -451,8 +492,7 @@ def similar_sets(docs: DataFrame, n: int = 5, least: int = 80) -> tuple[DataFram
     described, frequent_from = _described(docs.select("doc_id", "text"), n, least)
     grouped = described.where("digest is not null").groupBy("digest").agg(F.min("row").alias("class"), F.count("*").alias("df"))
     classes = settle(grouped, "classes")
-    keyed = described.select("row", "rare").join(classes.select(F.col("class").alias("row")), "row", "left_semi")
-    tokens = keyed.select(F.explode("rare").alias("token"), F.col("row").alias("class"))
+    tokens = _representatives(described, classes).select(F.explode("rare").alias("token"), F.col("row").alias("class"))
     salt = F.when(F.col("token") >= frequent_from, F.pmod(F.xxhash64("class"), F.lit(256))).otherwise(0)
     dealt = tokens.repartition("token", salt).sortWithinPartitions("token")
 

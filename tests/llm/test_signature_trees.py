@@ -3,6 +3,7 @@ import random
 import duckdb
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from runtide.llm import signature_trees
 from runtide.llm.queries import ORACLE_SQL, QUERIES
@@ -115,3 +116,33 @@ def test_query_equals_sql(spark):
     got = QUERIES[NAME](spark, SF)
     assert [k for _, k in got.dtypes] == ["bigint"] * 3 and [str(t) for t in want.types] == ["BIGINT"] * 3
     assert sorted(map(tuple, got.select(*want.columns).collect())) == sorted(want.fetchall())
+
+
+def test_lists_of_rare_shingles_stay_where_they_are(spark):
+    described = spark.createDataFrame([(k, f"d{k % 7}" if k else None, [k, 9]) for k in range(10)], "row long, digest string, rare array<long>")
+    described = described.selectExpr("row", "cast(digest as binary) as digest", "rare")
+    classes = described.where("digest is not null").groupBy("digest").agg(F.min("row").alias("class"), F.count("*").alias("df"))
+    found = signature_trees._representatives(described, classes)
+    assert sorted(r["row"] for r in found.collect()) == [1, 2, 3, 4, 5, 6, 7]
+    assert "Exchange hashpartitioning" not in found._jdf.queryExecution().executedPlan().toString()
+
+
+def test_representatives_without_broadcast(spark, monkeypatch):
+    monkeypatch.setattr(signature_trees, "BROADCAST_ROWS", 1)
+    check(spark, corpus(5, groups=5))
+
+
+def test_blocks_of_a_lead_get_each_bitmap_once(spark):
+    # Many blocks of the same few sets, one that is large and one that is too large for a task.
+    shared = [(t, c, 40) for t in range(60) for c in range(6) if c == 0 or t >> (c - 1) & 1]
+    shared += [(100, c, 40) for c in range(200)] + [(101, c, 40) for c in range(5000)]
+    blocks = signature_trees._blocks(spark.createDataFrame(shared, "token long, class long, n long"), 80)
+    described = spark.range(5000).select(F.col("id").alias("row"), F.lit(b"12345678").alias("bitmap"))
+    for every, chunks in ((False, 2), (True, 3)):
+        sent = signature_trees._sent(blocks.withColumn("part", F.col("class")), described, every).collect()
+        assert len({(r["task"], r["class"]) for r in sent}) == len(sent) and all(r["bitmap"] == b"12345678" for r in sent)
+        places = sorted((bytes(p["block"]), p["i"], p["j"], r["class"]) for r in sent for p in r["places"])
+        assert len(set(places)) == len(places) == blocks.where("df <= 2048").count() + 5000 * chunks
+        small = blocks.where("df <= 64")
+        # At most one row for each set of a lead, which the 32 blocks have in common far more than not.
+        assert len([r for r in sent if len(r["places"]) > 1]) and len(sent) - 200 - 5000 * chunks <= small.count() / 2
