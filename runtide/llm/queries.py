@@ -100,7 +100,7 @@ def op2_repair_token_files(spark: SparkSession, sf: str) -> DataFrame:
 
 @query
 def op6_masked_pseudo_likelihood(spark: SparkSession, sf: str) -> DataFrame:
-    scored = score_documents(read_table(spark, sf, "documents").select("doc_id", "text"))
+    scored = score_documents(read_table(spark, sf, "documents").select("doc_id", "text"), ["doc_id"])
     mean = F.when(F.col("n_words") > 0, F.col("log_likelihood") / F.col("n_words"))
     return scored.select("doc_id", mean.alias("score"), "n_words", "log_likelihood")
 

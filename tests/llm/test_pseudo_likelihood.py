@@ -95,3 +95,31 @@ def test_every_word_is_learned_once(spark, monkeypatch):
     train(Docs(), np.zeros(0, np.uint64))
     _, _, place, _ = next(_Reader(np.zeros(0, np.uint64)).documents(pa.array(["one", "one two", "a b c d e f g h i"])))
     assert sorted(taken) == place.tolist()
+
+
+def test_texts_are_read_twice(spark):
+    rows = [(k, f"w{k} one two " + "three " * k) for k in range(50)] + [(50, None)]
+    read = spark.sparkContext.accumulator(0)
+
+    def tally(batches):
+        for batch in batches:
+            read.add(len(batch))
+            yield batch
+
+    docs = spark.createDataFrame(rows, "doc_id long, text string").mapInArrow(tally, "doc_id long, text string")
+    for columns in (None, ["doc_id"]):
+        before = read.value
+        got = score_documents(docs, *([columns] if columns else []))
+        assert len(got.collect()) == 51 and got.columns == [*(columns or docs.columns), "n_words", "log_likelihood"]
+        assert read.value - before == 2 * 51
+
+
+def test_words_that_tasks_hold_score_as_joined_ones(spark, monkeypatch):
+    many = " ".join(f"w{k}" for k in range(FREQUENT)) + " "
+    docs = spark.createDataFrame([(many * 9,), ("a b c d d x1 x2 é",), ("d a",), ("d a",), ("",), (None,)], "text string").coalesce(1)
+    counts, want = word_counts(docs), None
+    for held in (1 << 16, 3, 0):
+        monkeypatch.setattr(pseudo_likelihood, "HELD", held)
+        found = sorted((r["key"] or 0, round(r["within"], 9)) for r in within_classes(docs, vocabulary(docs, counts), counts).collect())
+        assert want in (None, found) and len(found) == 5 and min(v for _, v in found) < -1
+        want = found
