@@ -118,7 +118,7 @@ def test_words_that_tasks_hold_score_as_joined_ones(spark, monkeypatch):
     many = " ".join(f"w{k}" for k in range(FREQUENT)) + " "
     docs = spark.createDataFrame([(many * 9,), ("a b c d d x1 x2 é",), ("d a",), ("d a",), ("",), (None,)], "text string").coalesce(1)
     counts, want = word_counts(docs), None
-    for held in (1 << 16, 3, 0):
+    for held in (1 << 16, 6, 3, 0):
         monkeypatch.setattr(pseudo_likelihood, "HELD", held)
         found = sorted((r["key"] or 0, round(r["within"], 9)) for r in within_classes(docs, vocabulary(docs, counts), counts).collect())
         assert want in (None, found) and len(found) == 5 and min(v for _, v in found) < -1
