@@ -94,7 +94,7 @@ def op7_url_filter(spark: SparkSession, sf: str) -> DataFrame:
 
 @query
 def op2_repair_token_files(spark: SparkSession, sf: str) -> DataFrame:
-    found = token_files(read_table(spark, sf, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
+    found = token_files(read_table(spark, sf, "documents"), public_tokenizers.path("byte_bpe_50k.json"), with_ids=False)
     return found.select("doc_id", "start", "n_tokens", "ids_crc32")
 
 

@@ -14,8 +14,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from runtide.llm.byte_bpe import odd_spaces, pieces_of
-from runtide.llm.shared import fresh_path, slices, text_buffers
+from runtide.llm.shared import SLICE_BYTES, fresh_path, give_back, slices, text_buffers
 
 MAGIC = b"RPR1"
 #: Ids of a shard; a longer document is a shard of its own.
@@ -24,7 +23,62 @@ SHARD_IDS = 1 << 20
 PAIRS_A_ROUND, LEAST_COUNT = 4096, 24
 #: Rounds end when one shortens the sequence by less than this share.
 LEAST_GAIN = 0.01
-PIECES_KEPT = 500_000
+#: Distinct pieces that a worker keeps with their ids, most bytes of each (most have about 15), and bytes of text that are cut into pieces at once.
+PIECES_KEPT, LONGEST_KEPT, TEXT_AT_ONCE = 1_000_000, 64, 3 << 23
+#: A worker looks its pieces up if they are at most so many times those of the text at hand; entering them takes time, too.
+KNOWN_A_PIECE = 16
+
+_LETTER = np.zeros(256, bool)
+_LETTER[[*range(65, 91), *range(97, 123)]] = True
+#: White space of two and three bytes.
+_WHITE = np.array(sorted(int.from_bytes(chr(c).encode()) for c in (0x85, 0xA0, 0x1680, 0x180E, *range(0x2000, 0x200B), 0x2028, 0x2029, 0x202F, 0x205F, 0x3000)))
+
+
+def _ends(data: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Whether the characters that end before some bytes (of places above 0) are white space, and whether they are letters for certain.
+
+    Control characters count as white space.
+    """
+    last = data[at - 1]
+    white, letter = last <= 32, _LETTER[last]
+    high = np.flatnonzero(last >= 0x80)
+    place = at[high]
+    two = data[place - 2].astype(np.int64) << 8 | last[high]
+    # A character of two bytes may be the first of all; what stands before it makes none of three bytes.
+    three = data[place - 3].astype(np.int64) << 16 | two
+    white[high] = np.isin(two, _WHITE) | np.isin(three, _WHITE)
+    # Latin letters with marks: U+00C0 to U+017F but for the signs of multiplication and division.
+    letter[high] = (two >= 0xC380) & (two < 0xC600) & (two != 0xC397) & (two != 0xC3B7)
+    return white, letter
+
+
+def piece_starts(data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
+    """Where the pieces of some texts begin: at the start of a text, of white space, and at an ASCII character that is no letter after a letter.
+
+    No match of the pattern spans such a place: white space stands first in a match or makes all of it, and letters stand last. No match looks back.
+    """
+    first = np.zeros(len(data), bool)
+    first[offsets[:-1][np.diff(offsets) > 0]] = True
+    for k in range(0, len(data), SLICE_BYTES):
+        some = data[k : k + SLICE_BYTES]
+        # Bytes 9 to 13 and 32, then all other visible ASCII characters but letters.
+        blank = ((some - np.uint8(9)) < 5) | (some == 32)
+        sign = (some > 32) & (some < 0x80) & (((some | np.uint8(32)) - np.uint8(97)) >= 26)
+        at = np.flatnonzero((blank | sign) & ~first[k : k + SLICE_BYTES])
+        white, letter = _ends(data, at + k)
+        first[at + k] = np.where(blank[at], ~white, letter)
+    return np.flatnonzero(first)
+
+
+def _places(starts: np.ndarray, sizes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """All places of some runs, one after another, and the n + 1 offsets of the runs."""
+    ends = np.zeros(len(sizes) + 1, np.int64)
+    np.cumsum(sizes, out=ends[1:])
+    # Half the memory where places are short integers.
+    kind = np.int32 if max(int(ends[-1]), int(starts.max(initial=0))) < 1 << 30 else np.int64
+    place = np.repeat((starts - ends[:-1]).astype(kind), sizes)
+    place += np.arange(len(place), dtype=kind)
+    return place, ends
 
 
 class PieceTokenizer:
@@ -37,90 +91,98 @@ class PieceTokenizer:
         self.inner = Tokenizer.from_file(path)
         #: Texts that the library takes out of a text before it is cut, such as an end marker.
         self.added = [token.content for token in self.inner.get_added_tokens_decoder().values()]
-        self.young, self.old = ({}, {}), ({}, {})
+        vocabulary = self.inner.get_vocab(with_added_tokens=True)
+        self.kind = np.uint16 if max(vocabulary.values(), default=0) < 1 << 16 else np.uint32
+        #: Bytes of each token: in this kind of vocabulary a character stands for a byte.
+        self.bytes = np.zeros(max(vocabulary.values(), default=0) + 1, np.int64)
+        for token, i in vocabulary.items():
+            self.bytes[i] = len(token)
+        # Known pieces, the ids of all of them, how many each has, and the call that last met it.
+        self.known, self.ids = pa.array([], pa.large_string()), np.zeros(0, self.kind)
+        self.sizes, self.met, self.calls = np.zeros(0, np.int64), np.zeros(0, np.int64), 0
 
     def _encode(self, texts: list[str]) -> list[np.ndarray]:
-        return [np.array(e.ids, np.uint32) for e in self.inner.encode_batch_fast(texts, add_special_tokens=False)]
-
-    def _learn(self, pieces: list[str], spaced: bool, known: dict[str, bytes]) -> None:
-        """Pieces that begin with a space are encoded many at a time: no token goes past such a space."""
-        if not spaced:
-            known.update((p, i.tobytes()) for p, i in zip(pieces, self._encode(pieces), strict=True))
-            return
-        groups = [pieces[k : k + 512] for k in range(0, len(pieces), 512)]
-        for group, ids in zip(groups, self._encode(["".join([" " + p for p in group]) for group in groups]), strict=True):
-            ends = np.cumsum(self.sizes[ids])
-            cuts = np.searchsorted(ends, np.cumsum(pc.binary_length(pa.array(group)).to_numpy(), dtype=np.int64) + np.arange(1, len(group) + 1))
-            raw, at = ids.tobytes(), 0
-            for p, cut in zip(group, (4 * (cuts + 1)).tolist(), strict=True):
-                known[p] = raw[at:cut]
-                at = cut
-
-    @functools.cached_property
-    def sizes(self) -> np.ndarray:
-        """Bytes of each token: in this kind of vocabulary a character stands for a byte."""
-        out = np.zeros(self.inner.get_vocab_size(), np.int64)
-        for token, i in self.inner.get_vocab(with_added_tokens=True).items():
-            out[i] = len(token)
-        return out
-
-    def _known(self, pieces: list[str], spaced: bool) -> list[bytes]:
-        """Ids of distinct pieces, as bytes."""
-        known, older = self.young[spaced], self.old[spaced]
-        found = list(map(known.get, pieces))
-        if None not in found:
-            return found
-        at = [k for k, held in enumerate(found) if held is None]
-        fresh = [pieces[k] for k in at]
-        if older:
-            known.update((p, held) for p, held in zip(fresh, map(older.get, fresh), strict=True) if held is not None)
-            fresh = [p for p in fresh if p not in known]
-        # A comma or full stop after a letter is a token of its own, so the word before it is looked up by itself.
-        tails = [p for p in fresh if p[-1:] in (",", ".") and p[-2:-1].isalpha()] if spaced else []
-        stems = {p[:-1] for p in tails}.difference(known)
-        self._learn(list(stems.union(fresh).difference(tails)), spaced, known)
-        known.update((p, known[p[:-1]] + self.marks[p[-1]]) for p in tails)
-        for k in at:
-            found[k] = known[pieces[k]]
-        return found
-
-    @functools.cached_property
-    def marks(self) -> dict[str, bytes]:
-        return {c: self._encode([c])[0].tobytes() for c in (",", ".")}
-
-    def encode(self, texts: list[str]) -> list[np.ndarray]:
-        """Ids of each text. Texts without odd spaces are cut and made distinct by Arrow; one that holds an added token goes whole to the library."""
-        if len(self.young[0]) + len(self.young[1]) > PIECES_KEPT:
-            self.young, self.old = ({}, {}), self.young
-        out: list = [None] * len(texts)
-        whole = [k for k, t in enumerate(texts) if any(a in t for a in self.added)]
-        for k in whole:
-            (out[k],) = self._encode([texts[k]])
-        rest = set(range(len(texts))).difference(whole)
-        plain = [k for k in sorted(rest) if not odd_spaces(texts[k])]
-        for k in rest.difference(plain):
-            first, *later = pieces_of(texts[k])
-            found = dict(zip(distinct := list(set(later)), self._known(distinct, True), strict=True))
-            out[k] = np.frombuffer(b"".join([*self._known([first], False), *map(found.__getitem__, later)]), np.uint32)
-        halves = [texts[k].partition(" ") for k in plain]
-        firsts = [h[0] for h in halves]
-        found = dict(zip(distinct := list(set(firsts)), self._known(distinct, False), strict=True))
-        lists = pc.split_pattern(pa.array([h[2] if h[1] else None for h in halves], pa.large_string()), " ")
-        coded = lists.flatten().dictionary_encode()
-        raw = self._known(coded.dictionary.to_pylist(), True)
-        # A call sees far fewer than 2^31 ids, so places are short integers.
-        sizes = np.fromiter(map(len, raw), np.int32, len(raw)) >> 2
-        every, begin = np.frombuffer(b"".join(raw), np.uint32), np.cumsum(sizes, dtype=np.int32) - sizes
-        index = coded.indices.to_numpy()
-        count = sizes[index]
-        ends = np.zeros(len(index) + 1, np.int32)
-        np.cumsum(count, out=ends[1:])
-        place = np.repeat(begin[index] - ends[:-1], count)
-        place += np.arange(len(place), dtype=np.int32)
-        ids = every[place] if len(index) else every
-        bounds = ends[lists.offsets.to_numpy()]
-        for n, k in enumerate(plain):
-            out[k] = np.concatenate((np.frombuffer(found[firsts[n]], np.uint32), ids[bounds[n] : bounds[n + 1]]))
+        return [np.array(e.ids, self.kind) for e in self.inner.encode_batch_fast(texts, add_special_tokens=False)]
+
+    def _joined(self, pieces: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """Ids and their number for pieces that begin with white space and end with none: the library gets many at a time, since no token spans their borders."""
+        data, offsets = text_buffers(pieces)
+        texts = [data[offsets[k] : offsets[min(k + 512, len(pieces))]].tobytes().decode() for k in range(0, len(pieces), 512)]
+        if any(a in t for a in self.added for t in texts):
+            return self._single(pieces)
+        ids = np.concatenate([np.zeros(0, self.kind), *self._encode(texts)])
+        place = np.zeros(len(data) + 1, np.int64)
+        place[np.cumsum(self.bytes[ids])] = np.arange(1, len(ids) + 1)
+        return ids, np.diff(place[offsets])
+
+    def _single(self, pieces: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        found = self._encode(pieces.to_pylist())
+        return np.concatenate([np.zeros(0, self.kind), *found]), np.fromiter(map(len, found), np.int64, len(found))
+
+    def _learn(self, pieces: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of distinct pieces and their number for each."""
+        data, offsets = text_buffers(pieces)
+        head = data[offsets[:-1]]
+        closed = ~_ends(data, offsets[1:])[0]
+        blank = closed & (((head - np.uint8(9)) < 5) | (head == 32))
+        # Visible ASCII in front: a line feed before such a piece is a token of its own.
+        bare = closed & (head > 32) & (head < 0x7F)
+        parts = []
+        for mask, work in ((blank, self._joined), (bare, self._after_lines), (~blank & ~bare, self._single)):
+            at = np.flatnonzero(mask)
+            parts.append((at, *(work(pieces.take(pa.array(at))) if len(at) else (np.zeros(0, self.kind), np.zeros(0, np.int64)))))
+        sizes = np.concatenate([p[2] for p in parts])
+        back = np.argsort(np.concatenate([p[0] for p in parts]))
+        place, _ = _places((np.cumsum(sizes) - sizes)[back], sizes[back])
+        return np.concatenate([p[1] for p in parts])[place], sizes[back]
+
+    def _after_lines(self, pieces: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        ids, sizes = self._joined(pc.binary_join_element_wise(pa.scalar("\n", pa.large_string()), pieces, pa.scalar("", pa.large_string())))
+        keep = np.ones(len(ids), bool)
+        keep[np.cumsum(sizes) - sizes] = False
+        return ids[keep], sizes - 1
+
+    def _looked_up(self, pieces: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Which entry each piece is, the number of ids of each entry, and the ids of all entries."""
+        use = len(self.known) <= KNOWN_A_PIECE * len(pieces)
+        known = self.known if use else self.known[:0]
+        # Known pieces go in first, so that they keep their places.
+        coded = pa.chunked_array([known, pieces]).dictionary_encode().chunks[-1]
+        index, entries = coded.indices.to_numpy(), coded.dictionary
+        ids, sizes = self._learn(entries[len(known) :])
+        if not use:
+            return index, sizes, ids
+        ids, sizes = np.concatenate((self.ids, ids)), np.concatenate((self.sizes, sizes))
+        met = np.concatenate((self.met, np.zeros(len(entries) - len(known), np.int64)))
+        self.calls += 1
+        met[index] = self.calls
+        self.known, self.ids, self.sizes, self.met = entries, ids, sizes, met
+        keep = np.flatnonzero(pc.binary_length(entries).to_numpy() <= LONGEST_KEPT)
+        if len(keep) > PIECES_KEPT:
+            keep = np.sort(keep[np.argpartition(met[keep], len(keep) - PIECES_KEPT)[len(keep) - PIECES_KEPT :]])
+        if len(keep) < len(entries):
+            place, _ = _places((np.cumsum(sizes) - sizes)[keep], sizes[keep])
+            self.known, self.ids, self.sizes, self.met = entries.take(pa.array(keep)), ids[place], sizes[keep], met[keep]
+        return index, sizes, ids
+
+    def encode(self, texts: list[str] | pa.Array) -> list[np.ndarray]:
+        """Ids of each text (null: none). Texts are cut into pieces that Arrow makes distinct; a text that holds an added token goes whole to the library."""
+        texts = pa.array(texts, pa.large_string()) if isinstance(texts, list) else texts.cast(pa.large_string())
+        whole = np.zeros(len(texts), bool)
+        for a in self.added:
+            whole |= pc.match_substring(texts, a).fill_null(False).to_numpy(zero_copy_only=False)
+        data, offsets = text_buffers(pc.if_else(pa.array(whole), "", texts) if whole.any() else texts)
+        starts = piece_starts(data, offsets)
+        if len(starts):
+            pieces = pa.LargeStringArray.from_buffers(len(starts), pa.py_buffer(np.append(starts, len(data))), pa.py_buffer(data))
+            index, sizes, ids = self._looked_up(pieces)
+        else:
+            index, sizes, ids = np.zeros(0, np.int32), np.zeros(0, np.int64), np.zeros(0, self.kind)
+        place, ends = _places((np.cumsum(sizes) - sizes)[index], sizes[index])
+        found, bounds = ids[place], ends[np.searchsorted(starts, offsets)]
+        out = [found[a:b] for a, b in zip(bounds[:-1].tolist(), bounds[1:].tolist(), strict=True)]
+        for k in np.flatnonzero(whole).tolist():
+            (out[k],) = self._encode([texts[k].as_py()])
         return out
 
 
@@ -177,19 +239,22 @@ def compress(ids: np.ndarray, pairs: int = PAIRS_A_ROUND, least: int = LEAST_COU
         which[wrong] = np.minimum(np.searchsorted(chosen, mine[wrong]), len(chosen) - 1)
         hit = chosen[which] == mine
         at, which = at[hit], which[hit]
-        # Every second position of a run of one id.
-        start = np.concatenate(([True], (np.diff(at) != 1) | (which[1:] != which[:-1])))
-        index = np.arange(len(at))
-        even = (index - np.maximum.accumulate(np.where(start, index, 0))) % 2 == 0
-        at, which = at[even], which[even]
+        # Every second position of a run of one id, which only pairs of that id make.
+        twins = np.flatnonzero(seq[at] == seq[at + 1])
+        if len(twins):
+            start = np.concatenate(([True], (np.diff(at[twins]) != 1) | (np.diff(which[twins]) != 0)))
+            index = np.arange(len(twins))
+            even = np.ones(len(at), bool)
+            even[twins] = (index - np.maximum.accumulate(np.where(start, index, 0))) % 2 == 0
+            at, which = at[even], which[even]
         weight = count[which]
         near = np.diff(at) == 1
         lose = np.zeros(len(at), bool)
         lose[1:] |= near & (weight[:-1] >= weight[1:])
         lose[:-1] |= near & (weight[1:] > weight[:-1])
         at, which = at[~lose], which[~lose]
-        used, which = np.unique(which, return_inverse=True)
-        pair = chosen[used]
+        met = np.bincount(which, minlength=len(chosen)) > 0
+        pair, which = chosen[met], (np.cumsum(met) - 1)[which]
         shift, low = (32, 0xFFFFFFFF) if wide else (16, 0xFFFF)
         symbol = base + len(rules)
         rules.extend(zip((pair >> pair.dtype.type(shift)).tolist(), (pair & pair.dtype.type(low)).tolist(), strict=True))
@@ -222,7 +287,7 @@ def pack(ids: np.ndarray, ends: np.ndarray) -> bytes:
 class Shard:
     """A packed shard: any range of ids is decoded without the rest."""
 
-    def __init__(self, held: bytes):
+    def __init__(self, held: bytes | pa.Buffer):
         magic, self.base, docs, rules, size, width = struct.unpack_from("<4sIQQQB", held)
         if magic != MAGIC:
             raise ValueError("not a shard of token ids")
@@ -251,6 +316,21 @@ class Shard:
             seq = out
         return seq
 
+    def all_ids(self) -> np.ndarray:
+        """All ids: every nonterminal is expanded once and then copied."""
+        begin = np.cumsum(self.lengths) - self.lengths
+        flat = self.expand(np.arange(self.base, self.base + len(self.rules), dtype=np.uint32))
+        more = np.flatnonzero(self.seq >= self.base)
+        which = self.seq[more] - self.base
+        sizes = np.ones(len(self.seq), np.int64)
+        sizes[more] = self.lengths[which]
+        out = np.repeat(self.seq, sizes)
+        ends = np.cumsum(sizes)
+        into, _ = _places(ends[more] - sizes[more], sizes[more])
+        taken, _ = _places(begin[which], sizes[more])
+        out[into] = flat[taken]
+        return out
+
     def ids(self, start: int, stop: int) -> np.ndarray:
         """Ids start to stop: expands only the symbols that cover them."""
         if stop <= start:
@@ -275,34 +355,35 @@ def write_shards(docs: DataFrame, path: str, tokenizer: str, end_id: int = 0, pa
     def work(batches):
         gc.disable()  # many small objects, no cycles
         encoder, shard = tokenizer_of(tokenizer), 0
+        end = np.array([end_id], encoder.kind if end_id <= np.iinfo(encoder.kind).max else np.uint32)
         ids: list[np.ndarray] = []
         names: list = []
         size, part, before = 0, None, 0
 
         def flush():
             nonlocal ids, names, size, shard, before
-            ends = np.cumsum([len(i) for i in ids])
-            row = [[part], [shard], [names], [before], [int(ends[-1])], [pack(np.concatenate(ids), ends)]]
+            ends = np.cumsum([len(i) + 1 for i in ids])
+            held = pack(np.concatenate([x for one in ids for x in (one, end)]), ends)
+            row = [[part], [shard], [names], [before], [int(ends[-1])], [held]]
             kinds = (pa.int32(), pa.int32(), pa.list_(pa.int64()), pa.int64(), pa.int64(), pa.binary())
             ids, names, size, shard, before = [], [], 0, shard + 1, before + int(ends[-1])
             return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(row, kinds, strict=True)], ["part", "shard", "doc_ids", "before", "n_ids", "held"])
 
-        end = np.array([end_id], np.uint32)
         for batch in batches:
-            data, offsets = text_buffers(batch.column(1))
+            texts = batch.column(1).cast(pa.large_string())
             known, part_of = batch.column(0).to_pylist(), batch.column(2)
-            for a, b in slices(offsets, 1 << 23):
+            for a, b in slices(text_buffers(texts)[1], TEXT_AT_ONCE):
                 part = part_of[0].as_py()
-                found = encoder.encode([data[offsets[k] : offsets[k + 1]].tobytes().decode() for k in range(a, b)])
-                for k, one in zip(range(a, b), found, strict=True):
+                for name, one in zip(known[a:b], encoder.encode(texts[a:b]), strict=True):
                     if ids and size + len(one) + 1 > SHARD_IDS:
                         yield flush()
-                    ids.append(np.concatenate((one, end)))
-                    names.append(known[k])
+                    ids.append(one)
+                    names.append(name)
                     size += len(one) + 1
         if ids:
             yield flush()
         gc.enable()
+        give_back()
 
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     laid = rows.repartitionByRange(n, "doc_id", F.xxhash64("text")).sortWithinPartitions("doc_id", F.xxhash64("text"))
@@ -310,8 +391,8 @@ def write_shards(docs: DataFrame, path: str, tokenizer: str, end_id: int = 0, pa
     laid.mapInArrow(work, "part int, shard int, doc_ids array<long>, before long, n_ids long, held binary").write.parquet(path)
 
 
-def read_shards(shards: DataFrame) -> DataFrame:
-    """doc_id, start, n_tokens, ids (binary, little-endian unsigned 32-bit) of every document of written shards.
+def read_shards(shards: DataFrame, with_ids: bool = True) -> DataFrame:
+    """doc_id, start, n_tokens, ids_crc32, ids (binary, little-endian unsigned 32-bit; left out if not `with_ids`) of every document of written shards.
 
     `start` counts the ids of all documents before it. A shard tells how many ids of its part come before it; one total for each part, of which
     there are as many as partitions wrote, goes through the driver and back to the shards, which stay where they are.
@@ -326,22 +407,24 @@ def read_shards(shards: DataFrame) -> DataFrame:
     def work(batches):
         for batch in batches:
             for k in range(len(batch)):
-                shard = Shard(batch.column(1)[k].as_py())
-                every = shard.expand(shard.seq)
+                shard = Shard(batch.column(1)[k].as_buffer())
+                every = shard.all_ids().astype("<u4", copy=False)
                 starts = np.concatenate(([0], shard.ends[:-1]))
-                held = [every[a:b].astype("<u4").tobytes() for a, b in zip(starts, shard.ends, strict=True)]
-                yield pa.RecordBatch.from_arrays(
-                    [batch.column(0)[k].values, pa.array(starts + batch.column(2)[k].as_py()), pa.array(shard.ends - starts), pa.array([zlib.crc32(h) for h in held], pa.int64()), pa.array(held, pa.binary())],
-                    ["doc_id", "start", "n_tokens", "ids_crc32", "ids"],
-                )
-
+                held = [every[a:b] for a, b in zip(starts.tolist(), shard.ends.tolist(), strict=True)]
+                columns = [batch.column(0)[k].values, pa.array(starts + batch.column(2)[k].as_py()), pa.array(shard.ends - starts), pa.array([zlib.crc32(h) for h in held], pa.int64())]
+                if with_ids:
+                    columns.append(pa.array([h.tobytes() for h in held], pa.binary()))
+                yield pa.RecordBatch.from_arrays(columns, names[: len(columns)])
+
+    names = ["doc_id", "start", "n_tokens", "ids_crc32", "ids"]
+    kinds = "doc_id long, start long, n_tokens long, ids_crc32 long" + ", ids binary" * with_ids
     found = shards.join(F.broadcast(begin), "part").select("doc_ids", "held", (F.col("ahead") + F.col("before")).alias("at"))
-    return found.mapInArrow(work, "doc_id long, start long, n_tokens long, ids_crc32 long, ids binary")
+    return found.mapInArrow(work, kinds)
 
 
-def token_files(docs: DataFrame, tokenizer: str, path: str | None = None) -> DataFrame:
+def token_files(docs: DataFrame, tokenizer: str, path: str | None = None, with_ids: bool = True) -> DataFrame:
     """Writes all documents as shards (to a fresh folder of the shared one if `path` is not given) and reads them back."""
     spark = docs.sparkSession
     path = path or fresh_path(spark, "token-shards")
     write_shards(docs, path, tokenizer)
-    return read_shards(spark.read.parquet(path))
+    return read_shards(spark.read.parquet(path), with_ids)
